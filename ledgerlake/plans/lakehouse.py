@@ -44,7 +44,8 @@ class Lakehouse:
     """Layers of one input folder, materialised under ``root``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
-                 dedup_method: str = "aggregate", money_mode: str = "decimal"):
+                 dedup_method: str = "aggregate", money_mode: str = "decimal",
+                 topic_partitions: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         if root is None:
@@ -53,6 +54,9 @@ class Lakehouse:
         self.root = root.rstrip("/")
         self.dedup_method = dedup_method
         self.money_mode = money_mode
+        # How many files the stand-in topic is spread over (a topic's
+        # partition count); the bronze decode runs one task per file.
+        self.topic_partitions = topic_partitions or spark.sparkContext.defaultParallelism
         self.observed: dict[str, dict] = {}
         self._written: set[str] = set()
 
@@ -93,8 +97,14 @@ class Lakehouse:
         return bronze_ops.encode_messages(ev, TOPIC, timestamp="_ts")
 
     def topic(self) -> DataFrame:
-        """The message log, written once (stand-in for the broker topic)."""
-        self._materialise("topic", self.encoded_messages)
+        """The message log, written once (stand-in for the broker topic).
+
+        Messages are spread round-robin over ``topic_partitions`` files, like
+        a producer spreading load over a topic's partitions; round-robin keeps
+        the files even even when one key is hot.
+        """
+        self._materialise("topic",
+                          lambda: self.encoded_messages().repartition(self.topic_partitions))
         return self.spark.read.schema(KAFKA_SCHEMA).parquet(self.path("topic"))
 
     # -- layers -------------------------------------------------------------

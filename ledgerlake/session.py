@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
