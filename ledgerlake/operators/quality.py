@@ -80,9 +80,12 @@ def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = Non
     if method != "aggregate":
         raise ValueError(f"unknown dedup method {method!r}")
     rest = [c for c in cols if c not in keys]
-    order_cols = [(F.col(o) if isinstance(o, str) else o).alias(f"_order{i}")
-                  for i, o in enumerate(order)]
-    best = F.min(F.struct(*order_cols, *[F.col(c) for c in rest])).alias("_best")
+    # order columns lead the struct (compared first); a named order column
+    # is carried once, under its own name
+    lead = [F.col(o) if isinstance(o, str) else o.alias(f"_order{i}")
+            for i, o in enumerate(order)]
+    tail = [F.col(c) for c in rest if c not in order]
+    best = F.min(F.struct(*lead, *tail)).alias("_best")
     return (df.groupBy(*keys).agg(best)
               .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
               .select(*cols))

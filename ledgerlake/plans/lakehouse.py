@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +50,11 @@ class Lakehouse:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         if root is None:
+            # The shared folder outlives sessions: scope the layers to this
+            # application so no run ever reads (or resumes from) another's.
             tag = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:12]
-            root = f"{shared_dir(spark)}/lakehouse-{tag}"
+            app = spark.sparkContext.applicationId
+            root = f"{shared_dir(spark)}/lakehouse-{app}-{tag}-{uuid.uuid4().hex[:8]}"
         self.root = root.rstrip("/")
         self.dedup_method = dedup_method
         self.money_mode = money_mode
