@@ -1,9 +1,11 @@
-"""End-to-end batch run: messages -> bronze -> silver / quarantine -> gold -> metrics.
-
-Layers go to a :class:`LayerStore` -- Parquet paths under a root folder, or
-catalog tables in a schema -- and each stage reads the previous layer back
-from it (never from the source again), so every layer is consistent with the
-ones derived from it and a failed stage restarts from the last written layer.
+"""Batch jobs: ingest -> quality -> gold -> monitor, and all four in one run.
+
+Layers go to a :class:`LayerStore` -- Parquet (or another format) paths
+under a root folder, or catalog tables in a schema.  Each job reads the
+previous layer back from the store (never from the source again), so every
+layer is consistent with the ones derived from it and a failed job restarts
+from the last written layer.  Row counts come from ``Observation``s attached
+to the writes, not from extra scans.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from ledgerlake.operators import quality as quality_ops
 # ---------------------------------------------------------------------------
 # Layer / table names
 # ---------------------------------------------------------------------------
+BRONZE = "bronze_transactions"
+SILVER = "silver_transactions"
+QUARANTINE = "quarantine_transactions"
+GOLD_RISK = "gold_risk_scored_transactions"
 GOLD_NAMES = {
     "daily": "gold_daily_metrics",
     "merchant": "gold_merchant_metrics",
@@ -43,6 +49,7 @@ class LayerStore:
 
     def write(self, df: DataFrame, name: str) -> None:
         if self.schema:
+            sinks.create_schema(self.spark, self.schema)
             sinks.write_table(df, f"{self.schema}.{name}", self.fmt)
         else:
             sinks.write_layer(df, f"{self.root}/{name}", self.fmt)
@@ -52,6 +59,9 @@ class LayerStore:
             return self.spark.table(f"{self.schema}.{name}")
         return self.spark.read.format(self.fmt).load(f"{self.root}/{name}")
 
+    def location(self, name: str) -> str:
+        return f"{self.schema}.{name}" if self.schema else f"{self.root}/{name}"
+
 
 def _write_counted(store: LayerStore, df: DataFrame, name: str) -> int:
     obs = Observation(name)
@@ -59,41 +69,63 @@ def _write_counted(store: LayerStore, df: DataFrame, name: str) -> int:
     return int(obs.get["rows"])
 
 
-def run_batch(spark: SparkSession, messages: DataFrame, store: LayerStore,
-              profile: str | Profile = "local", deterministic: bool = True,
-              money_mode: str = "decimal", metrics_path: str | None = None) -> dict:
-    """Run every layer for one profile; returns the monitoring record."""
+def ingest(messages: DataFrame, store: LayerStore, profile: str | Profile = "local") -> dict:
+    """Bounded ingest: Kafka-shaped messages -> bronze."""
     p = get_profile(profile)
-    if store.schema:
-        sinks.create_schema(spark, store.schema)
-    counts: dict[str, int] = {}
+    rows = _write_counted(store, bronze_ops.bronze(messages, prefix=p.lineage_prefix), BRONZE)
+    return {"bronze_records": rows}
 
-    # bronze: decode once, write, read back
-    counts["bronze"] = _write_counted(store, bronze_ops.bronze(messages, prefix=p.lineage_prefix),
-                                      "bronze_transactions")
-    bronze = store.read("bronze_transactions")
 
-    # quality: one annotated lineage, two outputs
+def quality(store: LayerStore, profile: str | Profile = "local",
+            deterministic: bool = True, dedup_method: str = "aggregate") -> dict:
+    """bronze -> quarantine (every invalid row, with its reasons) and silver
+    (valid rows, one per transaction_id)."""
+    p = get_profile(profile)
+    bronze = store.read(BRONZE)
     valid, invalid = quality_ops.split(quality_ops.validate(bronze, p), p)
-    counts["quarantine"] = _write_counted(store, quality_ops.shape_quarantine(invalid, p),
-                                          "quarantine_transactions")
+    out = {"quarantined_records": _write_counted(store, quality_ops.shape_quarantine(invalid, p),
+                                                 QUARANTINE)}
+    obs = Observation("valid_before_dedup")
+    valid = valid.observe(obs, F.count(F.lit(1)).alias("rows"))
     order = quality_ops.survivor_order(p) if deterministic else None
-    silver_df = quality_ops.shape_silver(quality_ops.dedup(valid, ["transaction_id"], order), p)
-    counts["silver"] = _write_counted(store, silver_df, "silver_transactions")
-    silver = store.read("silver_transactions")
-
-    # gold: risk rows, then the metrics from the written risk rows
-    counts["gold_risk"] = _write_counted(store, gold_ops.add_risk(silver),
-                                         "gold_risk_scored_transactions")
-    risk_rows = store.read("gold_risk_scored_transactions")
+    silver = quality_ops.shape_silver(
+        quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
+    out["silver_records"] = _write_counted(store, silver, SILVER)
+    out["valid_before_dedup"] = int(obs.get["rows"])
+    out["duplicates_removed"] = out["valid_before_dedup"] - out["silver_records"]
+    return out
+
+
+def gold(store: LayerStore, profile: str | Profile = "local",
+         money_mode: str = "decimal") -> dict:
+    """silver -> risk-scored rows -> the five metric tables."""
+    p = get_profile(profile)
+    out = {"gold_risk_records": _write_counted(store, gold_ops.add_risk(store.read(SILVER)),
+                                               GOLD_RISK)}
+    risk_rows = store.read(GOLD_RISK)
     for name, table in GOLD_NAMES.items():
         store.write(gold_ops.gold_metric(risk_rows, name, p, money_mode), table)
+    return out
+
 
-    # monitoring: reconcile the written layers
-    metrics = monitor.pipeline_metrics(bronze, silver, store.read("quarantine_transactions"),
-                                       risk_rows, generated_at=True)
+def monitor_layers(store: LayerStore, metrics_path: str | None = None) -> dict:
+    """Reconcile the written layers into the monitoring record."""
+    metrics = monitor.pipeline_metrics(store.read(BRONZE), store.read(SILVER),
+                                       store.read(QUARANTINE), store.read(GOLD_RISK),
+                                       generated_at=True)
     if metrics_path:
         sinks.write_metrics_json(metrics, metrics_path)
-    record = metrics.first().asDict()
+    return metrics.first().asDict()
+
+
+def run_batch(spark: SparkSession, messages: DataFrame, store: LayerStore,
+              profile: str | Profile = "local", deterministic: bool = True,
+              money_mode: str = "decimal", metrics_path: str | None = None) -> dict:
+    """All four jobs for one profile; returns the monitoring record plus the
+    counts observed while writing."""
+    counts = ingest(messages, store, profile)
+    counts.update(quality(store, profile, deterministic))
+    counts.update(gold(store, profile, money_mode))
+    record = monitor_layers(store, metrics_path)
     record["observed_counts"] = counts
     return record
