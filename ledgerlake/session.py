@@ -7,6 +7,7 @@ Everything else is a default that a cluster's own configuration wins over.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -78,3 +79,30 @@ def shared_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of files under ``paths`` (a metadata call on the file system,
+    no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def size_shuffles(spark: SparkSession, paths: list[str], expansion: float = 4.0,
+                  target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Start shuffles with enough partitions for the input, let AQE coalesce.
+
+    ``expansion`` converts compressed columnar bytes to shuffled row bytes.
+    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (AQE
+    merges the small ones after the map stage), never below the cluster's
+    parallelism.  Returns the number chosen.
+    """
+    n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
+    n = max(n, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

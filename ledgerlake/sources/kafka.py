@@ -30,14 +30,23 @@ PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
 
 def kafka_options(bootstrap: str, topic: str, starting: str = "earliest",
                   ending: str | None = None, min_partitions: int | None = None,
+                  max_offsets_per_trigger: int | None = None,
                   **extra: str) -> dict[str, str]:
-    """Options for one subscribed topic. ``ending`` only applies to batch reads."""
+    """Options for one subscribed topic. ``ending`` only applies to batch reads.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch (an ``availableNow`` run
+    over a large backlog then proceeds in several bounded batches instead of
+    one huge one); ``min_partitions`` splits large topic partitions over more
+    tasks.
+    """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
             "startingOffsets": starting}
     if ending is not None:
         opts["endingOffsets"] = ending
     if min_partitions:
         opts["minPartitions"] = str(min_partitions)
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(extra)
     return opts
 
@@ -82,7 +91,7 @@ def redact(options: dict[str, str]) -> dict[str, str]:
 
 def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Bounded read (``startingOffsets`` .. ``endingOffsets``)."""
-    opts = dict(options)
+    opts = {k: v for k, v in options.items() if k != "maxOffsetsPerTrigger"}
     opts.setdefault("endingOffsets", "latest")
     return spark.read.format("kafka").options(**opts).load()
 

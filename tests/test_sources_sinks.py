@@ -83,3 +83,19 @@ def test_run_batch_to_tables(spark, lake):
         1516, 1411, 89)
     assert spark.table("lakehouse_cloud.gold_risk_summary").count() == 3
     assert "validation_error" in spark.table("lakehouse_cloud.silver_transactions").columns
+
+
+def test_rate_limit_option_is_stream_only(spark):
+    opts = kafka.kafka_options("h:1", "t", max_offsets_per_trigger=1000)
+    assert opts["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_size_shuffles_from_input(spark, lake):
+    from ledgerlake.session import input_bytes, size_shuffles
+    lake.bronze("local")
+    path = lake.path("bronze_local")
+    assert input_bytes(spark, [path]) > 0
+    n = size_shuffles(spark, [path], target_bytes=1024)
+    assert n >= spark.sparkContext.defaultParallelism
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
