@@ -95,20 +95,24 @@ class Lakehouse:
         """Transaction events derived from ``orders`` (lazy)."""
         return transactions_from(self.spark, self.sf_dir)
 
-    def encoded_messages(self) -> DataFrame:
-        """Events as Kafka-shaped messages (lazy): the producer's output."""
-        ev = self.events().withColumn("_ts", F.lit(SOURCE_TIMESTAMP).cast("timestamp"))
+    def encoded_messages(self, partitions: int | None = None) -> DataFrame:
+        """Events as Kafka-shaped messages (lazy): the producer's output.
+
+        With ``partitions`` the events are first spread round-robin over that
+        many tasks (like a producer spreading load over a topic's partitions;
+        round-robin stays even when one key is hot), so the JSON encoding runs
+        in parallel whatever the source's file layout.
+        """
+        ev = self.events()
+        if partitions:
+            ev = ev.repartition(partitions)
+        ev = ev.withColumn("_ts", F.lit(SOURCE_TIMESTAMP).cast("timestamp"))
         return bronze_ops.encode_messages(ev, TOPIC, timestamp="_ts")
 
     def topic(self) -> DataFrame:
-        """The message log, written once (stand-in for the broker topic).
-
-        Messages are spread round-robin over ``topic_partitions`` files, like
-        a producer spreading load over a topic's partitions; round-robin keeps
-        the files even even when one key is hot.
-        """
-        self._materialise("topic",
-                          lambda: self.encoded_messages().repartition(self.topic_partitions))
+        """The message log, written once (stand-in for the broker topic),
+        one file per topic partition."""
+        self._materialise("topic", lambda: self.encoded_messages(self.topic_partitions))
         return self.spark.read.schema(KAFKA_SCHEMA).parquet(self.path("topic"))
 
     # -- layers -------------------------------------------------------------
