@@ -35,19 +35,30 @@ def write_metrics_json(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def publish(events: DataFrame, options: dict[str, str], topic: str | None = None,
-            key: str | None = "transaction_id") -> None:
-    """Publish events to a Kafka topic (or Event Hubs' Kafka endpoint).
-
-    Key = ``key`` column (keyless when None), value = JSON of the event with
-    NULL fields kept.  Producer reliability settings default to ``acks=all``
-    and three retries, overridable through ``options``.
-    """
-    msgs = encode_messages(events, topic or options.get("topic", ""), key=key,
-                           partition=None, offset=None).select("key", "value")
+def publish_frame(events: DataFrame, topic: str | None = None,
+                  key: str | None = "transaction_id") -> DataFrame:
+    """The rows a Kafka write sends: ``key`` (NULL when keyless), ``value`` =
+    JSON of the event with NULL fields kept, and ``topic`` when given."""
+    msgs = encode_messages(events, topic or "", key=key, partition=None, offset=None)
+    return msgs.select("key", "value", "topic") if topic else msgs.select("key", "value")
+
+
+def publish_options(options: dict[str, str], topic: str | None = None) -> dict[str, str]:
+    """Writer options from a source option map: producer reliability defaults
+    ``acks=all`` and three retries (overridable), reader-only keys dropped."""
     opts = {"kafka.acks": "all", "kafka.retries": "3"}
     opts.update({k: v for k, v in options.items()
-                 if k not in ("subscribe", "startingOffsets", "endingOffsets")})
+                 if k not in ("subscribe", "startingOffsets", "endingOffsets",
+                              "maxOffsetsPerTrigger", "minPartitions")})
     if topic:
         opts["topic"] = topic
-    msgs.write.format("kafka").options(**opts).save()
+    return opts
+
+
+def publish(events: DataFrame, options: dict[str, str], topic: str | None = None,
+            key: str | None = "transaction_id") -> None:
+    """Publish events to a Kafka topic (or Event Hubs' Kafka endpoint): one
+    distributed write, each task producing its own partition's messages."""
+    topic = topic or options.get("subscribe")
+    (publish_frame(events, None, key).write.format("kafka")
+     .options(**publish_options(options, topic)).save())

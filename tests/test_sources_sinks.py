@@ -99,3 +99,18 @@ def test_size_shuffles_from_input(spark, lake):
     assert n >= spark.sparkContext.defaultParallelism
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(n)
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_publish_frame_and_options(spark):
+    from ledgerlake.sinks import publish_frame, publish_options
+    from tests.helpers import event, events_df
+    df = events_df(spark, event(customer_id=None), event(transaction_id="T2"))
+    rows = publish_frame(df).collect()
+    assert [bytes(r.key).decode() for r in rows] == ["TXN-1", "T2"]
+    assert '"customer_id":null' in bytes(rows[0].value).decode()
+    assert publish_frame(df, key=None).first().key is None
+    assert publish_frame(df, topic="t").columns == ["key", "value", "topic"]
+    opts = publish_options(kafka.eventhubs_options("ns", "hub", "s"), "hub")
+    assert opts["kafka.acks"] == "all" and opts["kafka.retries"] == "3"
+    assert opts["topic"] == "hub" and "subscribe" not in opts
+    assert opts["kafka.security.protocol"] == "SASL_SSL"
