@@ -12,10 +12,11 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from ledgerlake.session import build_session
-    work = tmp_path_factory.mktemp("shared")
+    work = tmp_path_factory.mktemp("work")
+    # spark.checkpoint.dir is left to the environment; the layers go to a
+    # per-session subfolder of it (see ledgerlake.session.shared_dir)
     session = build_session("local[4]", app_name="ledgerlake-tests", extra={
         "spark.sql.shuffle.partitions": "8",
-        "spark.checkpoint.dir": str(work),
         "spark.sql.warehouse.dir": str(work / "warehouse"),
     })
     session.sparkContext.setLogLevel("ERROR")
