@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import gold
 from ledgerlake.schema import RISK_LEVELS
 
 # ---------------------------------------------------------------------------
@@ -73,7 +74,7 @@ def pipeline_metrics(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame
     )
     if generated_at:
         out = out.withColumn("generated_at_utc",
-                             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+                             F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
     return out
 
 
@@ -101,5 +102,5 @@ def batch_stream_reconcile(batch_bronze: DataFrame, stream_bronze: DataFrame) ->
 
 
 def total_value(silver: DataFrame, money_mode: str = "decimal") -> DataFrame:
-    from ledgerlake.operators.gold import total_value as _tv
-    return _tv(silver, money_mode)
+    """Sum of all silver amounts (one row)."""
+    return gold.total_value(silver, money_mode)
