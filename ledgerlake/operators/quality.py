@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ledgerlake.functions.rules import (
     PARSED_TS,
@@ -85,12 +86,27 @@ def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = Non
     lead = [F.col(o) if isinstance(o, str) else o.alias(f"_order{i}")
             for i, o in enumerate(order)]
     tail = [F.col(c) for c in rest if c not in order]
-    best = F.min(F.struct(*lead, *tail)).alias("_best")
-    return (df.groupBy(*keys).agg(best)
+    if all(_orderable(df.schema[c].dataType) for c in rest):
+        best = F.min(F.struct(*lead, *tail))
+    else:
+        # a map column cannot be compared: rank by the order alone
+        # (min_by also combines map-side; ties on the order stay arbitrary)
+        best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*lead))
+    return (df.groupBy(*keys).agg(best.alias("_best"))
               .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
               .select(*cols))
 
 
+def _orderable(dt: DataType) -> bool:
+    if isinstance(dt, MapType):
+        return False
+    if isinstance(dt, ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
 def shape_silver(valid: DataFrame, profile: str | Profile = "local") -> DataFrame:
     """local: drop the error column and the text time, the parsed time takes
     the name ``event_timestamp`` (last column).  cloud: unchanged (the error

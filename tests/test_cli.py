@@ -41,3 +41,16 @@ def test_jobs_end_to_end(tmp_path):
     assert m["high_risk_transactions"] + m["medium_risk_transactions"] + \
         m["low_risk_transactions"] == 8
     assert m["silver_retention_rate_percent"] == 80.0
+
+
+def test_run_command_all_jobs(tmp_path):
+    events = [dict(VALID, transaction_id=f"TXN-{i}", country="DE" if i % 2 else "US",
+                   status="DECLINED", amount=6000.0) for i in range(4)]
+    src = tmp_path / "events.json"
+    src.write_text(json.dumps(events))
+    topic = str(tmp_path / "topic")
+    _run("produce", "--events", str(src), "--topic-dir", topic)
+    rec = _run("run", "--topic-dir", topic, "--root", str(tmp_path / "lake"),
+               "--profile", "cloud", "--metrics-path", str(tmp_path / "m"))
+    assert rec["silver_records"] == 4
+    assert (rec["high_risk_transactions"], rec["medium_risk_transactions"]) == (2, 2)

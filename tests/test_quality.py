@@ -79,3 +79,12 @@ def test_hot_key_is_combined_map_side(spark):
     r = out.filter("transaction_id = 'HOT'").first()
     assert r.kafka_offset == 1
     assert out.count() == 1 + 200_000 // 3 + (1 if 200_000 % 3 else 0)
+
+
+def test_dedup_with_unorderable_payload(spark):
+    df = spark.createDataFrame(
+        [("A", 2, {"k": 1}), ("A", 1, {"k": 2}), ("B", 5, None)],
+        "transaction_id string, kafka_offset long, props map<string,int>")
+    out = {r.transaction_id: (r.kafka_offset, r.props)
+           for r in dedup(df, ["transaction_id"], ["kafka_offset"]).collect()}
+    assert out == {"A": (1, {"k": 2}), "B": (5, None)}
