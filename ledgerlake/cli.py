@@ -106,8 +106,15 @@ def cmd_quality(spark, args) -> dict:
 
 
 def cmd_gold(spark, args) -> dict:
-    from ledgerlake.plans.pipeline import gold
-    return gold(_store(spark, args), PROFILES[args.profile], args.money)
+    from ledgerlake.operators.gold import top
+    from ledgerlake.plans.pipeline import GOLD_NAMES, gold
+    store = _store(spark, args)
+    out = gold(store, PROFILES[args.profile], args.money)
+    if args.show:
+        for name in ("risk_summary", "country", "payment"):
+            print(f"{name}:")
+            top(store.read(GOLD_NAMES[name]), 20).show(20, truncate=False)
+    return out
 
 
 def cmd_monitor(spark, args) -> dict:
@@ -148,6 +155,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--metrics-path", help="where monitor writes the metrics JSON")
     ap.add_argument("--money", default="decimal", choices=["decimal", "double"])
     ap.add_argument("--shuffle-partitions", type=int)
+    ap.add_argument("--show", action="store_true", help="gold: print the top 20 rows of "
+                    "the risk, country and payment tables")
     return ap
 
 

@@ -105,6 +105,15 @@ def gold_tables(silver_df: DataFrame, profile: str | Profile = "local",
     return out
 
 
+def top(df: DataFrame, k: int = 20, order: list[Column] | None = None) -> DataFrame:
+    """The first ``k`` rows by ``order`` (a preview / top-k report).
+
+    ``orderBy(...).limit(k)`` is planned as TakeOrderedAndProject: each task
+    keeps its own top ``k`` and only those are merged, no full sort.
+    """
+    return (df.orderBy(*order) if order else df).limit(k)
+
+
 def total_value(silver_df: DataFrame, money_mode: str = "decimal") -> DataFrame:
     """Sum of all silver amounts, one row."""
     return silver_df.agg(money.total("amount", money_mode).alias("total_transaction_value"))

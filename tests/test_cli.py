@@ -34,7 +34,7 @@ def test_jobs_end_to_end(tmp_path):
     assert again["input_rows"] == 0
     q = _run("quality", "--root", lake)
     assert (q["quarantined_records"], q["silver_records"], q["duplicates_removed"]) == (1, 8, 1)
-    g = _run("gold", "--root", lake)
+    g = _run("gold", "--root", lake, "--show")
     assert g["gold_risk_records"] == 8
     m = _run("monitor", "--root", lake, "--metrics-path", str(tmp_path / "metrics"))
     assert (m["bronze_records"], m["silver_records"], m["quarantined_records"]) == (10, 8, 1)

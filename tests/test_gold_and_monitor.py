@@ -105,3 +105,11 @@ def test_expected_values_and_invariants(spark, lake, p):
     # write-time observations agree with the read-back layers
     assert lake.observed[f"silver_{p}"]["rows"] == e["silver"]
     assert lake.observed[f"quarantine_{p}"]["rows"] == e["quarantine"]
+
+
+def test_top_k_preview(spark, lake):
+    risk = lake.risk_rows("local")
+    got = gold.top(risk, 5, [F.col("amount").desc(), F.col("transaction_id")]).collect()
+    want = sorted(risk.select("amount", "transaction_id").collect(),
+                  key=lambda r: (-r.amount, r.transaction_id))[:5]
+    assert [(r.amount, r.transaction_id) for r in got] == [tuple(r) for r in want]
