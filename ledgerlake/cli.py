@@ -33,7 +33,7 @@ def _session(args):
 
 
 def _store(spark, args):
-    from ledgerlake.plans.pipeline import LayerStore
+    from ledgerlake.plans.jobs import LayerStore
     if not (args.root or args.schema):
         raise SystemExit("--root or --schema is required")
     return LayerStore(spark, root=args.root, schema=args.schema, fmt=args.format)
@@ -72,7 +72,7 @@ def cmd_produce(spark, args) -> dict:
 
 
 def cmd_ingest(spark, args) -> dict:
-    from ledgerlake.plans.pipeline import BRONZE, ingest
+    from ledgerlake.plans.jobs import BRONZE, ingest
     from ledgerlake.streaming.ingest import (
         bronze_stream_from_files,
         bronze_stream_from_kafka,
@@ -97,7 +97,7 @@ def cmd_ingest(spark, args) -> dict:
 
 
 def cmd_quality(spark, args) -> dict:
-    from ledgerlake.plans.pipeline import BRONZE, quality
+    from ledgerlake.plans.jobs import BRONZE, quality
     from ledgerlake.session import size_shuffles
     store = _store(spark, args)
     if args.root and not args.shuffle_partitions:
@@ -107,7 +107,7 @@ def cmd_quality(spark, args) -> dict:
 
 def cmd_gold(spark, args) -> dict:
     from ledgerlake.operators.gold import top
-    from ledgerlake.plans.pipeline import GOLD_NAMES, gold
+    from ledgerlake.plans.jobs import GOLD_NAMES, gold
     store = _store(spark, args)
     out = gold(store, PROFILES[args.profile], args.money)
     if args.show:
@@ -118,12 +118,12 @@ def cmd_gold(spark, args) -> dict:
 
 
 def cmd_monitor(spark, args) -> dict:
-    from ledgerlake.plans.pipeline import monitor_layers
+    from ledgerlake.plans.jobs import monitor_layers
     return monitor_layers(_store(spark, args), args.metrics_path)
 
 
 def cmd_run(spark, args) -> dict:
-    from ledgerlake.plans.pipeline import run_batch
+    from ledgerlake.plans.jobs import run_batch
     return run_batch(spark, _messages(spark, args), _store(spark, args),
                      PROFILES[args.profile], money_mode=args.money,
                      metrics_path=args.metrics_path)

@@ -58,8 +58,8 @@ def layer_counts(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
                   risk], COUNT_COLUMNS)
 
 
-def pipeline_metrics(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
-                     risk_rows: DataFrame, generated_at: bool = False) -> DataFrame:
+def monitoring_record(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
+                      risk_rows: DataFrame, generated_at: bool = False) -> DataFrame:
     """The monitoring record as a one-row frame (same keys as the JSON)."""
     out = layer_counts(bronze, silver, quarantine, risk_rows)
     out = out.select(

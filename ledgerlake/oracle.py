@@ -233,7 +233,7 @@ FROM gold GROUP BY risk_level""")
 SELECT (SELECT count(*) FROM valid) AS valid_before_dedup,
        (SELECT count(*) FROM silver) AS silver_records,
        (SELECT count(*) FROM valid) - (SELECT count(*) FROM silver) AS duplicates_removed""")
-        q[f"pipeline_metrics_{p}"] = _with(p, """,
+        q[f"monitoring_metrics_{p}"] = _with(p, """,
 counts AS (
   SELECT (SELECT count(*) FROM ev) AS b,
          (SELECT count(*) FROM silver) AS s,

@@ -113,9 +113,9 @@ def gold(store: LayerStore, profile: str | Profile = "local",
 
 def monitor_layers(store: LayerStore, metrics_path: str | None = None) -> dict:
     """Reconcile the written layers into the monitoring record."""
-    metrics = monitor.pipeline_metrics(store.read(BRONZE), store.read(SILVER),
-                                       store.read(QUARANTINE), store.read(GOLD_RISK),
-                                       generated_at=True)
+    metrics = monitor.monitoring_record(store.read(BRONZE), store.read(SILVER),
+                                        store.read(QUARANTINE), store.read(GOLD_RISK),
+                                        generated_at=True)
     if metrics_path:
         sinks.write_metrics_json(metrics, metrics_path)
     return metrics.first().asDict()

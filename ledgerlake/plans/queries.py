@@ -155,11 +155,11 @@ def _duplicates_removed(profile):
     return build
 
 
-def _pipeline_metrics(profile):
+def _monitoring_metrics(profile):
     def build(spark, sf_dir):
         lake = _lake(spark, sf_dir)
-        return monitor.pipeline_metrics(lake.bronze(profile), lake.silver(profile),
-                                        lake.quarantine(profile), lake.risk_rows(profile))
+        return monitor.monitoring_record(lake.bronze(profile), lake.silver(profile),
+                                         lake.quarantine(profile), lake.risk_rows(profile))
     return build
 
 
@@ -184,6 +184,6 @@ def registry() -> dict[str, Builder]:
         q[f"total_value_{p}"] = _total_value(p)
         q[f"risk_distribution_{p}"] = _risk_distribution(p)
         q[f"duplicates_removed_{p}"] = _duplicates_removed(p)
-        q[f"pipeline_metrics_{p}"] = _pipeline_metrics(p)
+        q[f"monitoring_metrics_{p}"] = _monitoring_metrics(p)
     q["approved_count"] = approved_count
     return q

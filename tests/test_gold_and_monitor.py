@@ -63,7 +63,7 @@ def test_cloud_daily_keeps_unparsable_dates_as_null_group(spark):
 def test_empty_bronze_metrics_do_not_divide_by_zero(spark):
     b = with_lineage(spark, []).withColumn("ingestion_timestamp", F.current_timestamp())
     silver, quarantine, _ = quality_layers(b, "local")
-    m = monitor.pipeline_metrics(b, silver, quarantine, gold.add_risk(silver)).first()
+    m = monitor.monitoring_record(b, silver, quarantine, gold.add_risk(silver)).first()
     assert m.bronze_records == 0 and m.silver_retention_rate_percent is None
 
 
@@ -81,8 +81,8 @@ EXPECTED = {
 @pytest.mark.parametrize("p", ["local", "cloud"])
 def test_expected_values_and_invariants(spark, lake, p):
     e = EXPECTED[p]
-    m = monitor.pipeline_metrics(lake.bronze(p), lake.silver(p), lake.quarantine(p),
-                                 lake.risk_rows(p)).first()
+    m = monitor.monitoring_record(lake.bronze(p), lake.silver(p), lake.quarantine(p),
+                                  lake.risk_rows(p)).first()
     assert (m.bronze_records, m.silver_records, m.quarantined_records) == (
         e["bronze"], e["silver"], e["quarantine"])
     # bronze = silver + quarantine + removed duplicates

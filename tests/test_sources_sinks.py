@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from ledgerlake.plans.pipeline import LayerStore, run_batch
+from ledgerlake.plans.jobs import LayerStore, run_batch
 from ledgerlake.sources import kafka
 from ledgerlake.sources.files import from_rows, read_event_json
 from ledgerlake.schema import EVENT_FIELDS
