@@ -97,12 +97,8 @@ def cmd_ingest(spark, args) -> dict:
 
 
 def cmd_quality(spark, args) -> dict:
-    from ledgerlake.plans.jobs import BRONZE, quality
-    from ledgerlake.session import size_shuffles
-    store = _store(spark, args)
-    if args.root and not args.shuffle_partitions:
-        size_shuffles(spark, [store.location(BRONZE)])   # the dedup shuffle
-    return quality(store, PROFILES[args.profile])
+    from ledgerlake.plans.jobs import quality
+    return quality(_store(spark, args), PROFILES[args.profile])
 
 
 def cmd_gold(spark, args) -> dict:

@@ -22,6 +22,7 @@ from ledgerlake.operators import bronze as bronze_ops
 from ledgerlake.operators import gold as gold_ops
 from ledgerlake.operators import monitor
 from ledgerlake.operators import quality as quality_ops
+from ledgerlake.session import sized_shuffles
 
 # ---------------------------------------------------------------------------
 # Layer / table names
@@ -89,7 +90,11 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     order = quality_ops.survivor_order(p) if deterministic else None
     silver = quality_ops.shape_silver(
         quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
-    out["silver_records"] = _write_counted(store, silver, SILVER)
+    if store.schema:
+        out["silver_records"] = _write_counted(store, silver, SILVER)
+    else:   # the dedup exchange starts with partitions sized from bronze
+        with sized_shuffles(store.spark, [store.location(BRONZE)]):
+            out["silver_records"] = _write_counted(store, silver, SILVER)
     # The split is exhaustive and disjoint, so valid = bronze - quarantined.
     # (An observation placed before the dedup exchange would sit in a shuffle
     # map stage, whose metrics can be applied twice when a lost executor

@@ -30,7 +30,7 @@ from ledgerlake.operators import bronze as bronze_ops
 from ledgerlake.operators import gold as gold_ops
 from ledgerlake.operators import quality as quality_ops
 from ledgerlake.schema import KAFKA_SCHEMA
-from ledgerlake.session import shared_dir
+from ledgerlake.session import partitions_for, shared_dir, sized_shuffles
 from ledgerlake.sources.orders_feed import (
     SOURCE_TIMESTAMP,
     TOPIC,
@@ -59,8 +59,10 @@ class Lakehouse:
         self.dedup_method = dedup_method
         self.money_mode = money_mode
         # How many files the stand-in topic is spread over (a topic's
-        # partition count); the bronze decode runs one task per file.
-        self.topic_partitions = topic_partitions or spark.sparkContext.defaultParallelism
+        # partition count); the bronze decode runs one task per file.  By
+        # default sized from the source (JSON text is ~10x the columnar bytes).
+        self.topic_partitions = topic_partitions or partitions_for(
+            spark, [f"{self.sf_dir}/orders.parquet"], expansion=10.0)
         self.observed: dict[str, dict] = {}
         self._written: set[str] = set()
 
@@ -132,11 +134,13 @@ class Lakehouse:
                           lambda: quality_ops.shape_quarantine(invalid, p),
                           F.count(F.lit(1)).alias("rows"))
         order = quality_ops.survivor_order(p)
-        self._materialise(
-            f"silver_{p.name}",
-            lambda: quality_ops.shape_silver(
-                quality_ops.dedup(valid, ["transaction_id"], order, self.dedup_method), p),
-            F.count(F.lit(1)).alias("rows"))
+        # the dedup exchange starts with partitions sized from bronze
+        with sized_shuffles(self.spark, [self.path(f"bronze_{p.name}")]):
+            self._materialise(
+                f"silver_{p.name}",
+                lambda: quality_ops.shape_silver(
+                    quality_ops.dedup(valid, ["transaction_id"], order, self.dedup_method), p),
+                F.count(F.lit(1)).alias("rows"))
 
     def silver(self, profile: str | Profile = "local") -> DataFrame:
         p = get_profile(profile)

@@ -8,6 +8,7 @@ Everything else is a default that a cluster's own configuration wins over.
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 import os
 import tempfile
 
@@ -93,16 +94,44 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(spark: SparkSession, paths: list[str], expansion: float = 4.0,
+                   target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partitions for data read from ``paths``: ``expansion`` converts
+    compressed columnar bytes to in-flight row bytes; never below the
+    cluster's parallelism."""
+    n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
+    return max(n, spark.sparkContext.defaultParallelism)
+
+
 def size_shuffles(spark: SparkSession, paths: list[str], expansion: float = 4.0,
-                  target_bytes: int = 128 * 1024 * 1024) -> int:
+                  target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Start shuffles with enough partitions for the input, let AQE coalesce.
 
-    ``expansion`` converts compressed columnar bytes to shuffled row bytes.
-    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (AQE
-    merges the small ones after the map stage), never below the cluster's
-    parallelism.  Returns the number chosen.
+    Sets ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``: AQE
+    can merge small post-shuffle partitions but never split a big one, so the
+    starting number must fit the data.  Returns the number chosen.
     """
-    n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
-    n = max(n, spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    n = partitions_for(spark, paths, expansion, target_bytes)
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
     return n
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, paths: list[str], **kw):
+    """:func:`size_shuffles` for the jobs run inside the block, then restore.
+
+    A value the user set explicitly is kept (their sizing wins).
+    """
+    previous = spark.conf.get(INITIAL_PARTITIONS, None)
+    if previous is not None:
+        yield int(previous)
+        return
+    n = size_shuffles(spark, paths, **kw)
+    try:
+        yield n
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)

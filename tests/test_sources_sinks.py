@@ -114,3 +114,17 @@ def test_publish_frame_and_options(spark):
     assert opts["kafka.acks"] == "all" and opts["kafka.retries"] == "3"
     assert opts["topic"] == "hub" and "subscribe" not in opts
     assert opts["kafka.security.protocol"] == "SASL_SSL"
+
+
+def test_sized_shuffles_is_scoped_and_respects_user_setting(spark, lake):
+    from ledgerlake.session import INITIAL_PARTITIONS, sized_shuffles
+    path = lake.path("bronze_local")
+    lake.bronze("local")
+    with sized_shuffles(spark, [path], target_bytes=1024) as n:
+        assert spark.conf.get(INITIAL_PARTITIONS) == str(n)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    spark.conf.set(INITIAL_PARTITIONS, "7")
+    with sized_shuffles(spark, [path], target_bytes=1024) as n:
+        assert n == 7
+    assert spark.conf.get(INITIAL_PARTITIONS) == "7"
+    spark.conf.unset(INITIAL_PARTITIONS)
