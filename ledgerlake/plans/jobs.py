@@ -31,6 +31,7 @@ BRONZE = "bronze_transactions"
 SILVER = "silver_transactions"
 QUARANTINE = "quarantine_transactions"
 GOLD_RISK = "gold_risk_scored_transactions"
+GOLD_ALL = "gold_metrics_all"
 GOLD_NAMES = {
     "daily": "gold_daily_metrics",
     "merchant": "gold_merchant_metrics",
@@ -110,9 +111,12 @@ def gold(store: LayerStore, profile: str | Profile = "local",
     p = get_profile(profile)
     out = {"gold_risk_records": _write_counted(store, gold_ops.add_risk(store.read(SILVER)),
                                                GOLD_RISK)}
-    risk_rows = store.read(GOLD_RISK)
+    # one scan + one exchange for all five tables, then five tiny splits
+    out["gold_metric_groups"] = _write_counted(
+        store, gold_ops.all_metrics(store.read(GOLD_RISK), p, money_mode), GOLD_ALL)
+    combined = store.read(GOLD_ALL)
     for name, table in GOLD_NAMES.items():
-        store.write(gold_ops.gold_metric(risk_rows, name, p, money_mode), table)
+        store.write(gold_ops.metric_from_all(combined, name, p), table)
     return out
 
 

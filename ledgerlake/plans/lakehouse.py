@@ -168,7 +168,14 @@ class Lakehouse:
                                  lambda: gold_ops.add_risk(self.silver(p)),
                                  F.count(F.lit(1)).alias("rows"))
 
+    def gold_all(self, profile: str | Profile = "local") -> DataFrame:
+        """All five metric tables in one written frame (one scan, one exchange)."""
+        p = get_profile(profile)
+        return self._materialise(f"gold_all_{p.name}",
+                                 lambda: gold_ops.all_metrics(self.risk_rows(p), p,
+                                                              self.money_mode))
+
     def gold(self, name: str, profile: str | Profile = "local") -> DataFrame:
-        """One gold metric table (lazy aggregate over the risk rows)."""
+        """One gold metric table, split out of :meth:`gold_all`."""
         p = get_profile(profile)
-        return gold_ops.gold_metric(self.risk_rows(p), name, p, self.money_mode)
+        return gold_ops.metric_from_all(self.gold_all(p), name, p)

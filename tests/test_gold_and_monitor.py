@@ -113,3 +113,17 @@ def test_top_k_preview(spark, lake):
     want = sorted(risk.select("amount", "transaction_id").collect(),
                   key=lambda r: (-r.amount, r.transaction_id))[:5]
     assert [(r.amount, r.transaction_id) for r in got] == [tuple(r) for r in want]
+
+
+@pytest.mark.parametrize("p", ["local", "cloud"])
+def test_grouping_sets_equal_separate_aggregates(spark, lake, p):
+    risk = lake.risk_rows(p)
+    combined = gold.all_metrics(risk, p)
+    for name in gold.metric_specs(p):
+        one = gold.metric_from_all(combined, name, p)
+        sep = gold.gold_metric(risk, name, p)
+        assert one.columns == sep.columns
+        assert [tuple(r) for r in one.collect()] == [tuple(r) for r in sep.collect()] or \
+            sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, sep.collect()), key=repr)
+    plan = combined._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and plan.count("Exchange") == 1
