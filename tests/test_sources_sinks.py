@@ -65,9 +65,11 @@ def test_run_batch_to_paths(spark, lake, tmp_path):
     assert rec["bronze_records"] == 1516 and rec["silver_records"] == 1417
     assert rec["quarantined_records"] == 83
     assert rec["records_removed_during_quality_processing"] == 16
+    # metric groups: 1054 days + 1417 merchants + 5 countries + 4 methods + 3 levels
     assert rec["observed_counts"] == {"bronze_records": 1516, "quarantined_records": 83,
                                       "silver_records": 1417, "valid_before_dedup": 1433,
-                                      "duplicates_removed": 16, "gold_risk_records": 1417}
+                                      "duplicates_removed": 16, "gold_risk_records": 1417,
+                                      "gold_metric_groups": 2483}
     assert rec["status"] == "SUCCESS" and rec["generated_at_utc"]
     for name in ("gold_daily_metrics", "gold_merchant_metrics", "gold_country_metrics",
                  "gold_payment_method_metrics", "gold_risk_summary"):
