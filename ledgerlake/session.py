@@ -8,9 +8,9 @@ Everything else is a default that a cluster's own configuration wins over.
 from __future__ import annotations
 
 import math
-from contextlib import contextmanager
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -19,15 +19,17 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Performance defaults; applied only when the key is unset.
+# Performance defaults (runtime SQL settings): applied only where the
+# cluster / launcher has not set the key.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast joins are never needed by this pipeline; keep the
-    # threshold modest so a mis-estimated side is never broadcast blindly.
-    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
+}
+
+# Launch settings: no web UI / console progress (batch jobs, no open ports).
+LAUNCH_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -38,17 +40,18 @@ def build_session(master: str | None = None, app_name: str = "ledgerlake",
     """Return a session with the pipeline's defaults.
 
     ``master`` is only set when given (tests / bench pass ``local[N]``); on a
-    cluster the launcher decides.
+    cluster the launcher decides.  ``extra`` settings are applied as given.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    conf.update(extra or {})
-    conf.update(REQUIRED_CONF)
-    for key, value in conf.items():
+    for key, value in {**LAUNCH_CONF, **(extra or {}), **REQUIRED_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    conf = spark._jsparkSession.conf()
+    for key, value in DEFAULT_CONF.items():
+        if not conf.contains(key):
+            spark.conf.set(key, value)
     apply_conf(spark)
     return spark
 
