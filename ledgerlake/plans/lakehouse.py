@@ -75,6 +75,14 @@ class Lakehouse:
                 _REGISTRY[key] = cls(spark, sf_dir, **kw)
             return _REGISTRY[key]
 
+    @classmethod
+    def adopt(cls, lake: "Lakehouse") -> "Lakehouse":
+        """Make ``lake`` (already built) the session's instance for its folder."""
+        key = (lake.spark.sparkContext.applicationId, os.path.abspath(lake.sf_dir), repr([]))
+        with _LOCK:
+            _REGISTRY[key] = lake
+        return lake
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

@@ -113,3 +113,8 @@ def test_layers_are_scoped_per_session(spark, lake):
     other = Lakehouse(spark, lake.sf_dir)
     assert other.root != lake.root
     assert Lakehouse.of(spark, lake.sf_dir) is lake
+
+
+def test_adopted_lakehouse_is_shared(spark, lake):
+    other = Lakehouse(spark, "/root/testdata/sf0.01")
+    assert Lakehouse.adopt(other) is Lakehouse.of(spark, "/root/testdata/sf0.01")
