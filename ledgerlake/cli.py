@@ -36,7 +36,8 @@ def _store(spark, args):
     from ledgerlake.plans.jobs import LayerStore
     if not (args.root or args.schema):
         raise SystemExit("--root or --schema is required")
-    return LayerStore(spark, root=args.root, schema=args.schema, fmt=args.format)
+    return LayerStore(spark, root=args.root, schema=args.schema, fmt=args.format,
+                      layout=args.layout)
 
 
 def _broker_options(args) -> dict[str, str]:
@@ -72,7 +73,7 @@ def cmd_produce(spark, args) -> dict:
 
 
 def cmd_ingest(spark, args) -> dict:
-    from ledgerlake.plans.jobs import BRONZE, ingest
+    from ledgerlake.plans.jobs import ingest
     from ledgerlake.streaming.ingest import (
         bronze_stream_from_files,
         bronze_stream_from_kafka,
@@ -87,7 +88,7 @@ def cmd_ingest(spark, args) -> dict:
     stream = (bronze_stream_from_files(spark, args.topic_dir, profile.lineage_prefix)
               if args.topic_dir else
               bronze_stream_from_kafka(spark, _broker_options(args), profile.lineage_prefix))
-    target = store.location(args.stream_name or BRONZE)
+    target = store.location(args.stream_name or "stream_bronze", profile)
     q = start_stream(stream, args.checkpoint, fmt=args.format,
                      path=None if args.schema else target,
                      table=target if args.schema else None)
@@ -103,19 +104,20 @@ def cmd_quality(spark, args) -> dict:
 
 def cmd_gold(spark, args) -> dict:
     from ledgerlake.operators.gold import top
-    from ledgerlake.plans.jobs import GOLD_NAMES, gold
+    from ledgerlake.plans.jobs import gold
     store = _store(spark, args)
-    out = gold(store, PROFILES[args.profile], args.money)
+    profile = PROFILES[args.profile]
+    out = gold(store, profile, args.money)
     if args.show:
         for name in ("risk_summary", "country", "payment"):
             print(f"{name}:")
-            top(store.read(GOLD_NAMES[name]), 20).show(20, truncate=False)
+            top(store.read(name, profile), 20).show(20, truncate=False)
     return out
 
 
 def cmd_monitor(spark, args) -> dict:
     from ledgerlake.plans.jobs import monitor_layers
-    return monitor_layers(_store(spark, args), args.metrics_path)
+    return monitor_layers(_store(spark, args), args.metrics_path, PROFILES[args.profile])
 
 
 def cmd_run(spark, args) -> dict:
@@ -138,6 +140,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--root", help="folder of layer paths")
     ap.add_argument("--schema", help="catalog schema of layer tables")
     ap.add_argument("--format", default="parquet", help="parquet, delta, ...")
+    ap.add_argument("--layout", choices=["local", "cloud"],
+                    help="layer names to use (default: those of --profile)")
     ap.add_argument("--topic-dir", help="Kafka-shaped Parquet folder (offline topic)")
     ap.add_argument("--bootstrap", help="Kafka bootstrap servers")
     ap.add_argument("--topic", help="topic / event hub name")
@@ -147,7 +151,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--json-lines", action="store_true", help="--events is JSON Lines")
     ap.add_argument("--stream", action="store_true", help="ingest as an availableNow stream")
     ap.add_argument("--checkpoint", help="stream checkpoint location")
-    ap.add_argument("--stream-name", help="bronze table / folder name for the stream")
+    ap.add_argument("--stream-name", help="bronze table / folder name for the stream "
+                    "(default: the layout's streaming bronze)")
     ap.add_argument("--metrics-path", help="where monitor writes the metrics JSON")
     ap.add_argument("--money", default="decimal", choices=["decimal", "double"])
     ap.add_argument("--shuffle-partitions", type=int)

@@ -25,57 +25,94 @@ from ledgerlake.operators import quality as quality_ops
 from ledgerlake.session import sized_shuffles
 
 # ---------------------------------------------------------------------------
-# Layer / table names
+# Where each profile keeps its layers (paths / table names)
 # ---------------------------------------------------------------------------
-BRONZE = "bronze_transactions"
-SILVER = "silver_transactions"
-QUARANTINE = "quarantine_transactions"
-GOLD_RISK = "gold_risk_scored_transactions"
-GOLD_ALL = "gold_metrics_all"
-GOLD_NAMES = {
-    "daily": "gold_daily_metrics",
-    "merchant": "gold_merchant_metrics",
-    "country": "gold_country_metrics",
-    "payment": "gold_payment_method_metrics",
-    "risk_summary": "gold_risk_summary",
+LAYOUTS = {
+    "local": {
+        "bronze": "bronze",
+        "silver": "silver",
+        "quarantine": "quarantine",
+        "risk_rows": "gold/risk_scored_transactions",
+        "daily": "gold/daily_transaction_metrics",
+        "merchant": "gold/merchant_transaction_metrics",
+        "country": "gold/country_transaction_metrics",
+        "payment": "gold/payment_method_metrics",
+        "risk_summary": "gold/risk_summary",
+        "stream_bronze": "bronze",
+    },
+    "cloud": {
+        "bronze": "bronze_transactions",
+        "silver": "silver_transactions",
+        "quarantine": "quarantine_transactions",
+        "risk_rows": "gold_risk_scored_transactions",
+        "daily": "gold_daily_metrics",
+        "merchant": "gold_merchant_metrics",
+        "country": "gold_country_metrics",
+        "payment": "gold_payment_method_metrics",
+        "risk_summary": "gold_risk_summary",
+        "stream_bronze": "bronze_transactions_streaming",
+    },
 }
 # ---------------------------------------------------------------------------
+# ours: all five metric tables in one frame (see operators.gold.all_metrics)
+METRICS_ALL = {"local": "gold/metrics_all", "cloud": "gold_metrics_all"}
+METRIC_LAYERS = ["daily", "merchant", "country", "payment", "risk_summary"]
 
 
 @dataclass
 class LayerStore:
-    """Where layers live: ``root`` folder (paths) or ``schema`` (catalog tables)."""
+    """Where layers live: ``root`` folder (paths) or ``schema`` (catalog tables).
+
+    Layers are addressed by role (``bronze``, ``silver``, ``quarantine``,
+    ``risk_rows``, the metric names, ``stream_bronze``); ``layout`` picks the
+    profile's locations (default: the profile the job runs).  Table names use
+    ``_`` where paths use ``/``.
+    """
     spark: SparkSession
     root: str | None = None
     schema: str | None = None
     fmt: str = "parquet"
+    layout: str | None = None
+
+    def name(self, layer: str, profile: str | Profile | None = None) -> str:
+        """Physical name of a layer role (an unknown role is used as given)."""
+        layout = self.layout or (get_profile(profile).name if profile else "local")
+        if layout not in LAYOUTS:
+            layout = "local"
+        if layer == "metrics_all":
+            name = METRICS_ALL[layout]
+        else:
+            name = LAYOUTS[layout].get(layer, layer)
+        return name.replace("/", "_") if self.schema else name
+
+    def location(self, layer: str, profile: str | Profile | None = None) -> str:
+        name = self.name(layer, profile)
+        return f"{self.schema}.{name}" if self.schema else f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> None:
+    def write(self, df: DataFrame, layer: str, profile: str | Profile | None = None) -> None:
         if self.schema:
             sinks.create_schema(self.spark, self.schema)
-            sinks.write_table(df, f"{self.schema}.{name}", self.fmt)
+            sinks.write_table(df, self.location(layer, profile), self.fmt)
         else:
-            sinks.write_layer(df, f"{self.root}/{name}", self.fmt)
+            sinks.write_layer(df, self.location(layer, profile), self.fmt)
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, layer: str, profile: str | Profile | None = None) -> DataFrame:
         if self.schema:
-            return self.spark.table(f"{self.schema}.{name}")
-        return self.spark.read.format(self.fmt).load(f"{self.root}/{name}")
-
-    def location(self, name: str) -> str:
-        return f"{self.schema}.{name}" if self.schema else f"{self.root}/{name}"
+            return self.spark.table(self.location(layer, profile))
+        return self.spark.read.format(self.fmt).load(self.location(layer, profile))
 
 
-def _write_counted(store: LayerStore, df: DataFrame, name: str) -> int:
-    obs = Observation(name)
-    store.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), name)
+def _write_counted(store: LayerStore, df: DataFrame, layer: str, profile: Profile) -> int:
+    obs = Observation(layer)
+    store.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), layer, profile)
     return int(obs.get["rows"])
 
 
 def ingest(messages: DataFrame, store: LayerStore, profile: str | Profile = "local") -> dict:
     """Bounded ingest: Kafka-shaped messages -> bronze."""
     p = get_profile(profile)
-    rows = _write_counted(store, bronze_ops.bronze(messages, prefix=p.lineage_prefix), BRONZE)
+    rows = _write_counted(store, bronze_ops.bronze(messages, prefix=p.lineage_prefix),
+                          "bronze", p)
     return {"bronze_records": rows}
 
 
@@ -84,18 +121,18 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     """bronze -> quarantine (every invalid row, with its reasons) and silver
     (valid rows, one per transaction_id)."""
     p = get_profile(profile)
-    bronze = store.read(BRONZE)
+    bronze = store.read("bronze", p)
     valid, invalid = quality_ops.split(quality_ops.validate(bronze, p), p)
     out = {"quarantined_records": _write_counted(store, quality_ops.shape_quarantine(invalid, p),
-                                                 QUARANTINE)}
+                                                 "quarantine", p)}
     order = quality_ops.survivor_order(p) if deterministic else None
     silver = quality_ops.shape_silver(
         quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
     if store.schema:
-        out["silver_records"] = _write_counted(store, silver, SILVER)
+        out["silver_records"] = _write_counted(store, silver, "silver", p)
     else:   # the dedup exchange starts with partitions sized from bronze
-        with sized_shuffles(store.spark, [store.location(BRONZE)]):
-            out["silver_records"] = _write_counted(store, silver, SILVER)
+        with sized_shuffles(store.spark, [store.location("bronze", p)]):
+            out["silver_records"] = _write_counted(store, silver, "silver", p)
     # The split is exhaustive and disjoint, so valid = bronze - quarantined.
     # (An observation placed before the dedup exchange would sit in a shuffle
     # map stage, whose metrics can be applied twice when a lost executor
@@ -109,21 +146,23 @@ def gold(store: LayerStore, profile: str | Profile = "local",
          money_mode: str = "decimal") -> dict:
     """silver -> risk-scored rows -> the five metric tables."""
     p = get_profile(profile)
-    out = {"gold_risk_records": _write_counted(store, gold_ops.add_risk(store.read(SILVER)),
-                                               GOLD_RISK)}
+    out = {"gold_risk_records": _write_counted(
+        store, gold_ops.add_risk(store.read("silver", p)), "risk_rows", p)}
     # one scan + one exchange for all five tables, then five tiny splits
     out["gold_metric_groups"] = _write_counted(
-        store, gold_ops.all_metrics(store.read(GOLD_RISK), p, money_mode), GOLD_ALL)
-    combined = store.read(GOLD_ALL)
-    for name, table in GOLD_NAMES.items():
-        store.write(gold_ops.metric_from_all(combined, name, p), table)
+        store, gold_ops.all_metrics(store.read("risk_rows", p), p, money_mode), "metrics_all", p)
+    combined = store.read("metrics_all", p)
+    for name in METRIC_LAYERS:
+        store.write(gold_ops.metric_from_all(combined, name, p), name, p)
     return out
 
 
-def monitor_layers(store: LayerStore, metrics_path: str | None = None) -> dict:
+def monitor_layers(store: LayerStore, metrics_path: str | None = None,
+                   profile: str | Profile = "local") -> dict:
     """Reconcile the written layers into the monitoring record."""
-    metrics = monitor.monitoring_record(store.read(BRONZE), store.read(SILVER),
-                                        store.read(QUARANTINE), store.read(GOLD_RISK),
+    p = get_profile(profile)
+    metrics = monitor.monitoring_record(store.read("bronze", p), store.read("silver", p),
+                                        store.read("quarantine", p), store.read("risk_rows", p),
                                         generated_at=True)
     if metrics_path:
         sinks.write_metrics_json(metrics, metrics_path)
@@ -138,6 +177,6 @@ def run_batch(spark: SparkSession, messages: DataFrame, store: LayerStore,
     counts = ingest(messages, store, profile)
     counts.update(quality(store, profile, deterministic))
     counts.update(gold(store, profile, money_mode))
-    record = monitor_layers(store, metrics_path)
+    record = monitor_layers(store, metrics_path, profile)
     record["observed_counts"] = counts
     return record

@@ -21,7 +21,7 @@ SCRIPT = textwrap.dedent('''
     from pyspark.sql import functions as F
     from ledgerlake.session import build_session
     from ledgerlake.plans.lakehouse import Lakehouse
-    from ledgerlake.plans.jobs import BRONZE, LayerStore, ingest, quality, gold
+    from ledgerlake.plans.jobs import LayerStore, ingest, quality, gold
 
     spark = build_session("local[4,4]", extra={"spark.sql.shuffle.partitions": "4"})
     spark.sparkContext.setLogLevel("WARN")
@@ -34,16 +34,16 @@ SCRIPT = textwrap.dedent('''
         return True
 
     class FlakyStore(LayerStore):
-        def read(self, name):
-            df = super().read(name)
-            return df.filter(flaky(F.col("transaction_id"))) if name == BRONZE else df
+        def read(self, layer, profile=None):
+            df = super().read(layer, profile)
+            return df.filter(flaky(F.col("transaction_id"))) if layer == "bronze" else df
 
     lake = Lakehouse(spark, %(sf)r)
     store = FlakyStore(spark, root=lake.root + "/jobs")
     out = ingest(lake.topic().repartition(4), store, "local")
     out.update(quality(store, "local"))
     out.update(gold(store, "local"))
-    silver = spark.read.parquet(store.location("silver_transactions"))
+    silver = spark.read.parquet(store.location("silver", "local"))
     out["silver_distinct_ids"] = silver.select("transaction_id").distinct().count()
     print(json.dumps(out))
 ''')

@@ -71,9 +71,11 @@ def test_run_batch_to_paths(spark, lake, tmp_path):
                                       "duplicates_removed": 16, "gold_risk_records": 1417,
                                       "gold_metric_groups": 2483}
     assert rec["status"] == "SUCCESS" and rec["generated_at_utc"]
-    for name in ("gold_daily_metrics", "gold_merchant_metrics", "gold_country_metrics",
-                 "gold_payment_method_metrics", "gold_risk_summary"):
-        assert os.path.isdir(tmp_path / "lake" / name)
+    for name in ("bronze", "silver", "quarantine", "gold/risk_scored_transactions",
+                 "gold/daily_transaction_metrics", "gold/merchant_transaction_metrics",
+                 "gold/country_transaction_metrics", "gold/payment_method_metrics",
+                 "gold/risk_summary"):
+        assert os.path.isdir(tmp_path / "lake" / name), name
     doc = spark.read.json(str(tmp_path / "metrics")).first().asDict()
     assert doc["silver_retention_rate_percent"] == rec["silver_retention_rate_percent"]
 
@@ -85,6 +87,10 @@ def test_run_batch_to_tables(spark, lake):
         1516, 1411, 89)
     assert spark.table("lakehouse_cloud.gold_risk_summary").count() == 3
     assert "validation_error" in spark.table("lakehouse_cloud.silver_transactions").columns
+    assert spark.table("lakehouse_cloud.gold_risk_scored_transactions").count() == 1411
+    local_tables = LayerStore(spark, schema="lakehouse_cloud", layout="local")
+    assert local_tables.location("risk_rows") == "lakehouse_cloud.gold_risk_scored_transactions"
+    assert local_tables.location("bronze") == "lakehouse_cloud.bronze"
 
 
 def test_rate_limit_option_is_stream_only(spark):
