@@ -10,9 +10,10 @@ and every later layer reads it back, as the reference's separate jobs do:
   each message twice (it would, over a single lazy lineage);
 * later jobs scan Parquet with column pruning and pushed filters.
 
-Layers are written once per session and then shared by every query.  The
-write of each layer carries an ``Observation`` so its row counts arrive with
-the write itself, without another scan.
+Layers are written once per session, by the same batch jobs a user runs
+(:mod:`ledgerlake.plans.jobs`: ingest, quality, gold) into a per-profile
+:class:`LayerStore` with the profile's layout, and then shared by every query.
+The jobs' write-time counts are kept in :attr:`Lakehouse.counts`.
 """
 
 from __future__ import annotations
@@ -22,15 +23,17 @@ import os
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.rules import Profile, get_profile, is_valid
 from ledgerlake.operators import bronze as bronze_ops
 from ledgerlake.operators import gold as gold_ops
 from ledgerlake.operators import quality as quality_ops
+from ledgerlake.plans import jobs
+from ledgerlake.plans.jobs import LayerStore
 from ledgerlake.schema import KAFKA_SCHEMA
-from ledgerlake.session import partitions_for, shared_dir, sized_shuffles
+from ledgerlake.session import partitions_for, shared_dir
 from ledgerlake.sources.orders_feed import (
     SOURCE_TIMESTAMP,
     TOPIC,
@@ -63,8 +66,8 @@ class Lakehouse:
         # default sized from the source (JSON text is ~10x the columnar bytes).
         self.topic_partitions = topic_partitions or partitions_for(
             spark, [f"{self.sf_dir}/orders.parquet"], expansion=10.0)
-        self.observed: dict[str, dict] = {}
-        self._written: set[str] = set()
+        self.counts: dict[str, dict] = {}      # per profile: the jobs' write-time counts
+        self._written: set = set()
 
     # -- registry: one instance (one set of written layers) per session ----
     @classmethod
@@ -86,20 +89,26 @@ class Lakehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _materialise(self, name: str, build, *observe) -> DataFrame:
+    def _materialise(self, name: str, build) -> DataFrame:
         path = self.path(name)
         with _LOCK:
             if name not in self._written:
-                df = build()
-                if observe:
-                    obs = Observation(name)
-                    df = df.observe(obs, *observe)
-                df.write.mode("overwrite").parquet(path)
-                if observe:
-                    self.observed[name] = dict(obs.get)
+                build().write.mode("overwrite").parquet(path)
                 self._written.add(name)
         return self.spark.read.parquet(path)
 
+    def store(self, profile: str | Profile = "local") -> LayerStore:
+        """The profile's layers (the profile's own layout) under ``root``."""
+        p = get_profile(profile)
+        return LayerStore(self.spark, root=f"{self.root}/{p.name}", layout=p.name)
+
+    def _run(self, p: Profile, job: str, fn) -> None:
+        """Run one of the batch jobs once per session; keep its counts."""
+        with _LOCK:
+            if (p.name, job) not in self._written:
+                self.counts.setdefault(p.name, {}).update(fn())
+                self._written.add((p.name, job))
+
     # -- sources ------------------------------------------------------------
     def events(self) -> DataFrame:
         """Transaction events derived from ``orders`` (lazy)."""
@@ -125,40 +134,26 @@ class Lakehouse:
         self._materialise("topic", lambda: self.encoded_messages(self.topic_partitions))
         return self.spark.read.schema(KAFKA_SCHEMA).parquet(self.path("topic"))
 
-    # -- layers -------------------------------------------------------------
+    # -- layers: the batch jobs of plans.jobs, run once each ------------------
     def bronze(self, profile: str | Profile = "local") -> DataFrame:
         p = get_profile(profile)
-        return self._materialise(
-            f"bronze_{p.name}",
-            lambda: bronze_ops.bronze(self.topic(), prefix=p.lineage_prefix),
-            F.count(F.lit(1)).alias("rows"))
+        self._run(p, "ingest", lambda: jobs.ingest(self.topic(), self.store(p), p))
+        return self.store(p).read("bronze", p)
 
     def _quality(self, p: Profile) -> None:
-        if f"silver_{p.name}" in self._written:
-            return
-        validated = quality_ops.validate(self.bronze(p), p)
-        valid, invalid = quality_ops.split(validated, p)
-        self._materialise(f"quarantine_{p.name}",
-                          lambda: quality_ops.shape_quarantine(invalid, p),
-                          F.count(F.lit(1)).alias("rows"))
-        order = quality_ops.survivor_order(p)
-        # the dedup exchange starts with partitions sized from bronze
-        with sized_shuffles(self.spark, [self.path(f"bronze_{p.name}")]):
-            self._materialise(
-                f"silver_{p.name}",
-                lambda: quality_ops.shape_silver(
-                    quality_ops.dedup(valid, ["transaction_id"], order, self.dedup_method), p),
-                F.count(F.lit(1)).alias("rows"))
+        self.bronze(p)
+        self._run(p, "quality",
+                  lambda: jobs.quality(self.store(p), p, dedup_method=self.dedup_method))
 
     def silver(self, profile: str | Profile = "local") -> DataFrame:
         p = get_profile(profile)
         self._quality(p)
-        return self.spark.read.parquet(self.path(f"silver_{p.name}"))
+        return self.store(p).read("silver", p)
 
     def quarantine(self, profile: str | Profile = "local") -> DataFrame:
         p = get_profile(profile)
         self._quality(p)
-        return self.spark.read.parquet(self.path(f"quarantine_{p.name}"))
+        return self.store(p).read("quarantine", p)
 
     def validated(self, profile: str | Profile = "local") -> DataFrame:
         """Bronze + error column (lazy over the written bronze)."""
@@ -169,21 +164,24 @@ class Lakehouse:
         p = get_profile(profile)
         return self.validated(p).filter(is_valid(p))
 
+    def _gold(self, p: Profile) -> None:
+        self._quality(p)
+        self._run(p, "gold", lambda: jobs.gold(self.store(p), p, self.money_mode))
+
     def risk_rows(self, profile: str | Profile = "local") -> DataFrame:
-        """Gold risk-scored rows, written once (monitoring reads them back)."""
+        """Gold risk-scored rows (written by the gold job)."""
         p = get_profile(profile)
-        return self._materialise(f"gold_risk_{p.name}",
-                                 lambda: gold_ops.add_risk(self.silver(p)),
-                                 F.count(F.lit(1)).alias("rows"))
+        self._gold(p)
+        return self.store(p).read("risk_rows", p)
 
     def gold_all(self, profile: str | Profile = "local") -> DataFrame:
         """All five metric tables in one written frame (one scan, one exchange)."""
         p = get_profile(profile)
-        return self._materialise(f"gold_all_{p.name}",
-                                 lambda: gold_ops.all_metrics(self.risk_rows(p), p,
-                                                              self.money_mode))
+        self._gold(p)
+        return self.store(p).read("metrics_all", p)
 
     def gold(self, name: str, profile: str | Profile = "local") -> DataFrame:
-        """One gold metric table, split out of :meth:`gold_all`."""
+        """One gold metric table, split out of :meth:`gold_all` (with the
+        profile's ordering)."""
         p = get_profile(profile)
         return gold_ops.metric_from_all(self.gold_all(p), name, p)

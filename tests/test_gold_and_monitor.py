@@ -103,8 +103,10 @@ def test_expected_values_and_invariants(spark, lake, p):
         assert round(sum(r[total_col] for r in lake.gold(name, p).collect()), 2) == total
     assert lake.gold("daily", p).count() == e["daily"]
     # write-time observations agree with the read-back layers
-    assert lake.observed[f"silver_{p}"]["rows"] == e["silver"]
-    assert lake.observed[f"quarantine_{p}"]["rows"] == e["quarantine"]
+    counts = lake.counts[p]
+    assert (counts["bronze_records"], counts["silver_records"], counts["quarantined_records"],
+            counts["valid_before_dedup"], counts["gold_risk_records"]) == (
+        e["bronze"], e["silver"], e["quarantine"], e["valid"], e["silver"])
 
 
 def test_top_k_preview(spark, lake):

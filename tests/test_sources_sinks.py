@@ -101,7 +101,7 @@ def test_rate_limit_option_is_stream_only(spark):
 def test_size_shuffles_from_input(spark, lake):
     from ledgerlake.session import input_bytes, size_shuffles
     lake.bronze("local")
-    path = lake.path("bronze_local")
+    path = lake.store("local").location("bronze", "local")
     assert input_bytes(spark, [path]) > 0
     n = size_shuffles(spark, [path], target_bytes=1024)
     assert n >= spark.sparkContext.defaultParallelism
@@ -126,7 +126,7 @@ def test_publish_frame_and_options(spark):
 
 def test_sized_shuffles_is_scoped_and_respects_user_setting(spark, lake):
     from ledgerlake.session import INITIAL_PARTITIONS, sized_shuffles
-    path = lake.path("bronze_local")
+    path = lake.store("local").location("bronze", "local")
     lake.bronze("local")
     with sized_shuffles(spark, [path], target_bytes=1024) as n:
         assert spark.conf.get(INITIAL_PARTITIONS) == str(n)
