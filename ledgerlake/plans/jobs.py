@@ -11,6 +11,7 @@ is counted once) and from Parquet footers, not from extra scans.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -152,8 +153,14 @@ def gold(store: LayerStore, profile: str | Profile = "local",
     out["gold_metric_groups"] = _write_counted(
         store, gold_ops.all_metrics(store.read("risk_rows", p), p, money_mode), "metrics_all", p)
     combined = store.read("metrics_all", p)
-    for name in METRIC_LAYERS:
-        store.write(gold_ops.metric_from_all(combined, name, p), name, p)
+    if store.schema:
+        sinks.create_schema(store.spark, store.schema)
+    # five tiny independent writes: submitted together so their scheduling
+    # latency overlaps (Spark runs jobs from separate threads concurrently)
+    with ThreadPoolExecutor(max_workers=len(METRIC_LAYERS)) as pool:
+        for done in [pool.submit(store.write, gold_ops.metric_from_all(combined, name, p), name, p)
+                     for name in METRIC_LAYERS]:
+            done.result()
     return out
 
 
