@@ -12,6 +12,7 @@ is counted once) and from Parquet footers, not from extra scans.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -124,16 +125,21 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     p = get_profile(profile)
     bronze = store.read("bronze", p)
     valid, invalid = quality_ops.split(quality_ops.validate(bronze, p), p)
-    out = {"quarantined_records": _write_counted(store, quality_ops.shape_quarantine(invalid, p),
-                                                 "quarantine", p)}
     order = quality_ops.survivor_order(p) if deterministic else None
     silver = quality_ops.shape_silver(
         quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
     if store.schema:
-        out["silver_records"] = _write_counted(store, silver, "silver", p)
-    else:   # the dedup exchange starts with partitions sized from bronze
-        with sized_shuffles(store.spark, [store.location("bronze", p)]):
-            out["silver_records"] = _write_counted(store, silver, "silver", p)
+        sinks.create_schema(store.spark, store.schema)
+    sizing = (nullcontext() if store.schema else
+              sized_shuffles(store.spark, [store.location("bronze", p)]))
+    # The two outputs are independent jobs over bronze: submit them together
+    # (the quarantine write is map-only; the dedup exchange starts with
+    # partitions sized from the bronze bytes).
+    with sizing, ThreadPoolExecutor(max_workers=2) as pool:
+        quarantined = pool.submit(_write_counted, store, quality_ops.shape_quarantine(invalid, p),
+                                  "quarantine", p)
+        silvered = pool.submit(_write_counted, store, silver, "silver", p)
+        out = {"quarantined_records": quarantined.result(), "silver_records": silvered.result()}
     # The split is exhaustive and disjoint, so valid = bronze - quarantined.
     # (An observation placed before the dedup exchange would sit in a shuffle
     # map stage, whose metrics can be applied twice when a lost executor
