@@ -162,13 +162,16 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
+    from pyspark.sql import SparkSession
     args = parser().parse_args(argv)
+    owned = SparkSession.getActiveSession() is None   # stop only what we start
     spark = _session(args)
     try:
         out = COMMANDS[args.command](spark, args)
         print(json.dumps(out, default=str))
     finally:
-        spark.stop()
+        if owned:
+            spark.stop()
     return 0
 
 

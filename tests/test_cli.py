@@ -1,4 +1,5 @@
-"""The jobs as separate processes: produce -> ingest (stream) -> quality -> gold -> monitor."""
+"""The CLI jobs: produce -> ingest (stream) -> quality -> gold -> monitor in this
+process, and the all-in-one ``run`` as separate processes."""
 
 import json
 import os
@@ -18,25 +19,33 @@ def _run(*args):
     return json.loads(out.stdout.strip().splitlines()[-1])
 
 
-def test_jobs_end_to_end(tmp_path):
+def _run_here(capsys, *args):
+    """The same commands in this process (the session is shared, not stopped)."""
+    from ledgerlake.cli import main
+    capsys.readouterr()
+    assert main(list(args)) == 0
+    return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+
+def test_jobs_end_to_end(spark, tmp_path, capsys):
     events = [dict(VALID, transaction_id=f"TXN-{i}", amount=1000.0 * (i + 1)) for i in range(8)]
     events += [dict(VALID, transaction_id="TXN-0", amount=1.0),           # duplicate
                dict(VALID, transaction_id="TXN-X", currency="XYZ")]       # invalid
     src = tmp_path / "events.json"
     src.write_text(json.dumps(events, indent=4))
     topic, lake = str(tmp_path / "topic"), str(tmp_path / "lake")
-    _run("produce", "--events", str(src), "--topic-dir", topic, "--topic", "tx")
-    got = _run("ingest", "--stream", "--topic-dir", topic, "--root", lake,
-               "--checkpoint", str(tmp_path / "ckpt"))
+    _run_here(capsys, "produce", "--events", str(src), "--topic-dir", topic, "--topic", "tx")
+    got = _run_here(capsys, "ingest", "--stream", "--topic-dir", topic, "--root", lake,
+                    "--checkpoint", str(tmp_path / "ckpt"))
     assert got["input_rows"] == 10
-    again = _run("ingest", "--stream", "--topic-dir", topic, "--root", lake,
-                 "--checkpoint", str(tmp_path / "ckpt"))
+    again = _run_here(capsys, "ingest", "--stream", "--topic-dir", topic, "--root", lake,
+                      "--checkpoint", str(tmp_path / "ckpt"))
     assert again["input_rows"] == 0
-    q = _run("quality", "--root", lake)
+    q = _run_here(capsys, "quality", "--root", lake)
     assert (q["quarantined_records"], q["silver_records"], q["duplicates_removed"]) == (1, 8, 1)
-    g = _run("gold", "--root", lake, "--show")
+    g = _run_here(capsys, "gold", "--root", lake, "--show")
     assert g["gold_risk_records"] == 8
-    m = _run("monitor", "--root", lake, "--metrics-path", str(tmp_path / "metrics"))
+    m = _run_here(capsys, "monitor", "--root", lake, "--metrics-path", str(tmp_path / "metrics"))
     assert (m["bronze_records"], m["silver_records"], m["quarantined_records"]) == (10, 8, 1)
     assert m["high_risk_transactions"] + m["medium_risk_transactions"] + \
         m["low_risk_transactions"] == 8
