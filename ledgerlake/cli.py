@@ -97,9 +97,13 @@ def cmd_ingest(spark, args) -> dict:
             "input_rows": sum(p["numInputRows"] for p in q.recentProgress)}
 
 
+DEDUP = {"earliest": (True, "aggregate"), "window": (True, "window"), "any": (False, "aggregate")}
+
+
 def cmd_quality(spark, args) -> dict:
     from ledgerlake.plans.jobs import quality
-    return quality(_store(spark, args), PROFILES[args.profile])
+    deterministic, method = DEDUP[args.dedup]
+    return quality(_store(spark, args), PROFILES[args.profile], deterministic, method)
 
 
 def cmd_gold(spark, args) -> dict:
@@ -122,8 +126,10 @@ def cmd_monitor(spark, args) -> dict:
 
 def cmd_run(spark, args) -> dict:
     from ledgerlake.plans.jobs import run_batch
+    deterministic, method = DEDUP[args.dedup]
     return run_batch(spark, _messages(spark, args), _store(spark, args),
-                     PROFILES[args.profile], money_mode=args.money,
+                     PROFILES[args.profile], deterministic=deterministic,
+                     dedup_method=method, money_mode=args.money,
                      metrics_path=args.metrics_path)
 
 
@@ -155,6 +161,9 @@ def parser() -> argparse.ArgumentParser:
                     "(default: the layout's streaming bronze)")
     ap.add_argument("--metrics-path", help="where monitor writes the metrics JSON")
     ap.add_argument("--money", default="decimal", choices=["decimal", "double"])
+    ap.add_argument("--dedup", default="earliest", choices=sorted(DEDUP),
+                    help="survivor of a duplicated transaction_id: the earliest message "
+                         "(aggregate or window plan), or any (dropDuplicates)")
     ap.add_argument("--shuffle-partitions", type=int)
     ap.add_argument("--show", action="store_true", help="gold: print the top 20 rows of "
                     "the risk, country and payment tables")

@@ -184,11 +184,12 @@ def monitor_layers(store: LayerStore, metrics_path: str | None = None,
 
 def run_batch(spark: SparkSession, messages: DataFrame, store: LayerStore,
               profile: str | Profile = "local", deterministic: bool = True,
-              money_mode: str = "decimal", metrics_path: str | None = None) -> dict:
+              money_mode: str = "decimal", metrics_path: str | None = None,
+              dedup_method: str = "aggregate") -> dict:
     """All four jobs for one profile; returns the monitoring record plus the
     counts observed while writing."""
     counts = ingest(messages, store, profile)
-    counts.update(quality(store, profile, deterministic))
+    counts.update(quality(store, profile, deterministic, dedup_method))
     counts.update(gold(store, profile, money_mode))
     record = monitor_layers(store, metrics_path, profile)
     record["observed_counts"] = counts

@@ -60,6 +60,6 @@ def test_run_command_all_jobs(tmp_path):
     topic = str(tmp_path / "topic")
     _run("produce", "--events", str(src), "--topic-dir", topic)
     rec = _run("run", "--topic-dir", topic, "--root", str(tmp_path / "lake"),
-               "--profile", "cloud", "--metrics-path", str(tmp_path / "m"))
+               "--profile", "cloud", "--metrics-path", str(tmp_path / "m"), "--dedup", "window")
     assert rec["silver_records"] == 4
     assert (rec["high_risk_transactions"], rec["medium_risk_transactions"]) == (2, 2)
