@@ -129,3 +129,16 @@ def test_grouping_sets_equal_separate_aggregates(spark, lake, p):
             sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, sep.collect()), key=repr)
     plan = combined._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in plan and plan.count("Exchange") == 1
+
+
+def test_double_money_mode_agrees_to_the_cent(spark, lake):
+    risk = lake.risk_rows("local")
+    keys = ["metric", "transaction_date", "merchant_id", "merchant_category", "country",
+            "payment_method", "risk_level"]
+    dec = {tuple(r[k] for k in keys): r for r in gold.all_metrics(risk, "local").collect()}
+    dbl = {tuple(r[k] for k in keys): r
+           for r in gold.all_metrics(risk, "local", "double").collect()}
+    assert dec.keys() == dbl.keys() and len(dec) == 1054 + 1417 + 5 + 4 + 3
+    for k in dec:
+        assert abs(dec[k].total_transaction_amount - dbl[k].total_transaction_amount) < 0.011
+        assert abs(dec[k].average_transaction_amount - dbl[k].average_transaction_amount) < 0.011
