@@ -66,7 +66,8 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``.  Only a local-mode session without it
+    Read from ``spark.checkpoint.dir`` (or the context's ``setCheckpointDir``).
+    Only a local-mode session without one
     (tests, the bench) gets a fresh scratch folder; a cluster session must
     name a shared one, because executors can be lost at any time and
     intermediate state has to outlive them.
@@ -74,15 +75,19 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
+    ctx_dir = spark.sparkContext._jsc.sc().getCheckpointDir()   # setCheckpointDir()
+    if ctx_dir.isDefined():
+        return str(ctx_dir.get()).rstrip("/")
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared "
             "folder (HDFS / object store) for checkpoints and layer tables")
-    path = tempfile.mkdtemp(prefix="ledgerlake-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    # (spark.checkpoint.dir is a core setting: it cannot change at run time,
+    # but the context's checkpoint folder can, and is found above next time)
+    spark.sparkContext.setCheckpointDir(
+        tempfile.mkdtemp(prefix="ledgerlake-", dir=os.environ.get("TMPDIR", "/tmp")))
+    return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
