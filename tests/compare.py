@@ -50,6 +50,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
     import __spark_entry__ as entry
     qs, sqls = entry.queries(), entry.oracle_sql()
@@ -69,8 +73,12 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
         d_rows = rel.fetchall()
         sc, sr = canon(s_cols, s_rows)
         dc, dr = canon(d_cols, d_rows)
+        s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+        d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
         if sc != dc:
             status = f"COLUMNS {sc} != {dc}"
+        elif s_types != d_types:
+            status = f"TYPES {s_types} != {d_types}"
         elif len(sr) != len(dr):
             status = f"ROWS {len(sr)} != {len(dr)}"
         elif sr != dr:
