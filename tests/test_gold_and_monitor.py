@@ -142,3 +142,31 @@ def test_double_money_mode_agrees_to_the_cent(spark, lake):
     for k in dec:
         assert abs(dec[k].total_transaction_amount - dbl[k].total_transaction_amount) < 0.011
         assert abs(dec[k].average_transaction_amount - dbl[k].average_transaction_amount) < 0.011
+
+
+# FIXTURES.md section 4, sf0.001: error histograms and country metrics
+HISTOGRAM = {
+    "local": {"": 1433, "MISSING_TRANSACTION_ID": 2, "MISSING_CUSTOMER_ID": 15,
+              "MISSING_AMOUNT": 2, "INVALID_AMOUNT": 15, "INVALID_AMOUNT; INVALID_CURRENCY": 2,
+              "INVALID_CURRENCY": 15, "INVALID_STATUS": 15, "INVALID_OR_MISSING_TIMESTAMP": 17},
+    "cloud": {None: 1427, "MISSING_TRANSACTION_ID": 2, "MISSING_CUSTOMER_ID": 17,
+              "MISSING_AMOUNT": 2, "INVALID_AMOUNT": 17, "INVALID_CURRENCY": 19,
+              "INVALID_STATUS": 17, "MISSING_EVENT_TIMESTAMP": 15},
+}
+COUNTRY = {
+    "local": {"US": (890, 4395900.67, 4939.21), "CA": (174, 900082.49, 5172.89),
+              "GB": (183, 990964.22, 5415.11), "DE": (168, 799763.79, 4760.50),
+              None: (2, 10239.75, 5119.88)},
+    "cloud": {"US": (886, 4377521.19, 4940.77), "CA": (174, 904776.25, 5199.86),
+              "GB": (182, 981719.81, 5394.06), "DE": (167, 803750.32, 4812.88),
+              None: (2, 10239.75, 5119.88)},
+}
+
+
+@pytest.mark.parametrize("p", ["local", "cloud"])
+def test_fixture_histogram_and_countries(spark, lake, p):
+    err = "error_reason" if p == "local" else "validation_error"
+    hist = {r[err]: r["count"] for r in lake.validated(p).groupBy(err).count().collect()}
+    assert hist == HISTOGRAM[p]
+    got = {r.country: (r.transaction_count, r[2], r[3]) for r in lake.gold("country", p).collect()}
+    assert got == COUNTRY[p]
