@@ -77,6 +77,7 @@ def cmd_ingest(spark, args) -> dict:
     from ledgerlake.streaming.ingest import (
         bronze_stream_from_files,
         bronze_stream_from_kafka,
+        progress_report,
         start_stream,
     )
     store = _store(spark, args)
@@ -93,8 +94,10 @@ def cmd_ingest(spark, args) -> dict:
                      path=None if args.schema else target,
                      table=target if args.schema else None)
     q.awaitTermination()
-    return {"micro_batches": len(q.recentProgress),
-            "input_rows": sum(p["numInputRows"] for p in q.recentProgress)}
+    report = [r.asDict() for r in progress_report(spark, q).collect()]   # one row per batch
+    return {"micro_batches": len(report),
+            "input_rows": sum(r["num_input_rows"] for r in report),
+            "batches": report}
 
 
 DEDUP = {"earliest": (True, "aggregate"), "window": (True, "window"), "any": (False, "aggregate")}

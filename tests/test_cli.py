@@ -38,6 +38,7 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     got = _run_here(capsys, "ingest", "--stream", "--topic-dir", topic, "--root", lake,
                     "--checkpoint", str(tmp_path / "ckpt"))
     assert got["input_rows"] == 10
+    assert got["batches"][0]["processed_rows_per_second"] > 0
     again = _run_here(capsys, "ingest", "--stream", "--topic-dir", topic, "--root", lake,
                       "--checkpoint", str(tmp_path / "ckpt"))
     assert again["input_rows"] == 0
