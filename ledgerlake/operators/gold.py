@@ -147,12 +147,15 @@ def metric_from_all(combined: DataFrame, name: str, profile: str | Profile = "lo
 
 def gold_tables(silver_df: DataFrame, profile: str | Profile = "local",
                 money_mode: str = "decimal") -> dict[str, DataFrame]:
-    """risk rows + the five metric tables of the profile (all lazy)."""
+    """risk rows + the five metric tables of the profile (all lazy; the five
+    share one grouping-sets aggregate -- write or cache ``all_metrics`` first
+    when several of them are materialised)."""
     p = get_profile(profile)
     risk_rows = add_risk(silver_df)
+    combined = all_metrics(risk_rows, p, money_mode)
     out = {"risk_rows": risk_rows}
     for name in metric_specs(p):
-        out[name] = gold_metric(risk_rows, name, p, money_mode)
+        out[name] = metric_from_all(combined, name, p)
     return out
 
 

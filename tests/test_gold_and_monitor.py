@@ -170,3 +170,9 @@ def test_fixture_histogram_and_countries(spark, lake, p):
     assert hist == HISTOGRAM[p]
     got = {r.country: (r.transaction_count, r[2], r[3]) for r in lake.gold("country", p).collect()}
     assert got == COUNTRY[p]
+
+
+def test_gold_tables_lazy_api(spark, lake):
+    tables = gold.gold_tables(lake.silver("cloud"), "cloud")
+    assert set(tables) == {"risk_rows", "daily", "merchant", "country", "payment", "risk_summary"}
+    assert tables["risk_summary"].count() == 3 and tables["merchant"].count() == 8
