@@ -136,3 +136,18 @@ def test_sized_shuffles_is_scoped_and_respects_user_setting(spark, lake):
         assert n == 7
     assert spark.conf.get(INITIAL_PARTITIONS) == "7"
     spark.conf.unset(INITIAL_PARTITIONS)
+
+
+def test_run_batch_with_another_format(spark, lake, tmp_path):
+    """The layer format is a parameter (ORC here; Delta / Iceberg the same way)."""
+    store = LayerStore(spark, root=str(tmp_path / "orc"), fmt="orc")
+    rec = run_batch(spark, lake.topic(), store, "cloud")
+    assert (rec["bronze_records"], rec["silver_records"]) == (1516, 1411)
+    assert list((tmp_path / "orc" / "silver_transactions").glob("*.orc"))
+
+
+def test_json_lines_events(spark, tmp_path):
+    path = tmp_path / "events.jsonl"
+    path.write_text("\n".join(json.dumps(dict(VALID, transaction_id=f"T{i}")) for i in range(5)))
+    df = read_event_json(spark, str(path), multiline=False)
+    assert df.count() == 5 and df.columns == EVENT_FIELDS
