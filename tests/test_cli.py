@@ -64,3 +64,15 @@ def test_run_command_all_jobs(tmp_path):
                "--profile", "cloud", "--metrics-path", str(tmp_path / "m"), "--dedup", "window")
     assert rec["silver_records"] == 4
     assert (rec["high_risk_transactions"], rec["medium_risk_transactions"]) == (2, 2)
+
+
+def test_stream_ingest_into_catalog_table(spark, tmp_path, capsys):
+    src = tmp_path / "events.json"
+    src.write_text(json.dumps([dict(VALID, transaction_id=f"TXN-{i}") for i in range(3)]))
+    topic = str(tmp_path / "topic")
+    _run_here(capsys, "produce", "--events", str(src), "--topic-dir", topic)
+    got = _run_here(capsys, "ingest", "--stream", "--topic-dir", topic, "--schema", "cli_cloud",
+                    "--profile", "cloud", "--checkpoint", str(tmp_path / "ckpt"))
+    assert got["input_rows"] == 3
+    table = spark.table("cli_cloud.bronze_transactions_streaming")
+    assert table.count() == 3 and "eventhub_offset" in table.columns
