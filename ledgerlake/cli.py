@@ -90,6 +90,9 @@ def cmd_ingest(spark, args) -> dict:
               if args.topic_dir else
               bronze_stream_from_kafka(spark, _broker_options(args), profile.lineage_prefix))
     target = store.location(args.stream_name or "stream_bronze", profile)
+    if args.schema:
+        from ledgerlake import sinks
+        sinks.create_schema(spark, args.schema)
     q = start_stream(stream, args.checkpoint, fmt=args.format,
                      path=None if args.schema else target,
                      table=target if args.schema else None)
