@@ -76,3 +76,19 @@ def test_stream_ingest_into_catalog_table(spark, tmp_path, capsys):
     assert got["input_rows"] == 3
     table = spark.table("cli_cloud.bronze_transactions_streaming")
     assert table.count() == 3 and "eventhub_offset" in table.columns
+
+
+def test_batch_jobs_into_catalog_tables(spark, tmp_path, capsys):
+    rows = [dict(VALID, transaction_id=f"TXN-{i}", country="GB") for i in range(4)]
+    rows.append(dict(VALID, transaction_id="TXN-1", amount=2.0))        # duplicate
+    src = tmp_path / "events.json"
+    src.write_text(json.dumps(rows))
+    topic = str(tmp_path / "topic")
+    _run_here(capsys, "produce", "--events", str(src), "--topic-dir", topic)
+    common = ["--schema", "cli_tables", "--profile", "cloud"]
+    assert _run_here(capsys, "ingest", "--topic-dir", topic, *common)["bronze_records"] == 5
+    assert _run_here(capsys, "quality", *common)["silver_records"] == 4
+    assert _run_here(capsys, "gold", *common, "--show")["gold_risk_records"] == 4
+    m = _run_here(capsys, "monitor", *common)
+    assert (m["bronze_records"], m["silver_records"], m["quarantined_records"]) == (5, 4, 0)
+    assert spark.table("cli_tables.gold_country_metrics").first().country == "GB"
