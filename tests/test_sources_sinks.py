@@ -151,3 +151,13 @@ def test_json_lines_events(spark, tmp_path):
     path.write_text("\n".join(json.dumps(dict(VALID, transaction_id=f"T{i}")) for i in range(5)))
     df = read_event_json(spark, str(path), multiline=False)
     assert df.count() == 5 and df.columns == EVENT_FIELDS
+
+
+def test_empty_topic_through_every_job(spark, tmp_path):
+    from ledgerlake.schema import KAFKA_SCHEMA
+    empty = spark.createDataFrame([], KAFKA_SCHEMA)
+    rec = run_batch(spark, empty, LayerStore(spark, root=str(tmp_path / "lake")), "local",
+                    metrics_path=str(tmp_path / "m"))
+    assert rec["bronze_records"] == rec["silver_records"] == rec["gold_risk_records"] == 0
+    assert rec["silver_retention_rate_percent"] is None
+    assert rec["generated_at_utc"].endswith("+00:00")
