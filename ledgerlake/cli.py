@@ -42,6 +42,9 @@ def _store(spark, args):
 
 def _broker_options(args) -> dict[str, str]:
     from ledgerlake.sources import kafka
+    if not (args.topic and (args.bootstrap or args.eventhubs_namespace)):
+        raise SystemExit("a source is required: --topic-dir DIR, or --topic with "
+                         "--bootstrap or --eventhubs-namespace")
     if args.eventhubs_namespace:
         return kafka.eventhubs_options(args.eventhubs_namespace, args.topic,
                                        kafka.secret_from_env(args.secret_env))
