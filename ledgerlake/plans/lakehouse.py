@@ -117,14 +117,15 @@ class Lakehouse:
     def encoded_messages(self, partitions: int | None = None) -> DataFrame:
         """Events as Kafka-shaped messages (lazy): the producer's output.
 
-        With ``partitions`` the events are first spread round-robin over that
-        many tasks (like a producer spreading load over a topic's partitions;
-        round-robin stays even when one key is hot), so the JSON encoding runs
-        in parallel whatever the source's file layout.
+        With ``partitions`` the events are first spread over that many tasks
+        by a hash of their log offset (unique per message: even however hot a
+        transaction_id is, and deterministic on retry without the sort a
+        round-robin repartition needs), so the JSON encoding runs in parallel
+        whatever the source's file layout.
         """
         ev = self.events()
         if partitions:
-            ev = ev.repartition(partitions)
+            ev = ev.repartition(partitions, "offset")
         ev = ev.withColumn("_ts", F.lit(SOURCE_TIMESTAMP).cast("timestamp"))
         return bronze_ops.encode_messages(ev, TOPIC, timestamp="_ts")
 
