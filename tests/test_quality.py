@@ -88,3 +88,23 @@ def test_dedup_with_unorderable_payload(spark):
     out = {r.transaction_id: (r.kafka_offset, r.props)
            for r in dedup(df, ["transaction_id"], ["kafka_offset"]).collect()}
     assert out == {"A": (1, {"k": 2}), "B": (5, None)}
+
+
+def test_survivor_precedence_across_partitions(spark):
+    """Keyless sends put copies on different partitions: the earliest source
+    timestamp wins, then the lower partition, then the lower offset."""
+    from pyspark.sql.types import IntegerType, LongType, StructType, TimestampType
+    from ledgerlake.schema import EVENT_SCHEMA
+    import datetime as dt
+    schema = (StructType(list(EVENT_SCHEMA.fields))
+              .add("eventhub_partition", IntegerType()).add("eventhub_offset", LongType())
+              .add("eventhub_timestamp", TimestampType()))
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    rows = [event(amount=1.0) + (0, 1, t0 + dt.timedelta(seconds=5)),   # later: loses
+            event(amount=2.0) + (2, 9, t0),                              # earliest, partition 2
+            event(amount=3.0) + (1, 3, t0),                              # earliest, partition 1: wins
+            event(transaction_id="B", amount=4.0) + (1, 7, t0),
+            event(transaction_id="B", amount=5.0) + (1, 6, t0)]          # lower offset: wins
+    silver, _, _ = quality_layers(spark.createDataFrame(rows, schema), "cloud")
+    got = {r.transaction_id: r.amount for r in silver.collect()}
+    assert got == {"TXN-1": 3.0, "B": 5.0}
