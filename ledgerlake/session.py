@@ -91,8 +91,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of files under ``paths`` (a metadata call on the file system,
-    no data read)."""
+    """Total size of files under ``paths``: a metadata call on the file system
+    (one RPC on HDFS, a listing on object stores), no data read."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
@@ -111,7 +111,10 @@ def partitions_for(spark: SparkSession, paths: list[str], expansion: float = 4.0
     """Partitions for data read from ``paths``: ``expansion`` converts
     compressed columnar bytes to in-flight row bytes; never below the
     cluster's parallelism."""
-    n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
+    try:
+        n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
+    except Exception:       # sizing is an optimisation: never fail the job over it
+        n = 0
     return max(n, spark.sparkContext.defaultParallelism)
 
 

@@ -161,3 +161,9 @@ def test_empty_topic_through_every_job(spark, tmp_path):
     assert rec["bronze_records"] == rec["silver_records"] == rec["gold_risk_records"] == 0
     assert rec["silver_retention_rate_percent"] is None
     assert rec["generated_at_utc"].endswith("+00:00")
+
+
+def test_partition_sizing_never_fails(spark):
+    from ledgerlake.session import partitions_for
+    n = partitions_for(spark, ["/nonexistent/ledgerlake/path"])
+    assert n == spark.sparkContext.defaultParallelism
