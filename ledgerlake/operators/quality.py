@@ -69,7 +69,8 @@ def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = Non
     combines map-side before the exchange: a key that holds a third of all
     rows reaches the reducer as one row per map task, never as one giant
     sorted group.  ``method="window"`` (``row_number`` over the key) is kept
-    for comparison; it ships every copy of a hot key to a single task.
+    for comparison: Spark 4 also limits it map-side (a partial
+    ``WindowGroupLimit``), but it measured about 2x slower under a hot key.
     """
     if order is None:
         return df.dropDuplicates(keys)
@@ -85,7 +86,8 @@ def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = Non
     # is carried once, under its own name
     lead = [F.col(o) if isinstance(o, str) else o.alias(f"_order{i}")
             for i, o in enumerate(order)]
-    tail = [F.col(c) for c in rest if c not in order]
+    named = {o for o in order if isinstance(o, str)}
+    tail = [F.col(c) for c in rest if c not in named]
     if all(_orderable(df.schema[c].dataType) for c in rest):
         best = F.min(F.struct(*lead, *tail))
     else:

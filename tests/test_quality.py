@@ -108,3 +108,10 @@ def test_survivor_precedence_across_partitions(spark):
     silver, _, _ = quality_layers(spark.createDataFrame(rows, schema), "cloud")
     got = {r.transaction_id: r.amount for r in silver.collect()}
     assert got == {"TXN-1": 3.0, "B": 5.0}
+
+
+def test_dedup_with_expression_order(spark):
+    df = spark.createDataFrame([("A", 5, "x"), ("A", 7, "y"), ("B", 1, "z")],
+                               "transaction_id string, kafka_offset long, v string")
+    latest = dedup(df, ["transaction_id"], [-F.col("kafka_offset")])   # newest wins
+    assert {r.transaction_id: r.v for r in latest.collect()} == {"A": "y", "B": "z"}
