@@ -17,9 +17,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from ledgerlake.functions.rules import PROFILES
+if __package__ in (None, ""):        # run as a file, e.g. spark-submit ledgerlake/cli.py
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from ledgerlake.functions.rules import PROFILES  # noqa: E402
 
 
 def _session(args):
