@@ -135,6 +135,21 @@ def _gold(name, profile):
     return build
 
 
+def _parity_summary(profile):
+    """The reference's exact path: ``dropDuplicates`` (any survivor) and
+    ``round(sum(double), 2)``; the fixture's duplicates are identical events,
+    so the summary does not depend on which copy survives."""
+    def build(spark, sf_dir):
+        from ledgerlake.operators import gold as gold_ops
+        p = get_profile(profile)
+        lake = _lake(spark, sf_dir)
+        silver = quality_ops.shape_silver(
+            quality_ops.dedup(lake.valid_before_dedup(p), ["transaction_id"]), p)
+        return gold_ops.gold_metric(gold_ops.add_risk(silver), "risk_summary", p,
+                                    money_mode="double")
+    return build
+
+
 # -- monitoring --------------------------------------------------------------
 def _total_value(profile):
     def build(spark, sf_dir):
@@ -185,5 +200,6 @@ def registry() -> dict[str, Builder]:
         q[f"risk_distribution_{p}"] = _risk_distribution(p)
         q[f"duplicates_removed_{p}"] = _duplicates_removed(p)
         q[f"monitoring_metrics_{p}"] = _monitoring_metrics(p)
+        q[f"gold_risk_summary_{p}_parity"] = _parity_summary(p)
     q["approved_count"] = approved_count
     return q
