@@ -228,6 +228,8 @@ FROM gold GROUP BY payment_method""")
 SELECT risk_level, count(*) AS transaction_count, {total()} AS {tot}
 FROM gold GROUP BY risk_level""")
         q[f"total_value_{p}"] = _with(p, f"SELECT {total()} AS total_transaction_value FROM silver")
+        q[f"total_value_{p}_parity"] = _with(
+            p, "SELECT round(sum(amount), 2) AS total_transaction_value FROM silver")
         q[f"gold_risk_summary_{p}_parity"] = _with(p, f"""
 SELECT risk_level, count(*) AS transaction_count, round(sum(amount), 2) AS {tot}
 FROM gold GROUP BY risk_level""")

@@ -135,18 +135,30 @@ def _gold(name, profile):
     return build
 
 
+def _parity_silver(spark, sf_dir, p):
+    """Silver by the reference's exact path: ``dropDuplicates`` (any survivor);
+    the fixture's duplicates are identical events, so aggregates do not depend
+    on which copy survives."""
+    lake = _lake(spark, sf_dir)
+    return quality_ops.shape_silver(
+        quality_ops.dedup(lake.valid_before_dedup(p), ["transaction_id"]), p)
+
+
 def _parity_summary(profile):
-    """The reference's exact path: ``dropDuplicates`` (any survivor) and
-    ``round(sum(double), 2)``; the fixture's duplicates are identical events,
-    so the summary does not depend on which copy survives."""
+    """Risk summary with ``round(sum(double), 2)`` over the parity silver."""
     def build(spark, sf_dir):
         from ledgerlake.operators import gold as gold_ops
         p = get_profile(profile)
-        lake = _lake(spark, sf_dir)
-        silver = quality_ops.shape_silver(
-            quality_ops.dedup(lake.valid_before_dedup(p), ["transaction_id"]), p)
-        return gold_ops.gold_metric(gold_ops.add_risk(silver), "risk_summary", p,
-                                    money_mode="double")
+        return gold_ops.gold_metric(gold_ops.add_risk(_parity_silver(spark, sf_dir, p)),
+                                    "risk_summary", p, money_mode="double")
+    return build
+
+
+def _parity_total(profile):
+    """Total value with ``round(sum(double), 2)`` over the parity silver."""
+    def build(spark, sf_dir):
+        p = get_profile(profile)
+        return monitor.total_value(_parity_silver(spark, sf_dir, p), money_mode="double")
     return build
 
 
@@ -201,5 +213,6 @@ def registry() -> dict[str, Builder]:
         q[f"duplicates_removed_{p}"] = _duplicates_removed(p)
         q[f"monitoring_metrics_{p}"] = _monitoring_metrics(p)
         q[f"gold_risk_summary_{p}_parity"] = _parity_summary(p)
+        q[f"total_value_{p}_parity"] = _parity_total(p)
     q["approved_count"] = approved_count
     return q
