@@ -118,3 +118,34 @@ def test_layers_are_scoped_per_session(spark, lake):
 def test_adopted_lakehouse_is_shared(spark, lake):
     other = Lakehouse(spark, "/root/testdata/sf0.01")
     assert Lakehouse.adopt(other) is Lakehouse.of(spark, "/root/testdata/sf0.01")
+
+
+risk_inputs = st.fixed_dictionaries({
+    "amount": st.one_of(st.none(), st.just(float("nan")),
+                        st.sampled_from([0.01, 4999.99, 5000.0, 5000.01, 9999.99])),
+    "country": st.one_of(st.none(), st.sampled_from(["US", "CA", "GB", "DE", "us"])),
+    "status": st.one_of(st.none(), st.sampled_from(["APPROVED", "DECLINED", "PENDING",
+                                                    "declined"])),
+})
+
+
+def model_risk(e):
+    a = e["amount"]
+    score = (30 if a is not None and (a != a or a > 5000) else 0)   # NaN > x is true in Spark
+    score += 20 if e["country"] is not None and e["country"] != "US" else 0
+    score += 20 if e["status"] == "DECLINED" else 0
+    return score, "HIGH" if score >= 60 else "MEDIUM" if score >= 30 else "LOW"
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(risk_inputs, min_size=30, max_size=60))
+def test_risk_matches_model(spark, batch):
+    rows = []
+    for i, e in enumerate(batch):
+        row = dict(VALID, **e)
+        row["account_id"] = str(i)
+        rows.append(tuple(row[f] for f in EVENT_FIELDS))
+    got = {r.account_id: (r.risk_score, r.risk_level)
+           for r in gold.add_risk(events_df(spark, *rows)).collect()}
+    for i, e in enumerate(batch):
+        assert got[str(i)] == model_risk(e), e
