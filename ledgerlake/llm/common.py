@@ -40,7 +40,7 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of the bytes of ``df``: file sizes, no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()))
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def pieces_for(df: DataFrame, piece_bytes: int = 32 << 20, most: int = 100_000) -> int:

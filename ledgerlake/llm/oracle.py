@@ -41,5 +41,75 @@ FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id) WHERE
 """
 
 
+HOST = "lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
+OP6 = f"""
+WITH hosts AS (SELECT page_id, url, page_id * 37 % 730 AS day, {HOST} AS host FROM pages
+), asked AS (
+  SELECT page_id, day, host, array_to_string(l[i:], '.') AS pattern
+  FROM (SELECT *, unnest(range(1, greatest(len(l), 2))) AS i FROM (SELECT *, string_split(host, '.') AS l FROM hosts))
+), named AS (
+  SELECT DISTINCT pattern, CAST('0x' || substr(md5(pattern), 1, 8) AS BIGINT) AS h
+  FROM asked WHERE pattern <> '' AND pattern NOT LIKE 'example.%'
+), listed AS (
+  SELECT *, (['ads', 'malware', 'spam'])[h % 7 % 3 + 1] AS list, h % 500 AS first FROM named WHERE h % 3 <> 0
+), entries AS (
+  SELECT list, pattern, first AS day, 'add' AS action FROM listed
+  UNION ALL SELECT list, pattern, first + 30 + h % 211, 'remove' FROM listed WHERE h % 2 = 0
+  UNION ALL SELECT list, pattern, first + 90 + h % 307, 'add' FROM listed WHERE h % 4 = 0
+), daily AS (SELECT list, pattern, day, max(action) AS action FROM entries GROUP BY ALL
+), state AS (
+  SELECT page_id, asked.pattern, list, arg_max(action, daily.day) AS action
+  FROM asked JOIN daily ON asked.pattern = daily.pattern AND daily.day <= asked.day
+  GROUP BY page_id, asked.pattern, list
+), met AS (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         max(struct_pack(n := length(pattern), pattern := pattern)).pattern AS pattern
+  FROM state WHERE action = 'add' GROUP BY page_id
+)
+SELECT page_id, url, day, host, coalesce(lists, '') AS lists, pattern, lists IS NOT NULL AS blocked
+FROM hosts LEFT JOIN met USING (page_id)
+"""
+
+def _nibbles(polynomial: int = 0xEDB88320) -> str:
+    """The table of the CRC-32 taken by half bytes: 16 numbers of 8 hex digits."""
+    table = list(range(16))
+    for _ in range(4):
+        table = [(c >> 1) ^ (polynomial if c & 1 else 0) for c in table]
+    return "".join(f"{c:08x}" for c in table)
+
+
+def _network(x: str) -> str:
+    """One pass through the six rounds, as nested SELECTs over (l, r)."""
+    mix = "CAST('0x' || substr(md5(concat('20240501:', {i}, ':', {v})), 1, 15) AS BIGINT)"
+    sql = f"SELECT row_number, w, a, b, n, {x} // b AS l, {x} % b AS r FROM walk WHERE w = 0 OR {x} >= n"
+    for i in range(6):
+        l_, r_ = (f"(l + {mix.format(i=i, v='r')} % a) % a", "r") if i % 2 == 0 else ("l", f"(r + {mix.format(i=i, v='l')} % b) % b")
+        sql = f"SELECT row_number, w, a, b, n, {l_} AS l, {r_} AS r FROM ({sql})"
+    return f"SELECT row_number, w + 1, l * b + r, a, b, n FROM ({sql})"
+
+
+OP8 = f"""
+WITH RECURSIVE halves AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents
+), sized AS (
+  SELECT doc_id, CAST(len(x) // 2 + 1 AS BIGINT) AS size,
+         xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(range(len(x)), lambda i: CAST('0x' || substr(x, i + 2 - 2 * (i % 2), 1) AS BIGINT))),
+           lambda s, d: xor(s >> 4, CAST('0x' || substr('{_nibbles()}', (xor(s, d) & 15) * 8 + 1, 8) AS BIGINT)))) AS text_crc32
+  FROM halves
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id, size, text_crc32) - 1 AS row_number, count(*) OVER () AS n FROM sized
+), walk(row_number, w, p, a, b, n) AS (
+  SELECT row_number, 0, row_number, a, (n + a - 1) // a, n
+  FROM (SELECT row_number, n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a FROM numbered)
+  UNION ALL
+  {_network('p')}
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % 8 AS INTEGER) AS shard, p // 8 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN walk USING (row_number) WHERE w > 0 AND p < walk.n
+"""
+
+
 def queries() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op3_decontamination": OP3}
+    return {"op2_exact_dedup": OP2, "op3_decontamination": OP3, "op6_url_lists": OP6, "op8_sharding": OP8}

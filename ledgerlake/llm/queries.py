@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, exact_dedup, language_id, packing, simhash
+from ledgerlake.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    packing,
+    secrets,
+    sharding,
+    simhash,
+    token_files,
+    url_lists,
+)
 from ledgerlake.llm.common import prepare
 
 
@@ -46,6 +56,34 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """``pages`` with a day of fetching (the table has none): one of 730, by the page's id."""
+    return pages.select("page_id", "url", ((F.col("page_id") * 37) % 730).alias("day"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries of three lists over the hosts of ``pages`` and their parent domains, by a
+    hash of the pattern: some are removed again, some added once more."""
+    host = url_lists.host_of(F.col("url"))
+    names = pages.select(F.explode(url_lists.suffixes(host)).alias("pattern")).where(
+        "pattern <> '' and pattern not like 'example.%'").distinct()
+    h = F.conv(F.substring(F.md5("pattern"), 1, 8), 16, 10).cast("long")
+    listed = names.select("pattern", h.alias("h")).where("h % 3 <> 0").select(
+        "pattern", "h", F.expr("element_at(array('ads', 'malware', 'spam'), cast(h % 7 % 3 as int) + 1)").alias("list"),
+        F.expr("h % 500").alias("first"))
+    steps = F.expr("""filter(array(
+        named_struct('day', first, 'action', 'add', 'on', true),
+        named_struct('day', first + 30 + h % 211, 'action', 'remove', 'on', h % 2 = 0),
+        named_struct('day', first + 90 + h % 307, 'action', 'add', 'on', h % 4 = 0)), x -> x.on)""")
+    return listed.select("list", "pattern", F.explode(steps).alias("s")).select("list", "pattern", "s.day", "s.action")
+
+
+def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    intervals = url_lists.validity(list_entries(pages))
+    return url_lists.judge(captures(pages), intervals, "page_id", "url", "day", 729)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = tokenizer("piece_bpe_32k.model")
@@ -54,6 +92,29 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.shard(docs, ["doc_id", "size", "text_crc32"], 8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_files(token_files.write_files(
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_scan(table(spark, sf_dir, "documents"))
+    count = lambda v: F.size(F.filter(F.coalesce("verdicts", F.array()), lambda x: x["verdict"] == v))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans",
+        count("live").cast("long").alias("n_live"), count("example").cast("long").alias("n_example"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_packing, op2_exact_dedup, op3_decontamination, op5_simhash, op7_language_id)
+    own = (op1_packing, op2_exact_dedup, op3_decontamination, op5_simhash, op6_url_lists,
+           op7_language_id, op8_sharding, op9_token_files, op10_secrets)
     return {f.__name__: f for f in own}
