@@ -12,6 +12,7 @@ from ledgerlake.llm import (
     exact_dedup,
     language_id,
     packing,
+    repeats,
     secrets,
     sharding,
     simhash,
@@ -51,6 +52,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated().alias("contaminated"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["b"] - x["a"])
+    return found.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -115,6 +123,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_packing, op2_exact_dedup, op3_decontamination, op5_simhash, op6_url_lists,
-           op7_language_id, op8_sharding, op9_token_files, op10_secrets)
+    own = (op1_packing, op2_exact_dedup, op3_decontamination, op4_repeats, op5_simhash,
+           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets)
     return {f.__name__: f for f in own}
