@@ -60,8 +60,10 @@ def located(docs: DataFrame) -> DataFrame:
 
     The pair is unique and does not change when a task runs again, so it tells
     repeated rows apart.  Rows that are not read from Parquet files are written
-    to the shared folder first.
+    to the shared folder first.  Rows that have locators keep them.
     """
+    if FILE in docs.columns:
+        return docs
     where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)]
     columns = [F.col(f"`{c}`") for c in docs.columns]
     try:

@@ -57,6 +57,8 @@ def _stream_totals(spark: SparkSession, prints: DataFrame, path: str, state_dir:
     totals = reader.parquet(path).groupBy("digest").agg(
         F.count(F.lit(1)).alias("rows"),
         F.max(F.struct("id", FILE, ROW)).alias("stays"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in totals.schema.fields)
+    spark.createDataFrame([], kinds).write.parquet(f"{out}/batch=-1")     # an empty stream has no batch
     before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     try:
         for k, v in STATE_CONF.items():
@@ -68,8 +70,7 @@ def _stream_totals(spark: SparkSession, prints: DataFrame, path: str, state_dir:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     # a digest is written anew by each micro-batch that saw it; its count only grows
-    ledger = spark.read.schema(f"{totals.drop('stays').schema.simpleString()[7:-1].replace(':', ' ')}, "
-                               f"stays {totals.schema['stays'].dataType.simpleString()}, batch long").parquet(out)
+    ledger = spark.read.schema(f"{kinds}, batch long").parquet(out)
     latest = ledger.groupBy("digest").agg(F.max(F.struct("rows", "stays")).alias("t"))
     return materialise(latest.select("digest", "t.rows", "t.stays"), "dedup-totals")
 
@@ -132,5 +133,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text another row keeps."""
     rows = located(docs)
-    dropped = exact_dedup(docs, id_col, text_col).where("not kept").select(FILE, ROW)
+    dropped = exact_dedup(rows, id_col, text_col).where("not kept").select(FILE, ROW)
     return without(rows, materialise(dropped, "dedup-dropped"))

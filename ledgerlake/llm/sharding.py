@@ -58,8 +58,8 @@ def permuted(column: str, n: int, seed: int = SEED, forward: bool = True) -> Col
 
 def shard(df: DataFrame, order: list[str], shards: int, seed: int = SEED) -> DataFrame:
     """``df`` with ``row_number``, ``shard`` and ``slot``.  Nulls come first in the order; rows
-    with equal keys keep the order of the input's partitions."""
-    rows, n = numbered(df, order, "sharded")
+    with equal keys keep the order of the input's partitions.  Columns of these names are replaced."""
+    rows, n = numbered(df.drop("row_number", "shard", "slot"), order, "sharded")
     place = permuted("row_number", max(n, 1), seed)
     return rows.withColumn("_place", place).withColumns({
         "shard": (F.col("_place") % shards).cast("int"),

@@ -122,5 +122,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      words: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id."""
     rows = located(docs)
-    dropped = simhash_groups(docs, id_col, text_col, words, radius).where("not stays").select(FILE, ROW)
+    dropped = simhash_groups(rows, id_col, text_col, words, radius).where("not stays").select(FILE, ROW)
     return without(rows, materialise(dropped, "simhash-dropped"))

@@ -55,8 +55,10 @@ def judge(captures: DataFrame, intervals: DataFrame, id_col: str, url_col: str,
     entry, sorted), ``pattern`` (the longest active one) and ``blocked``.
 
     ``last_day``: the largest day of the captures, at which open intervals end.  Null ids,
-    URLs or days give rows that are not blocked.
+    URLs or days give rows that are not blocked.  Columns of the captures with the names of
+    the added ones are replaced.
     """
+    captures = captures.drop("host", "lists", "pattern", "blocked")
     host = located(captures).withColumn("host", host_of(F.col(url_col)))
     asked = host.select(FILE, ROW, F.col(day_col).alias("day"), F.explode(suffixes(F.col("host"))).alias("pattern"))
     asked = asked.withColumn("period", F.floor(F.col("day") / period))
