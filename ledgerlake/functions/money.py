@@ -2,11 +2,11 @@
 
 Two modes:
 
-* ``decimal`` (default) -- each amount is cast to ``decimal(18,2)`` and summed
-  exactly; the result does not depend on row order or partitioning, so it is
-  identical on 1 or 1000 executors.  ``try_cast`` keeps a NaN / out-of-range
-  amount from failing the job (it becomes NULL and leaves the sum, like a NULL
-  amount).
+* ``decimal`` (default) -- per group: if every amount is a whole number of
+  cents within ``decimal(18,2)``, the sum is exact and does not depend on row
+  order or partitioning.  A group with any other amount (a part of a cent, a
+  very large one, NaN, an infinity) is summed as doubles, as in the other mode:
+  no row is dropped or rounded by itself, and NaN propagates.
 * ``double`` -- ``round(sum(double), 2)`` exactly as the reference computes it;
   NaN propagates, and the last bits depend on the order partial sums meet.
 
@@ -22,18 +22,26 @@ from pyspark.sql import functions as F
 CENTS = "decimal(18,2)"
 
 
-def _cents(c: str | Column) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast(CENTS)
+def _column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def total(c: str | Column = "amount", mode: str = "decimal") -> Column:
+def _all_cents(c: Column) -> Column:
+    """Whether every amount of the group (NULLs aside) is exactly its ``CENTS`` value."""
+    return F.count(c) == F.count_if(c.try_cast(CENTS).cast("double") == c.cast("double"))
+
+
+def _measure(agg, c: str | Column, mode: str) -> Column:
+    c = _column(c)
+    plain = F.round(agg(c.cast("double")), 2)
     if mode == "double":
-        return F.round(F.sum(c), 2)
-    return F.round(F.sum(_cents(c)), 2).cast("double")
+        return plain
+    return F.when(_all_cents(c), F.round(agg(c.try_cast(CENTS)), 2).cast("double")).otherwise(plain)
+
+
+def total(c: str | Column = "amount", mode: str = "decimal") -> Column:
+    return _measure(F.sum, c, mode)
 
 
 def average(c: str | Column = "amount", mode: str = "decimal") -> Column:
-    if mode == "double":
-        return F.round(F.avg(c), 2)
-    return F.round(F.avg(_cents(c)), 2).cast("double")
+    return _measure(F.avg, c, mode)

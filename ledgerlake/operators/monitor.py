@@ -16,12 +16,8 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import gold
 from ledgerlake.schema import RISK_LEVELS
 
-# ---------------------------------------------------------------------------
-# Metrics record constants
-# ---------------------------------------------------------------------------
-PIPELINE_NAME = "Financial Transaction Lakehouse"
+PIPELINE_NAME = "ledgerlake"
 STATUS = "SUCCESS"
-# ---------------------------------------------------------------------------
 
 COUNT_COLUMNS = [
     "bronze_records", "silver_records", "quarantined_records",
@@ -59,11 +55,12 @@ def layer_counts(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
 
 
 def monitoring_record(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame,
-                      risk_rows: DataFrame, generated_at: bool = False) -> DataFrame:
+                      risk_rows: DataFrame, generated_at: bool = False,
+                      pipeline_name: str = PIPELINE_NAME) -> DataFrame:
     """The monitoring record as a one-row frame (same keys as the JSON)."""
     out = layer_counts(bronze, silver, quarantine, risk_rows)
     out = out.select(
-        F.lit(PIPELINE_NAME).alias("pipeline_name"),
+        F.lit(pipeline_name).alias("pipeline_name"),
         F.lit(STATUS).alias("status"),
         *COUNT_COLUMNS[:3],
         (F.col("bronze_records") - F.col("silver_records")

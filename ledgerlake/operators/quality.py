@@ -91,9 +91,10 @@ def dedup(df: DataFrame, keys: list[str], order: list[str | Column] | None = Non
     if all(_orderable(df.schema[c].dataType) for c in rest):
         best = F.min(F.struct(*lead, *tail))
     else:
-        # a map column cannot be compared: rank by the order alone
-        # (min_by also combines map-side; ties on the order stay arbitrary)
-        best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*lead))
+        # maps cannot be compared: their JSON text decides ties instead (min_by combines map-side too)
+        spelled = [F.to_json(F.struct(c)) if not _orderable(df.schema[c].dataType) else F.col(c)
+                   for c in rest if c not in named]
+        best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*lead, *spelled))
     return (df.groupBy(*keys).agg(best.alias("_best"))
               .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
               .select(*cols))
@@ -144,11 +145,3 @@ def quarantine(bronze_df: DataFrame, profile: str | Profile = "local") -> DataFr
     p = get_profile(profile)
     return shape_quarantine(split(validate(bronze_df, p), p)[1], p)
 
-
-# The three operations of the reference's unit-tested rule module.
-def add_validation_errors(df: DataFrame, profile: str | Profile = "rules") -> DataFrame:
-    return validate(df, profile)
-
-
-def remove_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    return dedup(df, keys or ["transaction_id"])

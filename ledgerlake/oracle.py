@@ -22,9 +22,8 @@ one AS (
          ELSE concat('CUST-', c) END AS customer_id,
     concat('ACC-', 10000 + c) AS account_id,
     concat('MER-', 100 + k % 900) AS merchant_id,
-    (['GROCERY','RESTAURANT','ELECTRONICS','TRAVEL','FUEL','HEALTHCARE',
-      'ENTERTAINMENT','RETAIL'])[k % 8 + 1] AS merchant_category,
-    (['PURCHASE','REFUND','TRANSFER','WITHDRAWAL'])[c % 4 + 1] AS transaction_type,
+    (['BAKERY','BOOKS','CYCLES','GARDEN','MUSIC','OPTICS','PETS','TOOLS'])[k % 8 + 1] AS merchant_category,
+    (['SALE','RETURN','MOVE','PAYOUT'])[c % 4 + 1] AS transaction_type,
     CASE WHEN k % 1000 = 151 THEN NULL
          WHEN k % 1000 = 163 THEN CAST(0 AS DOUBLE)
          WHEN k % 100 = 17 THEN -(floor(p * 2) / 100)
@@ -32,25 +31,25 @@ one AS (
     CASE WHEN k % 100 = 31 THEN 'XYZ' WHEN k % 1000 = 417 THEN 'ZZZ'
          WHEN k % 1000 = 71 THEN ' usd ' WHEN k % 1000 = 113 THEN NULL
          ELSE (['USD','EUR','GBP','CAD'])[k % 4 + 1] END AS currency,
-    (['CREDIT_CARD','DEBIT_CARD','BANK_TRANSFER','DIGITAL_WALLET'])[(k + c) % 4 + 1]
-      AS payment_method,
+    (['CARD','CASH','VOUCHER','WIRE'])[(k + c) % 4 + 1] AS payment_method,
     CASE WHEN k % 1000 = 211 THEN NULL WHEN c % 8 < 5 THEN 'US' WHEN c % 8 = 5 THEN 'CA'
          WHEN c % 8 = 6 THEN 'GB' ELSE 'DE' END AS country,
-    'CITY' AS city,
     'WEB' AS device_type,
     CASE WHEN k % 100 = 47 THEN 'UNKNOWN' WHEN k % 1000 = 223 THEN NULL
          WHEN (k + 3 * c) % 20 < 17 THEN 'APPROVED'
          WHEN (k + 3 * c) % 20 < 19 THEN 'DECLINED' ELSE 'PENDING' END AS status,
     CASE WHEN k % 100 = 59 THEN NULL WHEN k % 1000 = 139 THEN 'not-a-date'
          ELSE CAST(CAST(d AS DATE) AS VARCHAR) || 'T00:00:00+00:00' END AS event_timestamp,
-    CAST(k % 3 AS INTEGER) AS partition,
     k
   FROM base
 ),
 ev AS (
-  SELECT * EXCLUDE (k), k AS "offset", 0 AS resend FROM one
+  SELECT * EXCLUDE (k), 'CITY' AS city, CAST(k % 3 AS INTEGER) AS partition, 2 * k AS "offset",
+         CAST(1704067200 AS BIGINT) AS sent_epoch, 0 AS resend FROM one
   UNION ALL
-  SELECT * EXCLUDE (k), k + 100000000 AS "offset", 1 AS resend FROM one WHERE k % 97 = 5
+  SELECT * EXCLUDE (k), 'TOWN', CAST((k + 1) % 3 AS INTEGER), 2 * k + 1,
+         CAST(1704067200 + CASE k % 3 WHEN 0 THEN -60 WHEN 1 THEN 60 ELSE 0 END AS BIGINT), 1
+  FROM one WHERE k % 97 = 5
 )"""
 
 EVENT_COLS = ("transaction_id, customer_id, account_id, merchant_id, merchant_category, "
@@ -79,7 +78,7 @@ validated AS (
 valid AS (SELECT * FROM validated WHERE error_reason = ''),
 silver AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY partition, "offset") AS rn
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY sent_epoch, partition, "offset") AS rn
     FROM valid) WHERE rn = 1
 ),
 risk AS (
@@ -114,7 +113,7 @@ validated AS (
 valid AS (SELECT * FROM validated WHERE validation_error IS NULL),
 silver AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY partition, "offset") AS rn
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY sent_epoch, partition, "offset") AS rn
     FROM valid) WHERE rn = 1
 ),
 risk AS (
@@ -159,7 +158,7 @@ def _lineage(profile: str) -> str:
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["transactions"] = ("WITH " + EVENTS.strip() + "\nSELECT " + EVENT_COLS +
-                         ', event_timestamp, partition, "offset", resend FROM ev')
+                         ', event_timestamp, partition, "offset", sent_epoch, resend FROM ev')
     q["raw_messages"] = ("WITH " + EVENTS.strip() + """
 SELECT transaction_id AS kafka_key,
        json_object('transaction_id', transaction_id, 'customer_id', customer_id,
@@ -168,8 +167,7 @@ SELECT transaction_id AS kafka_key,
          'amount', amount, 'currency', currency, 'payment_method', payment_method,
          'country', country, 'city', city, 'device_type', device_type, 'status', status,
          'event_timestamp', event_timestamp)::VARCHAR AS kafka_value,
-       'financial-transactions' AS topic, partition, "offset",
-       CAST(1704067200 AS BIGINT) AS timestamp_epoch
+       'order-events' AS topic, partition, "offset", sent_epoch AS timestamp_epoch
 FROM ev""")
     bronze_cols = f"{EVENT_COLS}, event_timestamp, {_lineage('local')}"
     q["bronze_roundtrip"] = "WITH " + EVENTS.strip() + f"\nSELECT {bronze_cols} FROM ev"
@@ -233,6 +231,10 @@ FROM gold GROUP BY risk_level""")
         q[f"gold_risk_summary_{p}_parity"] = _with(p, f"""
 SELECT risk_level, count(*) AS transaction_count, round(sum(amount), 2) AS {tot}
 FROM gold GROUP BY risk_level""")
+        for name, keys in (("daily", "transaction_date"), ("country", "country"), ("payment", "payment_method"),
+                           ("merchant", "merchant_id, merchant_category" if p == "local" else "merchant_category")):
+            q[f"gold_{name}_{p}_parity"] = _with(p, f"""
+SELECT {keys}, count(*) AS transaction_count, round(sum(amount), 2) AS {tot} FROM gold GROUP BY {keys}""")
         q[f"risk_distribution_{p}"] = _with(p, 'SELECT risk_level, count(*) AS "count" FROM gold GROUP BY risk_level')
         q[f"duplicates_removed_{p}"] = _with(p, """
 SELECT (SELECT count(*) FROM valid) AS valid_before_dedup,
@@ -248,7 +250,7 @@ counts AS (
          (SELECT count(*) FROM gold WHERE risk_level = 'MEDIUM') AS me,
          (SELECT count(*) FROM gold WHERE risk_level = 'LOW') AS lo
 )
-SELECT 'Financial Transaction Lakehouse' AS pipeline_name, 'SUCCESS' AS status,
+SELECT 'ledgerlake' AS pipeline_name, 'SUCCESS' AS status,
        b AS bronze_records, s AS silver_records, qn AS quarantined_records,
        b - s - qn AS records_removed_during_quality_processing,
        g AS gold_risk_records, hi AS high_risk_transactions,
@@ -264,6 +266,11 @@ FROM gold GROUP BY merchant_id, merchant_category""")
     q["gold_merchant_cloud"] = _with("cloud", f"""
 SELECT merchant_category, count(*) AS transaction_count, {total()} AS total_transaction_value
 FROM gold GROUP BY merchant_category""")
+    q["money_of_any_amount"] = """
+WITH t AS (SELECT o_orderkey % 3 AS kind, CASE o_orderkey % 3 WHEN 0 THEN floor(o_totalprice * 2) / 100
+    WHEN 1 THEN floor(o_totalprice) / 1024 ELSE floor(o_totalprice) * 1099511627776 END AS amount FROM orders)
+SELECT kind, count(*) AS transaction_count, round(sum(amount), 2) AS total, round(avg(amount), 2) AS average
+FROM t GROUP BY kind"""
     q["approved_count"] = _with("local", """
 SELECT count(*) AS approved_count FROM silver WHERE status = 'APPROVED'""")
     return q

@@ -35,7 +35,6 @@ from ledgerlake.plans.jobs import LayerStore
 from ledgerlake.schema import KAFKA_SCHEMA
 from ledgerlake.session import partitions_for, shared_dir
 from ledgerlake.sources.orders_feed import (
-    SOURCE_TIMESTAMP,
     TOPIC,
     transactions_from,
 )
@@ -126,7 +125,7 @@ class Lakehouse:
         ev = self.events()
         if partitions:
             ev = ev.repartition(partitions, "offset")
-        ev = ev.withColumn("_ts", F.lit(SOURCE_TIMESTAMP).cast("timestamp"))
+        ev = ev.withColumn("_ts", F.timestamp_seconds("sent_epoch"))
         return bronze_ops.encode_messages(ev, TOPIC, timestamp="_ts")
 
     def topic(self) -> DataFrame:

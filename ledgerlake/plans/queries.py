@@ -75,8 +75,8 @@ def batch_stream_reconcile(spark, sf_dir):
 
 # -- quality -----------------------------------------------------------------
 def quality_errors_rules(spark, sf_dir):
-    """The unit-tested rule module (no timestamp rule) over the raw events."""
-    v = quality_ops.add_validation_errors(_lake(spark, sf_dir).events())
+    """The rule set without a timestamp rule, over the raw events."""
+    v = quality_ops.validate(_lake(spark, sf_dir).events(), "rules")
     return v.groupBy("error_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -144,13 +144,25 @@ def _parity_silver(spark, sf_dir, p):
         quality_ops.dedup(lake.valid_before_dedup(p), ["transaction_id"]), p)
 
 
-def _parity_summary(profile):
-    """Risk summary with ``round(sum(double), 2)`` over the parity silver."""
+def money_of_any_amount(spark, sf_dir):
+    """Totals of amounts with parts of a cent, and beyond any decimal of cents."""
+    from ledgerlake.operators.gold import metrics
+    k, p = F.col("o_orderkey"), F.col("o_totalprice")
+    amount = (F.when(k % 3 == 0, F.floor(p * 2) / 100).when(k % 3 == 1, F.floor(p) / 1024)
+              .otherwise(F.floor(p) * F.lit(float(1 << 40))))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return metrics(orders.select((k % 3).alias("kind"), amount.cast("double").alias("amount")), ["kind"],
+                   "total", "average")
+
+
+def _parity(name, profile):
+    """A metric with ``round(sum(double), 2)`` over the parity silver.  Without the average: where
+    it falls on half a cent, the last bit of a double sum decides, and so the order of adding."""
     def build(spark, sf_dir):
         from ledgerlake.operators import gold as gold_ops
         p = get_profile(profile)
         return gold_ops.gold_metric(gold_ops.add_risk(_parity_silver(spark, sf_dir, p)),
-                                    "risk_summary", p, money_mode="double")
+                                    name, p, money_mode="double").drop(p.average_name)
     return build
 
 
@@ -212,7 +224,9 @@ def registry() -> dict[str, Builder]:
         q[f"risk_distribution_{p}"] = _risk_distribution(p)
         q[f"duplicates_removed_{p}"] = _duplicates_removed(p)
         q[f"monitoring_metrics_{p}"] = _monitoring_metrics(p)
-        q[f"gold_risk_summary_{p}_parity"] = _parity_summary(p)
+        for name in ("daily", "merchant", "country", "payment", "risk_summary"):
+            q[f"gold_{name}_{p}_parity"] = _parity(name, p)
         q[f"total_value_{p}_parity"] = _parity_total(p)
+    q["money_of_any_amount"] = money_of_any_amount
     q["approved_count"] = approved_count
     return q

@@ -45,10 +45,3 @@ KAFKA_SCHEMA = StructType([
     StructField("timestamp", TimestampType(), True),
     StructField("timestampType", IntegerType(), True),
 ])
-
-# Lineage columns kept in bronze, per source prefix.
-LINEAGE_SUFFIXES = ["partition", "offset", "timestamp"]
-
-
-def lineage_columns(prefix: str) -> list[str]:
-    return [f"{prefix}_{s}" for s in LINEAGE_SUFFIXES]

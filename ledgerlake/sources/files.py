@@ -1,4 +1,4 @@
-"""Layer and local-row sources: Parquet paths, catalog tables, rows, JSON files."""
+"""Local rows and event files (layers are read by ``plans.jobs.LayerStore``)."""
 
 from __future__ import annotations
 
@@ -8,15 +8,6 @@ from pyspark.sql.types import StructType
 from ledgerlake.schema import EVENT_SCHEMA
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """A written layer; schema from the Parquet footers."""
-    return spark.read.parquet(path)
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def from_rows(spark: SparkSession, rows: list, schema: StructType | str | list[str] | None = None
               ) -> DataFrame:
     """Literal rows -> DataFrame (column names, a DDL string or a StructType)."""

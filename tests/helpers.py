@@ -4,8 +4,8 @@ from ledgerlake.schema import EVENT_FIELDS, EVENT_SCHEMA
 
 VALID = {
     "transaction_id": "TXN-1", "customer_id": "CUST-1", "account_id": "ACC-1",
-    "merchant_id": "MER-1", "merchant_category": "GROCERY", "transaction_type": "PURCHASE",
-    "amount": 100.0, "currency": "USD", "payment_method": "CREDIT_CARD", "country": "US",
+    "merchant_id": "MER-1", "merchant_category": "BOOKS", "transaction_type": "SALE",
+    "amount": 100.0, "currency": "USD", "payment_method": "CARD", "country": "US",
     "city": "CITY", "device_type": "WEB", "status": "APPROVED",
     "event_timestamp": "2024-01-01T10:00:00+00:00",
 }

@@ -37,12 +37,26 @@ def test_local_gold_sort_orders(spark, lake):
     assert levels == ["HIGH", "LOW", "MEDIUM"]
 
 
-def test_money_modes_and_nan(spark):
-    df = events_df(spark, event(amount=0.1), event(amount=0.2), event(amount=float("nan")))
-    dec = gold.metrics(df, ["currency"], "t", "a", "decimal").first()
-    assert (dec.t, dec.a, dec.transaction_count) == (0.3, 0.15, 3)
-    dbl = gold.metrics(df, ["currency"], "t", "a", "double").first()
-    assert math.isnan(dbl.t) and math.isnan(dbl.a)
+@pytest.mark.parametrize("mode", ["decimal", "double"])
+def test_money_loses_no_amount(spark, mode):
+    def of(*amounts):
+        df = events_df(spark, *[event(amount=a) for a in amounts])
+        r = gold.metrics(df, ["currency"], "t", "a", mode).first()
+        return r.t, r.a, r.transaction_count
+
+    assert of(0.1, 0.2) == (0.3, 0.15, 2)
+    assert all(map(math.isnan, of(0.1, 0.2, float("nan"))[:2]))
+    assert of(1e17, 10.0) == (1e17 + 10, (1e17 + 10) / 2, 2)
+    assert of(1e17, 10.0, float("inf"))[:2] == (math.inf, math.inf)
+    assert all(map(math.isnan, of(1e17, 10.0, float("inf"), float("nan"))[:2]))
+    assert of(*[0.004] * 1000)[0] == 4.0
+    assert of(None, 0.5) == (0.5, 0.5, 2)
+    assert of(None) == (None, None, 1)
+
+
+def test_money_keeps_one_exchange(spark):
+    plan = gold.metrics(events_df(spark, event()), ["currency"], "t", "a")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange") == 1
 
 
 def test_half_cent_average_rounds_half_up(spark):
@@ -125,8 +139,26 @@ def test_grouping_sets_equal_separate_aggregates(spark, lake, p):
         one = gold.metric_from_all(combined, name, p)
         sep = gold.gold_metric(risk, name, p)
         assert one.columns == sep.columns
-        assert [tuple(r) for r in one.collect()] == [tuple(r) for r in sep.collect()] or \
-            sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, sep.collect()), key=repr)
+        ours, theirs = [tuple(r) for r in one.collect()], [tuple(r) for r in sep.collect()]
+        if p == "local":                     # ordered tables: the exact order
+            assert ours == theirs
+        assert sorted(ours, key=repr) == sorted(theirs, key=repr)
+
+
+def test_order_of_the_local_tables(spark, lake):
+    rows = {name: lake.gold(name, "local").collect() for name in gold.metric_specs("local")}
+    assert [r.transaction_date for r in rows["daily"]] == sorted(r.transaction_date for r in rows["daily"])
+    for name, keys in (("merchant", ("merchant_id", "merchant_category")), ("country", ("country",))):
+        order = [(-r.total_transaction_amount, *(getattr(r, k) or "" for k in keys)) for r in rows[name]]
+        assert order == sorted(order) and len(order) > 4
+    order = [(-r.transaction_count, r.payment_method) for r in rows["payment"]]
+    assert order == sorted(order)
+    assert [r.risk_level for r in rows["risk_summary"]] == ["HIGH", "LOW", "MEDIUM"]
+
+
+@pytest.mark.parametrize("p", ["local", "cloud"])
+def test_one_exchange_for_all_metrics(spark, lake, p):
+    combined = gold.all_metrics(lake.risk_rows(p), p)
     plan = combined._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in plan and plan.count("Exchange") == 1
 
