@@ -49,10 +49,11 @@ def _broker_options(args) -> dict[str, str]:
     if not (args.topic and (args.bootstrap or args.eventhubs_namespace)):
         raise SystemExit("a source is required: --topic-dir DIR, or --topic with "
                          "--bootstrap or --eventhubs-namespace")
+    rates = {"min_partitions": args.min_partitions, "max_offsets_per_trigger": args.max_offsets_per_trigger}
     if args.eventhubs_namespace:
         return kafka.eventhubs_options(args.eventhubs_namespace, args.topic,
-                                       kafka.secret_from_env(args.secret_env))
-    return kafka.kafka_options(args.bootstrap, args.topic)
+                                       kafka.secret_from_env(args.secret_env), **rates)
+    return kafka.kafka_options(args.bootstrap, args.topic, **rates)
 
 
 def _messages(spark, args):
@@ -62,6 +63,17 @@ def _messages(spark, args):
     return kafka.read_kafka(spark, _broker_options(args))
 
 
+def _next_offset(spark, topic_dir: str) -> int:
+    from pyspark.sql import functions as F
+
+    from ledgerlake.sources.kafka import read_message_files
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(topic_dir)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    last = read_message_files(spark, topic_dir).agg(F.max("offset")).first()[0]
+    return 0 if last is None else last + 1
+
+
 def cmd_produce(spark, args) -> dict:
     from pyspark.sql import functions as F
 
@@ -70,9 +82,14 @@ def cmd_produce(spark, args) -> dict:
     from ledgerlake.sources.files import read_event_json
     events = read_event_json(spark, args.events, multiline=not args.json_lines)
     if args.topic_dir:
-        msgs = encode_messages(events.withColumn("_ts", F.current_timestamp()),
-                               args.topic or "transactions", partition=None, offset=None,
-                               timestamp="_ts")
+        # a partition by the key, and offsets above those already in the topic
+        first = _next_offset(spark, args.topic_dir)
+        placed = events.withColumns({
+            "_ts": F.current_timestamp(),
+            "_partition": F.pmod(F.hash("transaction_id"), F.lit(args.partitions)),
+            "_offset": F.lit(first) + F.monotonically_increasing_id()})
+        msgs = encode_messages(placed, args.topic or "transactions", partition="_partition",
+                               offset="_offset", timestamp="_ts")
         msgs.write.mode("append").parquet(args.topic_dir)
     else:
         sinks.publish(events, _broker_options(args), topic=args.topic)
@@ -85,6 +102,7 @@ def cmd_ingest(spark, args) -> dict:
         bronze_stream_from_files,
         bronze_stream_from_kafka,
         progress_report,
+        run_with_totals,
         start_stream,
     )
     store = _store(spark, args)
@@ -93,21 +111,19 @@ def cmd_ingest(spark, args) -> dict:
         return ingest(_messages(spark, args), store, profile)
     if not args.checkpoint:
         raise SystemExit("--stream needs --checkpoint")
-    stream = (bronze_stream_from_files(spark, args.topic_dir, profile.lineage_prefix)
+    stream = (bronze_stream_from_files(spark, args.topic_dir, profile.lineage_prefix,
+                                       max_bytes_per_trigger=args.max_bytes_per_trigger)
               if args.topic_dir else
               bronze_stream_from_kafka(spark, _broker_options(args), profile.lineage_prefix))
     target = store.location(args.stream_name or "stream_bronze", profile)
     if args.schema:
         from ledgerlake import sinks
         sinks.create_schema(spark, args.schema)
-    q = start_stream(stream, args.checkpoint, fmt=args.format,
-                     path=None if args.schema else target,
-                     table=target if args.schema else None)
-    q.awaitTermination()
-    report = [r.asDict() for r in progress_report(spark, q).collect()]   # one row per batch
-    return {"micro_batches": len(report),
-            "input_rows": sum(r["num_input_rows"] for r in report),
-            "batches": report}
+    q, totals = run_with_totals(spark, lambda: start_stream(
+        stream, args.checkpoint, fmt=args.format, path=None if args.schema else target,
+        table=target if args.schema else None))
+    last = [r.asDict() for r in progress_report(spark, q).collect()]   # Spark keeps the last batches only
+    return {**totals, "batches": last}
 
 
 DEDUP = {"earliest": (True, "aggregate"), "window": (True, "window"), "any": (False, "aggregate")}
@@ -173,6 +189,10 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--stream-name", help="bronze table / folder name for the stream "
                     "(default: the layout's streaming bronze)")
     ap.add_argument("--metrics-path", help="where monitor writes the metrics JSON")
+    ap.add_argument("--partitions", type=int, default=3, help="produce: partitions of the offline topic")
+    ap.add_argument("--min-partitions", type=int, help="broker: split topic partitions over this many tasks")
+    ap.add_argument("--max-offsets-per-trigger", type=int, help="broker stream: messages of a micro-batch")
+    ap.add_argument("--max-bytes-per-trigger", type=int, help="--topic-dir stream: bytes of a micro-batch")
     ap.add_argument("--money", default="decimal", choices=["decimal", "double"])
     ap.add_argument("--dedup", default="earliest", choices=sorted(DEDUP),
                     help="survivor of a duplicated transaction_id: the earliest message "

@@ -5,8 +5,8 @@ sum, decimal avg), so Spark plans ``partial HashAggregate -> Exchange(hash
 on the keys) -> final HashAggregate``; :func:`all_metrics` computes all five
 tables with one scan and one exchange (grouping sets).  Map-side combining makes a skewed
 key (one country holding most rows) harmless: each map task ships at most
-one partial row per key.  The outputs are tiny (<= a few thousand groups);
-their optional sort runs after AQE has coalesced the post-shuffle partitions.
+one partial row per key.  An output has a row per group (a merchant table as
+many as there are merchants); its optional sort is a range exchange of those.
 """
 
 from __future__ import annotations
@@ -110,8 +110,8 @@ def all_metrics(risk_rows: DataFrame, profile: str | Profile = "local",
     set, aggregates partially map-side, shuffles only the partial rows and
     finishes the aggregates -- instead of five jobs each re-reading the risk
     rows.  ``metric`` names the table a row belongs to; keys outside that
-    table's set are NULL.  The result has one row per group (a few thousand),
-    so splitting it into the tables is trivial.
+    table's set are NULL.  The result has one row per group; written partitioned
+    by ``metric``, each table is split off by reading its own folder.
     """
     p = get_profile(profile)
     specs = metric_specs(p)
@@ -139,10 +139,13 @@ def metric_from_all(combined: DataFrame, name: str, profile: str | Profile = "lo
     spec = metric_specs(p)[name]
     measures = ["transaction_count", p.total_name] + ([p.average_name] if spec.average else [])
     out = combined.filter(F.col("metric") == name).select(*spec.keys, *measures)
-    if p.sorted_gold if sort is None else sort:
-        out = out.orderBy(*[F.col(c).desc() if desc else F.col(c).asc()
-                            for c, desc in spec.order])
-    return out
+    return in_order(out, name, p) if (p.sorted_gold if sort is None else sort) else out
+
+
+def in_order(table: DataFrame, name: str, profile: str | Profile = "local") -> DataFrame:
+    """A metric table in its order (a written table keeps no order of its rows)."""
+    return table.orderBy(*[F.col(c).desc() if desc else F.col(c).asc()
+                           for c, desc in metric_specs(profile)[name].order])
 
 
 def gold_tables(silver_df: DataFrame, profile: str | Profile = "local",

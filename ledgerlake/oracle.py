@@ -172,6 +172,13 @@ FROM ev""")
     bronze_cols = f"{EVENT_COLS}, event_timestamp, {_lineage('local')}"
     q["bronze_roundtrip"] = "WITH " + EVENTS.strip() + f"\nSELECT {bronze_cols} FROM ev"
     q["bronze_stream"] = q["bronze_roundtrip"]
+    q["bronze_stream_resume"] = q["bronze_roundtrip"]
+    q["bronze_stream_table_cloud"] = ("WITH " + EVENTS.strip() +
+                                      f"\nSELECT {EVENT_COLS}, event_timestamp, {_lineage('cloud')} FROM ev")
+    q["events_from_json"] = "WITH " + EVENTS.strip() + f"\nSELECT {EVENT_COLS}, event_timestamp FROM ev"
+    q["stream_report"] = "WITH " + EVENTS.strip() + """
+SELECT count(*) AS input_rows, count(*) AS bronze_rows FROM ev"""
+    q["ingestion_stamp"] = "SELECT CAST(0 AS BIGINT) AS null_stamps, CAST(1 AS BIGINT) AS stamps"
     q["batch_stream_reconcile"] = ("WITH " + EVENTS.strip() + """
 SELECT count(*) AS bronze_batch_records, count(*) AS bronze_streaming_records,
        true AS counts_match FROM ev""")
@@ -258,11 +265,15 @@ SELECT 'ledgerlake' AS pipeline_name, 'SUCCESS' AS status,
        round(s / b * 100, 2) AS silver_retention_rate_percent,
        round(qn / b * 100, 2) AS quarantine_rate_percent
 FROM counts""")
+        q[f"metrics_document_{p}"] = q[f"monitoring_metrics_{p}"]
+    q["silver_table_cloud"] = q["silver_cloud"]
 
     q["gold_merchant_local"] = _with("local", f"""
 SELECT merchant_id, merchant_category, count(*) AS transaction_count,
        {total()} AS total_transaction_amount, {average()} AS average_transaction_amount
 FROM gold GROUP BY merchant_id, merchant_category""")
+    q["top_merchants_local"] = q["gold_merchant_local"] + """
+ORDER BY total_transaction_amount DESC, merchant_id, merchant_category LIMIT 10"""
     q["gold_merchant_cloud"] = _with("cloud", f"""
 SELECT merchant_category, count(*) AS transaction_count, {total()} AS total_transaction_value
 FROM gold GROUP BY merchant_category""")

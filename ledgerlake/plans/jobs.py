@@ -12,11 +12,12 @@ is counted once) and from Parquet footers, not from extra scans.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import nullcontext
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake import sinks
 from ledgerlake.functions.rules import Profile, get_profile
@@ -24,7 +25,7 @@ from ledgerlake.operators import bronze as bronze_ops
 from ledgerlake.operators import gold as gold_ops
 from ledgerlake.operators import monitor
 from ledgerlake.operators import quality as quality_ops
-from ledgerlake.session import sized_shuffles
+from ledgerlake.session import sized_session
 
 # ---------------------------------------------------------------------------
 # Where each profile keeps its layers (paths / table names)
@@ -79,8 +80,10 @@ class LayerStore:
     def name(self, layer: str, profile: str | Profile | None = None) -> str:
         """Physical name of a layer role (an unknown role is used as given)."""
         layout = self.layout or (get_profile(profile).name if profile else "local")
-        if layout not in LAYOUTS:
+        if layout == "rules":            # a rule set without layers of its own
             layout = "local"
+        if layout not in LAYOUTS:
+            raise ValueError(f"unknown layout {layout!r}: one of {sorted(LAYOUTS)}")
         if layer == "metrics_all":
             name = METRICS_ALL[layout]
         else:
@@ -91,22 +94,27 @@ class LayerStore:
         name = self.name(layer, profile)
         return f"{self.schema}.{name}" if self.schema else f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, layer: str, profile: str | Profile | None = None) -> None:
+    def write(self, df: DataFrame, layer: str, profile: str | Profile | None = None,
+              partition_by: list[str] | None = None) -> None:
         if self.schema:
             sinks.create_schema(self.spark, self.schema)
-            sinks.write_table(df, self.location(layer, profile), self.fmt)
+            sinks.write_table(df, self.location(layer, profile), self.fmt, partition_by=partition_by)
         else:
-            sinks.write_layer(df, self.location(layer, profile), self.fmt)
+            sinks.write_layer(df, self.location(layer, profile), self.fmt, partition_by=partition_by)
 
-    def read(self, layer: str, profile: str | Profile | None = None) -> DataFrame:
+    def read(self, layer: str, profile: str | Profile | None = None,
+             columns: StructType | None = None) -> DataFrame:
+        """``columns``: the layer's, for a partitioned one, whose folder may hold no file."""
         if self.schema:
             return self.spark.table(self.location(layer, profile))
-        return self.spark.read.format(self.fmt).load(self.location(layer, profile))
+        reader = self.spark.read.schema(columns) if columns else self.spark.read
+        return reader.format(self.fmt).load(self.location(layer, profile))
 
 
-def _write_counted(store: LayerStore, df: DataFrame, layer: str, profile: Profile) -> int:
+def _write_counted(store: LayerStore, df: DataFrame, layer: str, profile: Profile,
+                   partition_by: list[str] | None = None) -> int:
     obs = Observation(layer)
-    store.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), layer, profile)
+    store.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), layer, profile, partition_by)
     return int(obs.get["rows"])
 
 
@@ -123,6 +131,8 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     """bronze -> quarantine (every invalid row, with its reasons) and silver
     (valid rows, one per transaction_id)."""
     p = get_profile(profile)
+    # a session of its own: the dedup exchange starts with partitions sized from the bronze bytes
+    store = replace(store, spark=sized_session(store.spark, store.read("bronze", p)))
     bronze = store.read("bronze", p)
     valid, invalid = quality_ops.split(quality_ops.validate(bronze, p), p)
     order = quality_ops.survivor_order(p) if deterministic else None
@@ -130,15 +140,13 @@ def quality(store: LayerStore, profile: str | Profile = "local",
         quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
     if store.schema:
         sinks.create_schema(store.spark, store.schema)
-    sizing = (nullcontext() if store.schema else
-              sized_shuffles(store.spark, [store.location("bronze", p)]))
     # The two outputs are independent jobs over bronze: submit them together
-    # (the quarantine write is map-only; the dedup exchange starts with
-    # partitions sized from the bronze bytes).
-    with sizing, ThreadPoolExecutor(max_workers=2) as pool:
-        quarantined = pool.submit(_write_counted, store, quality_ops.shape_quarantine(invalid, p),
+    # (the quarantine write is map-only), with the caller's job group and pool.
+    counted = inheritable_thread_target(store.spark)(_write_counted)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        quarantined = pool.submit(counted, store, quality_ops.shape_quarantine(invalid, p),
                                   "quarantine", p)
-        silvered = pool.submit(_write_counted, store, silver, "silver", p)
+        silvered = pool.submit(counted, store, silver, "silver", p)
         out = {"quarantined_records": quarantined.result(), "silver_records": silvered.result()}
     # The split is exhaustive and disjoint, so valid = bronze - quarantined.
     # (An observation placed before the dedup exchange would sit in a shuffle
@@ -155,31 +163,35 @@ def gold(store: LayerStore, profile: str | Profile = "local",
     p = get_profile(profile)
     out = {"gold_risk_records": _write_counted(
         store, gold_ops.add_risk(store.read("silver", p)), "risk_rows", p)}
-    # one scan + one exchange for all five tables, then five tiny splits
-    out["gold_metric_groups"] = _write_counted(
-        store, gold_ops.all_metrics(store.read("risk_rows", p), p, money_mode), "metrics_all", p)
-    combined = store.read("metrics_all", p)
+    # one scan + one exchange for all five tables, then five splits: each reads
+    # the folder of its own metric only
+    metrics = gold_ops.all_metrics(store.read("risk_rows", p), p, money_mode)
+    out["gold_metric_groups"] = _write_counted(store, metrics, "metrics_all", p, ["metric"])
+    combined = store.read("metrics_all", p, metrics.schema)
     if store.schema:
         sinks.create_schema(store.spark, store.schema)
-    # five tiny independent writes: submitted together so their scheduling
+    # five independent writes: submitted together so their scheduling
     # latency overlaps (Spark runs jobs from separate threads concurrently)
+    write = inheritable_thread_target(store.spark)(store.write)
     with ThreadPoolExecutor(max_workers=len(METRIC_LAYERS)) as pool:
-        for done in [pool.submit(store.write, gold_ops.metric_from_all(combined, name, p), name, p)
+        for done in [pool.submit(write, gold_ops.metric_from_all(combined, name, p), name, p)
                      for name in METRIC_LAYERS]:
             done.result()
     return out
 
 
 def monitor_layers(store: LayerStore, metrics_path: str | None = None,
-                   profile: str | Profile = "local") -> dict:
-    """Reconcile the written layers into the monitoring record."""
+                   profile: str | Profile = "local", pipeline_name: str = monitor.PIPELINE_NAME) -> dict:
+    """Reconcile the written layers into the monitoring record: computed once, the
+    document holds what is returned."""
     p = get_profile(profile)
     metrics = monitor.monitoring_record(store.read("bronze", p), store.read("silver", p),
                                         store.read("quarantine", p), store.read("risk_rows", p),
-                                        generated_at=True)
+                                        generated_at=True, pipeline_name=pipeline_name)
+    row = metrics.first()
     if metrics_path:
-        sinks.write_metrics_json(metrics, metrics_path)
-    return metrics.first().asDict()
+        sinks.write_metrics_json(store.spark.createDataFrame([row], metrics.schema), metrics_path)
+    return row.asDict()
 
 
 def run_batch(spark: SparkSession, messages: DataFrame, store: LayerStore,

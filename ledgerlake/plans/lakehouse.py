@@ -181,7 +181,8 @@ class Lakehouse:
         return self.store(p).read("metrics_all", p)
 
     def gold(self, name: str, profile: str | Profile = "local") -> DataFrame:
-        """One gold metric table, split out of :meth:`gold_all` (with the
-        profile's ordering)."""
+        """One written gold metric table (with the profile's ordering)."""
         p = get_profile(profile)
-        return gold_ops.metric_from_all(self.gold_all(p), name, p)
+        self._gold(p)
+        table = self.store(p).read(name, p)
+        return gold_ops.in_order(table, name, p) if p.sorted_gold else table

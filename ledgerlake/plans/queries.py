@@ -9,15 +9,18 @@ per-run ``ingestion_timestamp`` and the constant source timestamp dropped.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake import sinks
 from ledgerlake.functions.rules import get_profile
 from ledgerlake.operators import bronze as bronze_ops
 from ledgerlake.operators import monitor
 from ledgerlake.operators import quality as quality_ops
+from ledgerlake.plans import jobs
 from ledgerlake.plans.lakehouse import Lakehouse
 from ledgerlake.schema import EVENT_FIELDS
 
@@ -60,7 +63,7 @@ def _stream_bronze(spark, sf_dir) -> DataFrame:
     lake = _lake(spark, sf_dir)
     lake.topic()
     sink, _ = run_bronze_stream(spark, lake.path("topic"), lake.path("stream_run"),
-                                prefix="kafka", max_files_per_trigger=1)
+                                prefix="kafka")
     return spark.read.parquet(sink)
 
 
@@ -73,7 +76,74 @@ def batch_stream_reconcile(spark, sf_dir):
                                           _stream_bronze(spark, sf_dir))
 
 
+def _fresh(lake: Lakehouse, name: str) -> str:
+    """A new folder, also if the query runs again."""
+    return lake.path(f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+def bronze_stream_resume(spark, sf_dir):
+    """Half the topic, a run; the other half, a second run that goes on from the first."""
+    from ledgerlake.streaming.ingest import run_bronze_stream
+    lake = _lake(spark, sf_dir)
+    run = _fresh(lake, "resume")
+    for half in (0, 1):
+        lake.topic().where(F.col("partition") % 2 == half).write.mode("append").parquet(f"{run}/topic")
+        sink, _ = run_bronze_stream(spark, f"{run}/topic", run)
+    return spark.read.parquet(sink).select(*EVENT_FIELDS, *_lineage("local"))
+
+
+def bronze_stream_table_cloud(spark, sf_dir):
+    from ledgerlake.streaming.ingest import run_bronze_stream
+    lake = _lake(spark, sf_dir)
+    lake.topic()
+    schema = f"stream_{uuid.uuid4().hex[:8]}"
+    sinks.create_schema(spark, schema)
+    name = f"{schema}.bronze"
+    run_bronze_stream(spark, lake.path("topic"), _fresh(lake, "stream_table"), prefix="eventhub", table=name)
+    return spark.table(name).select(*EVENT_FIELDS, *_lineage("cloud"))
+
+
+def stream_report(spark, sf_dir):
+    """Input rows over all micro-batches of a fresh run, and the rows it wrote."""
+    from ledgerlake.streaming.ingest import bronze_stream_from_files, run_with_totals, start_stream
+    lake = _lake(spark, sf_dir)
+    lake.topic()
+    run = _fresh(lake, "report")
+    stream = bronze_stream_from_files(spark, lake.path("topic"))
+    _, totals = run_with_totals(spark, lambda: start_stream(stream, f"{run}/checkpoint", f"{run}/bronze"))
+    return spark.read.parquet(f"{run}/bronze").agg(
+        F.lit(totals["input_rows"]).cast("long").alias("input_rows"), F.count(F.lit(1)).alias("bronze_rows"))
+
+
+def events_from_json(spark, sf_dir):
+    """Events written as JSON arrays, an array a file, and read back."""
+    from ledgerlake.sources.files import read_event_json
+    lake = _lake(spark, sf_dir)
+    path = _fresh(lake, "events-json")
+    event = F.struct(*EVENT_FIELDS)
+    # as many events in a file as fit one task: a file of many lines is not split
+    arrays = lake.events().groupBy(F.floor(F.col("offset") / 10_000).alias("file")).agg(
+        F.to_json(F.collect_list(event), {"ignoreNullFields": "false"}).alias("value"))
+    arrays.write.partitionBy("file").text(path)
+    return read_event_json(spark, path).select(*EVENT_FIELDS)
+
+
+def ingestion_stamp(spark, sf_dir):
+    stamp = F.col("ingestion_timestamp")
+    return _lake(spark, sf_dir).bronze("local").agg(
+        F.count_if(stamp.isNull()).alias("null_stamps"), F.count_distinct(stamp).alias("stamps"))
+
+
 # -- quality -----------------------------------------------------------------
+def silver_table_cloud(spark, sf_dir):
+    """Bronze and silver as catalog tables."""
+    store = jobs.LayerStore(spark, schema=f"lake_{uuid.uuid4().hex[:8]}")
+    jobs.ingest(_lake(spark, sf_dir).topic(), store, "cloud")
+    jobs.quality(store, "cloud")
+    return store.read("silver", "cloud").select(
+        *EVENT_FIELDS, *_lineage("cloud"), get_profile("cloud").error_column)
+
+
 def quality_errors_rules(spark, sf_dir):
     """The rule set without a timestamp rule, over the raw events."""
     v = quality_ops.validate(_lake(spark, sf_dir).events(), "rules")
@@ -135,6 +205,12 @@ def _gold(name, profile):
     return build
 
 
+def top_merchants_local(spark, sf_dir):
+    from ledgerlake.operators.gold import top
+    return top(_lake(spark, sf_dir).gold("merchant", "local"), 10,
+               [F.desc("total_transaction_amount"), F.asc("merchant_id"), F.asc("merchant_category")])
+
+
 def _parity_silver(spark, sf_dir, p):
     """Silver by the reference's exact path: ``dropDuplicates`` (any survivor);
     the fixture's duplicates are identical events, so aggregates do not depend
@@ -202,6 +278,16 @@ def _monitoring_metrics(profile):
     return build
 
 
+def _metrics_document(profile):
+    """The record written as a JSON document and read back."""
+    def build(spark, sf_dir):
+        record = _monitoring_metrics(profile)(spark, sf_dir)
+        path = _fresh(_lake(spark, sf_dir), "metrics")
+        sinks.write_metrics_json(record, path)
+        return spark.read.schema(record.schema).json(path)
+    return build
+
+
 def registry() -> dict[str, Builder]:
     q: dict[str, Builder] = {
         "transactions": transactions,
@@ -210,6 +296,13 @@ def registry() -> dict[str, Builder]:
         "bronze_stream": bronze_stream,
         "batch_stream_reconcile": batch_stream_reconcile,
         "quality_errors_rules": quality_errors_rules,
+        "bronze_stream_resume": bronze_stream_resume,
+        "bronze_stream_table_cloud": bronze_stream_table_cloud,
+        "stream_report": stream_report,
+        "events_from_json": events_from_json,
+        "ingestion_stamp": ingestion_stamp,
+        "silver_table_cloud": silver_table_cloud,
+        "top_merchants_local": top_merchants_local,
     }
     for p in ("local", "cloud"):
         q[f"quality_errors_{p}"] = _quality_errors(p)
@@ -224,6 +317,7 @@ def registry() -> dict[str, Builder]:
         q[f"risk_distribution_{p}"] = _risk_distribution(p)
         q[f"duplicates_removed_{p}"] = _duplicates_removed(p)
         q[f"monitoring_metrics_{p}"] = _monitoring_metrics(p)
+        q[f"metrics_document_{p}"] = _metrics_document(p)
         for name in ("daily", "merchant", "country", "payment", "risk_summary"):
             q[f"gold_{name}_{p}_parity"] = _parity(name, p)
         q[f"total_value_{p}_parity"] = _parity_total(p)

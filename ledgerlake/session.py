@@ -7,12 +7,15 @@ Everything else is a default that a cluster's own configuration wins over.
 
 from __future__ import annotations
 
+import logging
 import math
 import os
 import tempfile
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+log = logging.getLogger("ledgerlake")
 
 # Settings that change results: always applied.
 REQUIRED_CONF = {
@@ -79,7 +82,7 @@ def shared_dir(spark: SparkSession) -> str:
     if ctx_dir.isDefined():
         return str(ctx_dir.get()).rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster run needs a shared "
             "folder (HDFS / object store) for checkpoints and layer tables")
@@ -104,6 +107,36 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# Beyond this many reducers each takes more bytes instead (a sort spills, no row is affected):
+# the blocks of a shuffle are mappers x reducers, and the driver keeps a map of them.
+MOST_PARTITIONS = 40_000
+
+
+def reducers_for(n_bytes: int, parallelism: int, expansion: float = 4.0,
+                 target_bytes: int = TARGET_PARTITION_BYTES, most: int = MOST_PARTITIONS) -> int:
+    """Partitions for ``n_bytes`` of compressed columnar data: between the
+    cluster's parallelism and ``most``."""
+    return max(parallelism, min(most, math.ceil(n_bytes * expansion / target_bytes)))
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the bytes of ``df``: for files and tables their size."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def sized_session(spark: SparkSession, df: DataFrame, **kw) -> SparkSession:
+    """A session of its own whose shuffles start with as many partitions as ``df`` needs.
+
+    It shares the catalog and all settings of ``spark``, so other jobs of that
+    session keep their own number.  A number the user has set is kept.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        own.conf.set(INITIAL_PARTITIONS, str(reducers_for(plan_bytes(df), spark.sparkContext.defaultParallelism, **kw)))
+    return own
 
 
 def partitions_for(spark: SparkSession, paths: list[str], expansion: float = 4.0,
@@ -111,11 +144,13 @@ def partitions_for(spark: SparkSession, paths: list[str], expansion: float = 4.0
     """Partitions for data read from ``paths``: ``expansion`` converts
     compressed columnar bytes to in-flight row bytes; never below the
     cluster's parallelism."""
+    parallelism = spark.sparkContext.defaultParallelism
     try:
-        n = math.ceil(input_bytes(spark, paths) * expansion / target_bytes)
-    except Exception:       # sizing is an optimisation: never fail the job over it
-        n = 0
-    return max(n, spark.sparkContext.defaultParallelism)
+        n_bytes = input_bytes(spark, paths)
+    except Exception as error:       # sizing is an optimisation: never fail the job over it
+        log.warning("the size of %s is unknown (%s): %d partitions", paths, str(error).split("\n")[0], parallelism)
+        return parallelism
+    return reducers_for(n_bytes, parallelism, expansion, target_bytes)
 
 
 def size_shuffles(spark: SparkSession, paths: list[str], expansion: float = 4.0,

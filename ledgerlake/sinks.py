@@ -12,18 +12,31 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlake.operators.bronze import encode_messages
 
 
+def holds_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a stream writes to ``path``: its log of committed files lies there."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    return bool(log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log))
+
+
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
-    """Overwrite a layer at ``path`` (one file per task; no driver collect)."""
+    """Overwrite a layer at ``path`` (one file per task; no driver collect).
+
+    Refuses a folder that a stream writes to, before anything is deleted: the
+    stream's checkpoint would go on naming files that are gone."""
+    if mode == "overwrite" and holds_stream(df.sparkSession, path):
+        raise ValueError(f"{path} is the sink of a stream: choose another folder or layout, or remove it "
+                         "together with the stream's checkpoint")
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
 
 
-def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite",
+                partition_by: list[str] | None = None) -> None:
     """Overwrite a catalog table."""
-    df.write.format(fmt).mode(mode).saveAsTable(name)
+    df.write.format(fmt).mode(mode).saveAsTable(name, partitionBy=partition_by)
 
 
 def create_schema(spark: SparkSession, name: str) -> None:

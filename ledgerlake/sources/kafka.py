@@ -108,13 +108,18 @@ def read_message_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_message_files_stream(spark: SparkSession, path: str,
-                              max_files_per_trigger: int | None = None) -> DataFrame:
+                              max_files_per_trigger: int | None = None,
+                              max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Kafka-shaped Parquet as an incremental source (offline stand-in).
 
     New files appearing under ``path`` are the new messages; the file source
-    records which files it has processed in the query checkpoint.
+    records which files it has processed in the query checkpoint.  A bound on
+    the bytes of a micro-batch keeps it as wide as the cluster; a bound on the
+    files may not.
     """
     reader = spark.readStream.schema(KAFKA_SCHEMA)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(path)

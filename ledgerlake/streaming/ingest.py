@@ -10,8 +10,11 @@ appends only them.
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ledgerlake.operators.bronze import bronze, raw_messages
 from ledgerlake.schema import EVENT_SCHEMA
@@ -39,8 +42,9 @@ def start_stream(df: DataFrame, checkpoint: str, path: str | None = None,
 
 
 def bronze_stream_from_files(spark: SparkSession, source_path: str, prefix: str = "kafka",
-                             max_files_per_trigger: int | None = None) -> DataFrame:
-    return bronze(read_message_files_stream(spark, source_path, max_files_per_trigger),
+                             max_files_per_trigger: int | None = None,
+                             max_bytes_per_trigger: int | None = None) -> DataFrame:
+    return bronze(read_message_files_stream(spark, source_path, max_files_per_trigger, max_bytes_per_trigger),
                   EVENT_SCHEMA, prefix)
 
 
@@ -78,11 +82,56 @@ def console_preview(messages: DataFrame, fmt: str = "console",
     return writer.start()
 
 
+class BatchTotals(StreamingQueryListener):
+    """Running totals over every micro-batch of the queries started while it listens."""
+
+    def __init__(self):
+        self.micro_batches = self.input_rows = self.trigger_ms = 0
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event):  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        self.micro_batches += 1
+        self.input_rows += event.progress.numInputRows
+        self.trigger_ms += dict(event.progress.durationMs).get("triggerExecution", 0)
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        self.ended.set()
+
+
+def run_with_totals(spark: SparkSession, start: Callable[[], StreamingQuery],
+                    patience_s: float = 60) -> tuple[StreamingQuery, dict[str, int]]:
+    """Run the query that ``start`` starts to its end; its totals over all micro-batches.
+
+    They come from the query's events, which Spark delivers in order: the end
+    comes after every progress.  (A query's own list of progress keeps the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` only.)  Run one at a time
+    per session.
+    """
+    totals = BatchTotals()
+    spark.streams.addListener(totals)
+    try:
+        query = start()
+        query.awaitTermination()
+        if not totals.ended.wait(patience_s):
+            raise TimeoutError("the end of the query was not reported")
+    finally:
+        spark.streams.removeListener(totals)
+    return query, {"micro_batches": totals.micro_batches, "input_rows": totals.input_rows,
+                   "trigger_ms": totals.trigger_ms}
+
+
 def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per-micro-batch throughput of a finished query (rows, rows/s, duration).
+    """Throughput of a finished query's last micro-batches (rows, rows/s, duration).
 
-    The progress list is query metadata (one entry per micro-batch, bounded by
-    ``spark.sql.streaming.numRecentProgressUpdates``), not data.
+    The progress list is query metadata, not data, and holds the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` entries: totals come from
+    :func:`run_with_totals`.
     """
     rows = [(int(p["batchId"]), int(p["numInputRows"]),
              float(p.get("inputRowsPerSecond") or 0.0),
