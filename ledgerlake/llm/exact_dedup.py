@@ -36,6 +36,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # else each state partition takes 4 MB of disk before it holds a row
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 SHA256 = lambda text: F.sha2(text, 256)
 FILTER_BITS = 1 << 22     # 512 KB, whatever the input
