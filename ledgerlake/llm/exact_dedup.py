@@ -90,7 +90,7 @@ def _texts_of_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
     is_set = F.expr("byte & (1 << cast(at % 8 as int))") != 0
     return (near.withColumn("byte", byte).where(is_set)
             .select("id", FILE, ROW, "digest", "norm")
-            .join(hits.select("digest"), "digest", "left_semi"))
+            .join(hits.select("digest"), "digest"))      # (a semi-join would be moved before the filter)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
