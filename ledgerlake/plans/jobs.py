@@ -102,13 +102,16 @@ class LayerStore:
         else:
             sinks.write_layer(df, self.location(layer, profile), self.fmt, partition_by=partition_by)
 
-    def read(self, layer: str, profile: str | Profile | None = None,
-             columns: StructType | None = None) -> DataFrame:
-        """``columns``: the layer's, for a partitioned one, whose folder may hold no file."""
+    def read(self, layer: str, profile: str | Profile | None = None) -> DataFrame:
         if self.schema:
             return self.spark.table(self.location(layer, profile))
-        reader = self.spark.read.schema(columns) if columns else self.spark.read
-        return reader.format(self.fmt).load(self.location(layer, profile))
+        return self.spark.read.format(self.fmt).load(self.location(layer, profile))
+
+    def read_as(self, columns: StructType, layer: str, profile: str | Profile | None = None) -> DataFrame:
+        """A layer of known columns: a partitioned one without rows has no file to tell them."""
+        if self.schema:
+            return self.read(layer, profile)
+        return self.spark.read.schema(columns).format(self.fmt).load(self.location(layer, profile))
 
 
 def _write_counted(store: LayerStore, df: DataFrame, layer: str, profile: Profile,
@@ -134,7 +137,11 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     # a session of its own: the dedup exchange starts with partitions sized from the bronze bytes
     store = replace(store, spark=sized_session(store.spark, store.read("bronze", p)))
     bronze = store.read("bronze", p)
-    valid, invalid = quality_ops.split(quality_ops.validate(bronze, p), p)
+    validated = quality_ops.validate(bronze, p)
+    seen = Observation("bronze")
+    valid = quality_ops.split(validated, p)[0]
+    # the map-only quarantine write reads every bronze row: count them there
+    invalid = quality_ops.split(validated.observe(seen, F.count(F.lit(1)).alias("rows")), p)[1]
     order = quality_ops.survivor_order(p) if deterministic else None
     silver = quality_ops.shape_silver(
         quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
@@ -152,7 +159,7 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     # (An observation placed before the dedup exchange would sit in a shuffle
     # map stage, whose metrics can be applied twice when a lost executor
     # forces the stage to re-run; write-stage observations are exact.)
-    out["valid_before_dedup"] = bronze.count() - out["quarantined_records"]
+    out["valid_before_dedup"] = int(seen.get["rows"]) - out["quarantined_records"]
     out["duplicates_removed"] = out["valid_before_dedup"] - out["silver_records"]
     return out
 
@@ -167,7 +174,7 @@ def gold(store: LayerStore, profile: str | Profile = "local",
     # the folder of its own metric only
     metrics = gold_ops.all_metrics(store.read("risk_rows", p), p, money_mode)
     out["gold_metric_groups"] = _write_counted(store, metrics, "metrics_all", p, ["metric"])
-    combined = store.read("metrics_all", p, metrics.schema)
+    combined = store.read_as(metrics.schema, "metrics_all", p)
     if store.schema:
         sinks.create_schema(store.spark, store.schema)
     # five independent writes: submitted together so their scheduling
