@@ -450,6 +450,46 @@ def test_repeats_of_rows_with_equal_and_null_ids(spark):
     assert got == [("1", 0), ("1", 100), ("2", 0), ("None", 200)]      # the null id comes first
 
 
+def symbols(strings):
+    return np.frombuffer("".join(strings).encode(), np.uint8).astype(np.int64), np.array([len(x) for x in strings])
+
+
+def test_matching_statistics():
+    from ledgerlake.llm.run_index import RunIndex
+
+    r = random.Random(8)
+    for trial in range(60):
+        letters = "ab" if trial % 2 else "abcd"
+        indexed = ["".join(r.choice(letters) for _ in range(r.randint(1, 30))) for _ in range(r.randint(1, 6))]
+        asked = ["".join(r.choice(letters + "z") for _ in range(r.randint(1, 25))) for _ in range(4)] + indexed[:1]
+        got = iter(RunIndex(*symbols(indexed)).statistics(*symbols(asked)).tolist())
+        for q in asked:
+            for i in range(len(q)):
+                assert next(got) == max(n for n in range(len(q) - i + 1) if any(q[i:i + n] in x for x in indexed))
+
+
+def test_a_repetitive_text_has_few_runs():
+    from ledgerlake.llm.run_index import RunIndex
+
+    text = "".join(random.Random(1).choices("abcdefgh", k=200))
+    index = RunIndex(*symbols([text] * 50))
+    assert len(index.start) < 0.1 * index.n
+
+
+def test_unrelated_segments_share_no_window(texts):
+    data = [(t or "").encode() for t in texts]
+    gram, digest, doc, start, count = repeats.segments(data)
+    own = [data[d][a:a + c + 99] for d, a, c in zip(doc, start, count, strict=True)]
+    order = np.lexsort((start, doc, gram))
+    gram, own = gram[order].view(np.int64), [own[i] for i in order]
+    label = repeats.related(gram, own)
+    windows = defaultdict(set)
+    for name, text in zip(label.tolist(), own, strict=True):
+        for i in range(len(text) - 99):
+            windows[text[i:i + 100]].add(name)
+    assert all(len(x) == 1 for x in windows.values())
+
+
 # URL lists
 
 def test_url_lists(spark):
