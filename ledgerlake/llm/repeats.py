@@ -35,10 +35,11 @@ from ledgerlake.llm.run_index import RunIndex
 
 N, K = 100, 24
 MOST_SEGMENTS = 4096
-STRETCH = 1 << 22          # windows handled at a time
+STRETCH = 1 << 17          # windows handled at a time: their arrays stay in the processor's cache
 POSITION = np.uint64((1 << 23) - 1)
-BUFFER = 1_000_000         # segments a task holds before it sends them
+BUFFER = 400_000           # segments a task holds before it sends them
 BUCKET_BYTES = 4 << 20     # of input per bucket of segments
+INDEX_SEGMENTS = 8_000     # per index, about
 MOST_BUCKETS = 100_000
 # Odd multipliers with well-spread bits.
 MIX = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)))
@@ -77,8 +78,12 @@ def segments(texts: list[bytes], n: int = N, k: int = K):
         if reach < width:
             least = np.minimum(least[:reach - width], least[width - reach:])
         place = (least & POSITION).astype(np.int64)          # of each window's minimizer
-        doc = np.searchsorted(ends, base + np.arange(len(place)), "right")
-        whole = base + np.arange(len(place)) + n <= ends[doc]
+        first, last = np.searchsorted(ends, (base, base + len(place) - 1), "right")
+        upto = np.minimum(ends[first:last + 1] - base, len(place))
+        size = np.diff(np.r_[0, upto])
+        doc = np.repeat(np.arange(first, last + 1), size)
+        # the windows that end in their own text: all but its last n - 1
+        whole = np.arange(len(place)) <= np.repeat(ends[first:last + 1] - base - n, size)
         turn = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (whole[1:] != whole[:-1])])
         count = np.diff(np.r_[turn, len(place)])
         turn, count = turn[whole[turn]], count[whole[turn]]
@@ -310,7 +315,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     open_ = settled.where("kind > 1")
     counts = open_.agg(F.count(F.lit(1)), F.max("kind")).first()
     if counts[0]:
-        index_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts[0] // 20_000))
+        index_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts[0] // INDEX_SEGMENTS))
         stretches = _texts_of(open_.where(F.col("kind") <= most_segments).select("doc", "gram", "a", "b"), rows)
         spans = spans.unionAll(_by_index(stretches, index_buckets, n))
         if counts[1] > most_segments:
