@@ -65,12 +65,12 @@ def _stream_totals(spark: SparkSession, prints: DataFrame, path: str, state_dir:
     try:
         for k, v in STATE_CONF.items():
             spark.conf.set(k, v)
-        (totals.writeStream.outputMode("update").foreachBatch(save)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start().awaitTermination())
-    finally:
+        query = (totals.writeStream.outputMode("update").foreachBatch(save)
+                 .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:            # the query has taken its copy of the settings
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    query.awaitTermination()
     # a digest is written anew by each micro-batch that saw it; its count only grows
     ledger = spark.read.schema(f"{kinds}, batch long").parquet(out)
     latest = ledger.groupBy("digest").agg(F.max(F.struct("rows", "stays")).alias("t"))
@@ -78,8 +78,8 @@ def _stream_totals(spark: SparkSession, prints: DataFrame, path: str, state_dir:
 
 
 def _texts_of_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """(digest, norm) of the rows behind ``hits``.  A bit map of a fixed size, kept on every
-    executor, lets most other texts drop out before any of them is shuffled."""
+    """(digest, norm) of the rows behind ``hits``, and of few others.  A bit map of a fixed size,
+    kept on every executor, lets most other texts drop out before any of them is shuffled."""
     at = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
     bits = (hits.select(at.alias("at"))
             .groupBy(F.expr(f"at div {PAGE}").alias("page"))
@@ -89,8 +89,7 @@ def _texts_of_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
     byte = F.conv(F.hex(F.expr(f"substring(bits, cast((at % {PAGE}) div 8 + 1 as int), 1)")), 16, 10).cast("int")
     is_set = F.expr("byte & (1 << cast(at % 8 as int))") != 0
     return (near.withColumn("byte", byte).where(is_set)
-            .select("id", FILE, ROW, "digest", "norm")
-            .join(hits.select("digest"), "digest"))      # (a semi-join would be moved before the filter)
+            .select("digest", "norm"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -100,8 +99,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: id, ``keep_id``, ``group_size``, ``kept``, ``digest``
     and the row's locator (file and row).
 
-    ``state_dir``: a checkpoint to go on from in later calls.  By default each
-    call has its own, and one micro-batch takes all files.
+    ``state_dir``: a checkpoint to go on from in later calls; then rows are
+    classed with those of earlier calls by digest, and bytes are compared within
+    the call.  By default each call has its own, and one micro-batch takes all
+    files.  The state has ``spark.sql.shuffle.partitions`` partitions, fixed by
+    the first call.
     """
     spark = docs.sparkSession
     rows = located(docs)
@@ -114,7 +116,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     totals = _stream_totals(spark, prints, path, state_dir, files_per_trigger)
 
     hits = totals.where("rows > 1").select("digest")
-    # full bytes: rows of one digest are one class only if they are one text
+    # full bytes: rows of one digest are one class only if they are one text (each task
+    # counts its own copies first, so a hot text is shuffled once per task)
     classes = _texts_of_hits(rows, hits).groupBy("digest", "norm").count()
     clashes = materialise(classes.groupBy("digest").agg(F.count(F.lit(1)).alias("texts"))
                           .where("texts > 1").select("digest"), "dedup-clashes")
