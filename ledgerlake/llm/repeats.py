@@ -239,6 +239,47 @@ def earlier_windows(group: np.ndarray, texts: list[bytes], n: int = N) -> list[n
     return [found[b:b + s] for b, s in zip(begins, lengths, strict=True)]
 
 
+def related(gram: np.ndarray, texts: list[bytes], n: int = N, k: int = K) -> np.ndarray:
+    """Group labels of segments: those with different labels have no ``n``-byte window in common.
+
+    A common window holds the minimizer and at least half of its other bytes lie on one side.
+    So two segments that share a window share that many bytes next to the minimizer, to its
+    left or to its right; the labels are the components of these two relations.
+    """
+    import xxhash
+
+    m, half = len(texts), -(-(n - k) // 2)
+    sizes = np.fromiter(map(len, texts), np.int64, m)
+    ends = np.cumsum(sizes)
+    h = gram_hashes(b"".join(texts), k)
+    owner = np.repeat(np.arange(m), sizes)[:len(h)]
+    at = np.flatnonzero((h == gram.view(np.uint64)[owner]) & (np.arange(len(h)) + k <= ends[owner]))
+    found = np.bincount(owner[at], minlength=m)
+    place = np.zeros(m, np.int64)
+    place[owner[at]] = at - (ends - sizes)[owner[at]]
+    number = np.unique(gram, return_inverse=True)[1]
+    unclear = np.bincount(number, found != 1)[number] > 0     # a minimizer twice in a segment: one group
+    label = np.arange(m)
+    relations = []
+    for side, room in ((0, place), (1, sizes - place - k)):
+        has = np.flatnonzero((room >= half) & ~unclear)
+        cuts = [texts[i][p - half:p] if side == 0 else texts[i][p + k:p + k + half]
+                for i, p in zip(has.tolist(), place[has].tolist(), strict=True)]
+        key = np.fromiter(map(xxhash.xxh3_64_intdigest, cuts), np.uint64, len(has)) ^ (gram[has].view(np.uint64) * MIX[0])
+        relations.append((has, np.unique(key, return_inverse=True)[1]))
+    relations.append((np.flatnonzero(unclear), number[unclear]))
+    changed = True
+    while changed:
+        changed = False
+        for has, key in relations:
+            if len(has):
+                least = np.full(int(key.max()) + 1, m)
+                np.minimum.at(least, key, label[has])
+                changed |= bool((least[key] < label[has]).any())
+                label[has] = least[key]
+    return label
+
+
 def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """(gram, doc, a, text) of the wanted stretches: each document is read once for all of its own."""
     per_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("gram", "a", "b")).alias("wanted"))
@@ -255,12 +296,17 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(per_doc, "doc").mapInArrow(run, "gram long, doc long, a long, text binary")
 
 
-def _by_index(stretches: DataFrame, buckets: int, n: int) -> DataFrame:
+def _by_index(stretches: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
     """Spans of stretches that occur in an earlier stretch of the same minimizer."""
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["gram", "doc", "a"], ignore_index=True)
-        hits = earlier_windows(pdf["gram"].to_numpy(), pdf["text"].tolist(), n)
+        label = related(pdf["gram"].to_numpy(), pdf["text"].tolist(), n, k)
+        some = np.bincount(label, minlength=len(pdf))[label] > 1      # others share no window
+        pdf, label = pdf[some], label[some]
+        hits = earlier_windows(label, pdf["text"].tolist(), n)
         doc, a = pdf["doc"].to_numpy(), pdf["a"].to_numpy()
+        if not len(pdf):
+            return pd.DataFrame({"doc": doc, "a": a, "b": a})
         where = [np.flatnonzero(h) for h in hits]
         many = np.fromiter(map(len, where), np.int64, len(where))
         at = np.repeat(a, many) + (np.concatenate(where) if where else 0)
@@ -317,7 +363,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     if counts[0]:
         index_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts[0] // INDEX_SEGMENTS))
         stretches = _texts_of(open_.where(F.col("kind") <= most_segments).select("doc", "gram", "a", "b"), rows)
-        spans = spans.unionAll(_by_index(stretches, index_buckets, n))
+        spans = spans.unionAll(_by_index(stretches, index_buckets, n, k))
         if counts[1] > most_segments:
             large = _texts_of(open_.where(F.col("kind") > most_segments).select("doc", "gram", "a", "b"), rows)
             spans = spans.unionAll(_by_window(large, n))

@@ -18,15 +18,19 @@ def suffix_array(x: np.ndarray) -> np.ndarray:
     """Positions of the suffixes in order, by prefix doubling; all suffixes of ``x`` must differ
     (each string ends with a symbol of its own)."""
     n = len(x)
-    rank = np.unique(x, return_inverse=True)[1].astype(np.int64)
-    step = 1
+    names, rank = np.unique(x, return_inverse=True)
+    rank, base, step = rank.astype(np.int64) + 1, len(names) + 1, 1
+    if base ** 3 < 1 << 62:                 # three symbols at once
+        ahead = np.r_[rank, 0, 0]
+        rank, step = (ahead[:-2] * base + ahead[1:-1]) * base + ahead[2:], 3
+        rank = np.unique(rank, return_inverse=True)[1].astype(np.int64) + 1
     while True:
-        key = rank * (n + 1)
-        key[:max(n - step, 0)] += rank[step:] + 1
+        key = rank * (n + 2)
+        key[:max(n - step, 0)] += rank[step:]
         order = np.argsort(key)
         sorted_key = key[order]
-        new = np.r_[0, np.cumsum(sorted_key[1:] != sorted_key[:-1])]
-        if new[-1] == n - 1:
+        new = np.r_[1, 1 + np.cumsum(sorted_key[1:] != sorted_key[:-1])]
+        if new[-1] == n:
             return order
         rank = np.empty(n, np.int64)
         rank[order] = new
