@@ -54,7 +54,8 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
-           capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
+           capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False,
+           keep_words: bool = True) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, ``key`` (a random long of
     the row, the same whenever a task runs again), and the ids if asked for."""
     prepare(docs.sparkSession)
@@ -63,7 +64,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
-        encoder = Encoder.of(tokenizer_file)
+        encoder = Encoder.of(tokenizer_file, keep_words)
         for batch in batches:
             ids, counts = encoder.encode(texts(batch, "text"))
             ends = np.cumsum(counts)
@@ -89,13 +90,15 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
 
 
 def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP, keep_ids: bool = False) -> DataFrame:
+         capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP, keep_ids: bool = False,
+         keep_words: bool = True) -> DataFrame:
     """The pieces of all documents with ``sequence_id`` and ``offset``.
 
     Null text counts as empty: one piece, the end id.  Each row is a document of
-    its own, also if rows repeat.  An empty table gives no piece.
+    its own, also if rows repeat.  An empty table gives no piece.  ``keep_words``: workers
+    keep encoded words from task to task; without, their memory is free for other stages.
     """
-    cut = materialise(pieces(docs, tokenizer_file, id_col, text_col, capacity, end_id, keep_ids), "pieces")
+    cut = materialise(pieces(docs, tokenizer_file, id_col, text_col, capacity, end_id, keep_ids, keep_words), "pieces")
     groups = max(1, -(-cut.count() // group))
     cut = cut.withColumn("group", F.pmod(F.xxhash64("key", "start"), F.lit(groups)))
 

@@ -84,8 +84,10 @@ class Encoder:
         self.clear()
 
     @classmethod
-    def of(cls, tokenizer_file: str) -> "Encoder":
-        """The worker's encoder of this file."""
+    def of(cls, tokenizer_file: str, keep_words: bool = True) -> "Encoder":
+        """The worker's encoder of this file, or one for a single task."""
+        if not keep_words:
+            return cls(tokenizer_file)
         key = ("encoder", tokenizer_file)
         state = worker_state()
         if key not in state:
