@@ -27,6 +27,7 @@ LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 LATIN_NUMBERS = "0-9²³¹¼-¾"
 LATIN_SPACE = "\t-\r \x85\xa0"
 LAST_LATIN = "ſ"
+GROUP_CHARS = 1_000_000
 BYTE_WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN_LETTERS}]+| ?[{LATIN_NUMBERS}]+"
               rf"| ?[^{LATIN_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+|[{LATIN_SPACE}]+(?![^{LATIN_SPACE}])|[{LATIN_SPACE}]+")
 PLAIN_WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
@@ -87,7 +88,7 @@ class Encoder:
     def of(cls, tokenizer_file: str, keep_words: bool = True) -> "Encoder":
         """The worker's encoder of this file, or one for a single task."""
         if not keep_words:
-            return cls(tokenizer_file)
+            return cls(tokenizer_file, most_words=200_000)
         key = ("encoder", tokenizer_file)
         state = worker_state()
         if key not in state:
@@ -137,6 +138,14 @@ class Encoder:
         self.ids[begin:end] = np.fromiter(chain.from_iterable(found), np.uint32, end - begin)
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and each text's number of them; about ``GROUP_CHARS`` at a time,
+        whole texts, as the cuts take many times the memory of the text."""
+        group = np.cumsum([0, *map(len, texts)])[:-1] // GROUP_CHARS if len(texts) else np.zeros(0, np.int64)
+        starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        parts = [self._encode(texts[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.numbers) > self.most_words:
             self.clear()
         gc.disable()          # the store holds millions of strings and no cycles
