@@ -117,9 +117,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_scan(table(spark, sf_dir, "documents"))
     count = lambda v: F.size(F.filter(F.coalesce("verdicts", F.array()), lambda x: x["verdict"] == v))
+    each = lambda c: F.array_join(F.transform(F.coalesce("verdicts", F.array()), lambda x: x[c].cast("string")), ",")
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans",
-        count("live").cast("long").alias("n_live"), count("example").cast("long").alias("n_example"))
+        count("live").cast("long").alias("n_live"), count("example").cast("long").alias("n_example"),
+        each("n_repos").alias("n_repos"), each("n_owners").alias("n_owners"))   # of each candidate, in base order
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,9 +2,12 @@
 
 Patterns find candidates in whole texts.  Their values, hashed, are counted
 over the corpus by distinct repositories and distinct owners.  A value that
-many owners carry is a copied example; one that a single owner carries and that
-looks random is a live-looking credential, and gets a span of its own kind,
-``live``, over the value.  Values leave the scan as hashes only.
+many owners or many repositories carry is a copied example; one that a single
+owner carries in few repositories and that looks random is a live-looking
+credential, and gets a span of its own kind, ``live``, over the value.
+Repositories that hold it only in exact copies of one text count once there: a
+document that was copied as a whole says nothing about its values.  Values leave
+the scan as hashes only.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ KINDS = ("assign", "access", "hex", "live")
 LEAST_VALUE = 6
 PLACEHOLDER = re.compile(r"(?i)example|sample|changeme|placeholder|dummy|your|test|xxx|1234567|abcdef")
 EXAMPLE_OWNERS = 3       # so many owners make a value a copied example
+EXAMPLE_REPOS = 10       # or so many repositories, exact copies once
 LEAST_BITS, LEAST_LIVE = 2.5, 12
 
 
@@ -52,7 +56,8 @@ def looks_live(value: str) -> bool:
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col: str) -> DataFrame:
-    """One row per row: id, locator, owner, repo, the base counts, ``base`` and ``found``."""
+    """One row per row: id, locator, owner, repo, the base counts, ``base``, ``found`` and, if
+    something is found, ``digest`` of the text."""
     prepare(docs.sparkSession)
     rows = located(docs).select(F.col(id_col).alias("id"), FILE, ROW, F.col(owner_col).cast("string").alias("owner"),
                                 F.col(repo_col).cast("string").alias("repo"), F.col(text_col).alias("text"))
@@ -62,46 +67,54 @@ def scan(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_col:
 
     def run(batches):
         for batch in batches:
-            all_found, base = [], []
+            all_found, base, digests = [], [], []
             for text in texts(batch, "text"):
                 own = candidates(text)
+                digests.append(hashlib.sha256(text.encode()).digest() if own else None)
                 base.append(",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b, *_ in own))
                 all_found.append([{"kind": k, "start": a, "end": b, "value_start": c, "value_end": d,
                                    "hash": hashlib.sha256(v.encode()).hexdigest(), "random": looks_live(v)}
                                   for k, a, b, c, d, v in own])
             counts = [pa.array([sum(x["kind"] == k for x in f) for f in all_found], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), *counts, pa.array(base, pa.string()), pa.array(all_found, pa.list_(one))],
-                names=[*keep, "n_assign", "n_access", "n_hex", "base", "found"])
+                [*(batch.column(c) for c in keep), *counts, pa.array(base, pa.string()), pa.array(all_found, pa.list_(one)),
+                 pa.array(digests, pa.binary())],
+                names=[*keep, "n_assign", "n_access", "n_hex", "base", "found", "digest"])
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, {FILE} string, {ROW} long, owner string, repo string, n_assign long, "
                            "n_access long, n_hex long, base string, found array<struct<kind:int,start:long,end:long,"
-                           "value_start:long,value_end:long,hash:string,random:boolean>>")
+                           "value_start:long,value_end:long,hash:string,random:boolean>>, digest binary")
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """hash -> ``n_repos``, ``n_owners``.  Three counts, each combined in its tasks first: a value
-    that a third of all rows carry is spread by repository, then by owner.  A null owner or
-    repository is one of its own."""
+    """hash -> ``n_repos``, ``n_owners``, ``n_sources``: the repositories after all rows of equal
+    text were given to the first of theirs.  Counts are combined in their tasks first: a value
+    that a third of all rows carry is spread by repository or text, then by owner.  A null owner
+    or repository is one of its own."""
     by_repo = found.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one"))
     by_owner = by_repo.groupBy("hash", "owner").agg(F.sum("one").alias("repos"))
-    return by_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    counts = by_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
+    by_text = found.groupBy("hash", "digest").agg(F.min(F.struct("owner", "repo")).alias("first"))
+    by_first = by_text.groupBy("hash", "first").agg(F.lit(1).alias("one"))
+    return counts.join(by_first.groupBy("hash").agg(F.sum("one").alias("n_sources")), "hash")
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+                repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS,
+                example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """One row per row of ``docs``: id, base counts, ``base`` (base spans, joined), ``spans`` (with
     the live ones), ``verdicts`` (per candidate: kind, start, end, verdict, n_repos, n_owners).
 
-    Verdicts: ``example`` (``example_owners`` owners or more), ``live`` (one owner, looks
+    Verdicts: ``example`` (``example_owners`` owners or more, or ``example_repos`` repositories or
+    more, exact copies of a text counted once), ``live`` (one owner, fewer repositories, looks
     random), else ``unclear``.  Null text counts as empty.
     """
     scanned = materialise(scan(docs, id_col, text_col, owner_col, repo_col), "secrets")
-    each = scanned.where(F.size("found") > 0).select(FILE, ROW, "owner", "repo", F.explode("found").alias("f"))
-    each = each.select(FILE, ROW, "owner", "repo", "f.*")
+    each = scanned.where(F.size("found") > 0).select(FILE, ROW, "owner", "repo", "digest", F.explode("found").alias("f"))
+    each = each.select(FILE, ROW, "owner", "repo", "digest", "f.*")
     stats = materialise(ownership(each), "secret-owners")
-    verdict = (F.when(F.col("n_owners") >= example_owners, "example")
+    verdict = (F.when((F.col("n_owners") >= example_owners) | (F.col("n_sources") >= example_repos), "example")
                .when((F.col("n_owners") == 1) & F.col("random"), "live").otherwise("unclear"))
     judged = each.join(stats, "hash").withColumn("verdict", verdict)
     # a row's own candidates: bounded by its text
@@ -117,6 +130,6 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.get(names, x["kind"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
         x["verdict"].alias("verdict"), x["n_repos"].alias("n_repos"), x["n_owners"].alias("n_owners")))
     by_row = by_row.select(FILE, ROW, spans.alias("spans"), verdicts.alias("verdicts"))
-    return scanned.drop("found", "owner", "repo").join(by_row, [FILE, ROW], "left").select(
+    return scanned.drop("found", "owner", "repo", "digest").join(by_row, [FILE, ROW], "left").select(
         F.col("id").alias(id_col), "n_assign", "n_access", "n_hex", "base",
         F.coalesce("spans", F.lit("")).alias("spans"), "verdicts")

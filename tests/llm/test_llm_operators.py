@@ -18,6 +18,7 @@ from ledgerlake.llm import (
     exact_dedup,
     language_id,
     packing,
+    queries,
     repeats,
     secrets,
     sharding,
@@ -410,6 +411,30 @@ def test_ownership_separates_examples_from_live_keys(spark):
     assert got[201].n_assign == 0 and got[202].n_assign == 1 and "live" not in got[202].spans
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    key = lambda x: hashlib.sha256(x.encode()).hexdigest()[:40]
+    least = secrets.EXAMPLE_REPOS
+    rows = [(i, f"file {i}: token = '{key('spread')}'", "o1") for i in range(least)]
+    rows += [(1000 + i, f"file {i}: token = '{key('few')}'", "o1") for i in range(least - 1)]
+    rows += [(2000 + i, f"secret: {key('copied')}", "o1") for i in range(5 * least)]       # one document, copied
+    rows += [(3000 + i, f"{i} secret: {key('none')}", None) for i in range(least)]
+    got = {r.doc_id: r for r in secrets.secret_scan(spark.createDataFrame(
+        rows, "doc_id long, text string, source string"), repo_col="doc_id").collect()}
+    for first, n, verdict in ((0, least, "example"), (1000, least - 1, "live"), (2000, 5 * least, "live"), (3000, least, "example")):
+        for r in (got[first], got[first + n - 1]):
+            assert {(v.verdict, v.n_repos, v.n_owners) for v in r.verdicts} == {(verdict, n, 1)}
+            assert ("live:" in r.spans) == (verdict == "live")
+
+
+def test_the_secrets_query_returns_repositories_and_owners(spark, tmp_path):
+    key = hashlib.sha256(b"k").hexdigest()[:40]
+    rows = [(i, f"file {i}: token = '{key}'", "o1") for i in range(12)] + [(50, "nothing", "o2")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op10_secrets(spark, str(tmp_path)).collect()}
+    assert (got[3].n_live, got[3].n_example, got[3].n_repos, got[3].n_owners) == (0, 2, "12,12", "1,1")
+    assert (got[50].n_repos, got[50].n_owners, got[50].spans) == ("", "", "")
+
+
 # repeats
 
 def plain_repeats(texts, n=100):
