@@ -33,7 +33,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences."""
-    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), keep_words=False)
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), keep_words=False, added_tokens=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

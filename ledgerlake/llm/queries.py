@@ -34,7 +34,7 @@ def tokenizer(name: str) -> str:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), added_tokens=True)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_files(token_files.write_files(
-        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+        table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), added_tokens=True))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

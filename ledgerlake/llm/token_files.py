@@ -154,11 +154,12 @@ def _open(uri: str, write: bool):
 
 
 def write_files(docs: DataFrame, tokenizer_file: str, folder: str | None = None, id_col: str = "doc_id",
-                text_col: str = "text", end_id: int = 1, block: int = BLOCK) -> DataFrame:
+                text_col: str = "text", end_id: int = 1, block: int = BLOCK, added_tokens: bool = False) -> DataFrame:
     """Write all documents in ascending order of their integer id (null first); the manifest:
     shard, file, docs, ids, bytes, and ``start``, the ids of all shards before.
 
     Null text counts as empty.  Rows with equal ids keep the order of the input's partitions.
+    ``added_tokens``: see ``Encoder``.
     """
     spark = prepare(docs.sparkSession)
     folder = (folder or scratch(spark, "token-files")).rstrip("/")
@@ -174,7 +175,7 @@ def write_files(docs: DataFrame, tokenizer_file: str, folder: str | None = None,
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = Encoder.of(tokenizer_file)
+                encoder = Encoder.of(tokenizer_file, added_tokens=added_tokens)
                 uri = f"{folder}/shard-{task.partitionId():06d}-{task.taskAttemptId()}.ids"
                 writer = Writer(_open(uri, True), width_of(encoder.tokenizer.get_vocab_size()), block)
             ids, counts = encoder.encode(texts(batch, "text"))

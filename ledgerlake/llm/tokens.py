@@ -5,7 +5,8 @@ each by itself.  Most words of a corpus repeat, so the ids of a word are kept
 for the life of the Python worker (up to a bound, then the store starts anew)
 and a text costs one look-up per word.  Texts are cut before white space: no
 word of either pattern goes on from another character into white space, so the
-ids of the cuts, in order, are those of the text.
+ids of the cuts, in order, are those of the text.  A text with an added token
+of the tokenizer's file (such as ``<|endoftext|>``) goes to the library whole.
 """
 
 from __future__ import annotations
@@ -62,14 +63,23 @@ class Encoder:
 
     ``tokenizer_file``: a JSON file of the ``tokenizers`` library.
     ``most_words``: the bound of the store of encoded cuts.
+    ``added_tokens``: the file's added tokens are found in texts, as the library does by itself;
+    without, their strings are ordinary text.
     """
 
-    def __init__(self, tokenizer_file: str, most_words: int = 1_000_000):
+    def __init__(self, tokenizer_file: str, most_words: int = 1_000_000, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True   # their strings are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if added_tokens:
+            # tokens that are sought in the normalised text cannot be ruled out by a scan of the original
+            literals = [] if any(x.normalized for x in added) else [re.escape(x.content) for x in added]
+            self.added = re.compile("|".join(literals)) if literals or added else None
+        else:
+            self.tokenizer.encode_special_tokens = True
+            self.added = None
         self.most_words = most_words
         self.alphabet = byte_alphabet()
         parts = str(self.tokenizer.pre_tokenizer)
@@ -85,14 +95,14 @@ class Encoder:
         self.clear()
 
     @classmethod
-    def of(cls, tokenizer_file: str, keep_words: bool = True) -> "Encoder":
+    def of(cls, tokenizer_file: str, keep_words: bool = True, added_tokens: bool = False) -> "Encoder":
         """The worker's encoder of this file, or one for a single task."""
         if not keep_words:
-            return cls(tokenizer_file, most_words=200_000)
-        key = ("encoder", tokenizer_file)
+            return cls(tokenizer_file, 200_000, added_tokens)
+        key = ("encoder", tokenizer_file, added_tokens)
         state = worker_state()
         if key not in state:
-            state[key] = cls(tokenizer_file)
+            state[key] = cls(tokenizer_file, added_tokens=added_tokens)
         return state[key]
 
     def clear(self) -> None:
@@ -148,6 +158,12 @@ class Encoder:
     def _encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.numbers) > self.most_words:
             self.clear()
+        whole = [i for i, text in enumerate(texts) if self.added.search(text)] if self.added else []
+        own_ids = [np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32) for i in whole]
+        if whole:
+            texts = list(texts)
+            for i in whole:
+                texts[i] = ""
         gc.disable()          # the store holds millions of strings and no cycles
         try:
             cuts: list[str] = []
@@ -168,4 +184,8 @@ class Encoder:
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(begin - (ends - lengths), lengths) + np.arange(total)]
         upto = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-        return ids, np.diff(upto)
+        counts = np.diff(upto)
+        if whole:
+            counts[whole] = [len(x) for x in own_ids]
+            ids = np.insert(ids, np.repeat(upto[whole], counts[whole]), np.concatenate(own_ids))
+        return ids, counts

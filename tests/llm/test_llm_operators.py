@@ -382,6 +382,43 @@ def test_token_files(docs, texts, monkeypatch):
     assert got == want
 
 
+def with_added_tokens(texts):
+    r = random.Random(8)
+    tokens = ["<|endoftext|>", "<|startoftext|>", "<|endoftext|", "<|ENDOFTEXT|>"]
+    out = list(texts) + ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|startoftext|>y", " <|endoftext|>\n\n Caf\u0065\u0301 漢"]
+    for t in texts[:40]:
+        words = (t or "").split(" ")
+        for token in r.sample(tokens, 2):
+            words.insert(r.randrange(len(words) + 1), token)
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("path", [BYTES, PLAIN], ids=["bytes", "plain"])
+def test_ids_are_those_of_the_library_with_default_settings(texts, path, monkeypatch):
+    from ledgerlake.llm import tokens
+    every = [t or "" for t in with_added_tokens(texts)]
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 5_000)
+    library = Tokenizer.from_file(path)
+    want = [library.encode(t, add_special_tokens=False).ids for t in every]
+    ids, counts = tokens.Encoder(path, added_tokens=True).encode(every)
+    assert counts.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_the_queries_find_added_tokens(spark, tmp_path):
+    texts = ["plain words", "a <|endoftext|> b", "<|startoftext|>x", None, "then plain"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    ids = lambda path: [np.array([*Tokenizer.from_file(path).encode(
+        t or "", add_special_tokens=False).ids, 1], "<u4") for t in texts]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in queries.op1_packing(spark, str(tmp_path)).collect()}
+    assert got == {i: (len(x), zlib.crc32(x)) for i, x in enumerate(ids(BYTES))}
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op9_token_files(spark, str(tmp_path)).collect()}
+    want = ids(PLAIN)
+    assert got == {i: (sum(map(len, want[:i])), len(x), zlib.crc32(x)) for i, x in enumerate(want)}
+
+
 # secrets
 
 def test_secrets(spark, docs, texts):
