@@ -16,7 +16,11 @@ it.
    every right half is streamed over an index of its left half.  All halves of
    one size share an index; each pair of halves has symbols of its own.
 3. Minimizers with very many different segments (``most_segments``) are compared
-   window by window instead, by digests that are combined in each task first.
+   window by window instead, by digests that are combined in each task first.  They
+   are known before step 1 from a count of the different segments whose digest is one
+   of ``share``; theirs are dealt by minimizer and digest, so equal ones still meet and
+   no task gathers all of a minimizer.  The count only chooses the way: the result is
+   the same by either.
 
 Positions are bytes of UTF-8.  Null text is empty.  Documents are ordered by id,
 null first; rows with equal ids by text, then by their place in the input.
@@ -41,6 +45,8 @@ BUFFER = 400_000           # segments a task holds before it sends them
 BUCKET_BYTES = 4 << 20     # of input per bucket of segments
 INDEX_SEGMENTS = 8_000     # per index, about
 MOST_BUCKETS = 100_000
+HOT_BITS = 1 << 20         # of the map of hot minimizers; one taken for hot by mistake only costs time
+COUNTED = 64               # different segments of a hot minimizer that are counted, about
 # Odd multipliers with well-spread bits.
 MIX = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)))
 
@@ -147,15 +153,43 @@ def _found(doc, a, b, bucket=-1, data=None) -> pa.RecordBatch:
         names=["bucket", "data", "doc", "a", "b"])
 
 
-def _cut(docs: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
-    """Segments by bucket, packed, the earliest of each task; and spans (a, b) already known to repeat."""
+def _hot(docs: DataFrame, n: int, k: int, most_segments: int) -> np.ndarray:
+    """A map of ``HOT_BITS``: where the minimizers with over ``most_segments`` different segments
+    are (with fewer, down to half of that, when not all are counted)."""
+    share = max(1, most_segments // COUNTED)
+    over = most_segments if share == 1 else most_segments // 2
+
+    def run(batches):
+        for batch in batches:
+            gram, digest, *_ = segments([x or b"" for x in batch.column("text").to_pylist()], n, k)
+            some = digest % np.uint64(share) == 0
+            yield pa.RecordBatch.from_arrays([pa.array(x[some].view(np.int64)) for x in (gram, digest)],
+                                             names=["gram", "digest"])
+
+    pairs = docs.select("text").mapInArrow(run, "gram long, digest long").groupBy("gram", "digest").agg(F.lit(1).alias("one"))
+    hot = pairs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * share > over)
+    places = hot.select(F.col("gram").bitwiseAND(F.lit(HOT_BITS - 1)).alias("place")).distinct()
+    out = np.zeros(HOT_BITS, bool)
+    out[places.toArrow().column("place").to_numpy()] = True
+    return np.packbits(out)
+
+
+def _is_hot(gram: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    place = (gram & np.uint64(HOT_BITS - 1)).astype(np.int64)
+    return (hot[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _cut(docs: DataFrame, buckets: int, n: int, k: int, hot) -> DataFrame:
+    """Segments by bucket, packed, the earliest of each task; and spans (a, b) already known to repeat.
+    ``hot``: the map of hot minimizers, broadcast."""
     def run(batches):
         held: list[tuple] = []
 
         def flush():
             (gram, digest, doc, start, count), first = _earliest(*(np.concatenate(x) for x in zip(*held, strict=True)))
             held.clear()
-            bucket = (gram % np.uint64(buckets)).astype(np.int64)
+            dealt = np.where(_is_hot(gram, hot.value), gram ^ (digest * MIX[0]), gram)
+            bucket = (dealt % np.uint64(buckets)).astype(np.int64)
             own = np.flatnonzero(first)
             own = own[np.lexsort((start[own], doc[own], bucket[own]))]
             cuts = np.flatnonzero(np.r_[True, np.diff(bucket[own]) != 0]) if len(own) else np.zeros(0, np.int64)
@@ -181,9 +215,9 @@ def _cut(docs: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, FOUND)
 
 
-def _settle(cut: DataFrame, n: int) -> DataFrame:
+def _settle(cut: DataFrame, n: int, hot, most_segments: int) -> DataFrame:
     """Per bucket: spans that repeat (``kind`` 0) and segments of minimizers with several
-    different ones (``kind``: how many; ``gram``: the minimizer)."""
+    different ones (``kind``: how many, of hot ones over ``most_segments``; ``gram``: the minimizer)."""
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         known = pdf[pdf["data"].isna()]
         packed = [_unpack(x) for x in pdf["data"].dropna()]
@@ -195,7 +229,7 @@ def _settle(cut: DataFrame, n: int) -> DataFrame:
             out.append(pd.DataFrame({"kind": 0, "gram": 0, "doc": d, "a": a, "b": b}))
             gram, doc, start, end = (x[first] for x in (gram, doc, start, end))
             many = np.unique(gram, return_inverse=True, return_counts=True)
-            size = many[2][many[1]]
+            size = np.where(_is_hot(gram, hot.value), most_segments + 1, many[2][many[1]])
             some = size > 1
             out.append(pd.DataFrame({"kind": size[some], "gram": gram[some].view(np.int64), "doc": doc[some],
                                      "a": start[some], "b": end[some]}))
@@ -356,7 +390,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     rows = keyed.select("doc", "text")
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                   min(MOST_BUCKETS, -(-plan_bytes(docs) // BUCKET_BYTES)))
-    settled = materialise(_settle(_cut(rows, buckets, n, k), n), "repeat-segments")
+    hot = spark.sparkContext.broadcast(_hot(rows, n, k, most_segments))
+    settled = materialise(_settle(_cut(rows, buckets, n, k, hot), n, hot, most_segments), "repeat-segments")
     spans = settled.where("kind = 0").select("doc", "a", "b")
     open_ = settled.where("kind > 1")
     counts = open_.agg(F.count(F.lit(1)), F.max("kind")).first()

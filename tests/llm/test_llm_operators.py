@@ -512,6 +512,30 @@ def test_repeats_of_rows_with_equal_and_null_ids(spark):
     assert got == [("1", 0), ("1", 100), ("2", 0), ("None", 200)]      # the null id comes first
 
 
+@pytest.mark.parametrize("most_segments", [64, 256])
+def test_no_task_gathers_a_hot_minimizer(spark, monkeypatch, most_segments):
+    r = random.Random(5)
+    own = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = own(260)
+    texts = [own(60) + passage + own(60) for _ in range(400)]
+    texts += texts[:30]
+    seen, settle = [], repeats._settle
+    monkeypatch.setattr(repeats, "BUFFER", 200)       # several sendings
+    monkeypatch.setattr(repeats, "_settle", lambda cut, *a: seen.append(cut) or settle(cut, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x.doc_id: ([tuple(s) for s in x.removed], bytes(x.kept))
+           for x in repeats.repeats(docs, most_segments=most_segments).collect()}
+    assert got == plain_repeats(texts)
+    met = defaultdict(set)
+    for x in seen[0].where("data is not null").collect():
+        gram, digest, *_ = repeats._unpack(x.data)
+        for g, d in zip(gram.tolist(), digest.tolist(), strict=True):
+            met[x.bucket, g].add(d)
+    assert sum(len({d for (_, g), own in met.items() if g == hot for d in own}) > 300
+               for hot in {g for _, g in met}) >= 2             # either rim has a hot minimizer
+    assert max(map(len, met.values())) <= 120                    # of 400; 8 buckets
+
+
 def symbols(strings):
     return np.frombuffer("".join(strings).encode(), np.uint8).astype(np.int64), np.array([len(x) for x in strings])
 
