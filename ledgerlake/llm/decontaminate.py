@@ -6,9 +6,11 @@ Normalising works on UTF-8 bytes and keeps their number, then joins the words
 by single blanks; the start of every word before and after is kept, so hits
 come back as words, and as byte offsets of the original text.
 
-The windows are sent to all executors only while they fit ``most_bytes``.
-A larger benchmark is dealt into that many parts, each with an automaton of its
-own, one after another.
+The windows are made in Spark tasks and sent to all executors only while they fit
+``most_bytes``.  A larger benchmark is dealt by window into parts of about that
+size.  Each part is a job of its own, whose hits are written before the next one
+starts, so a task holds the automaton of one part; then the hits of a row are
+joined.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import LOWER, UPPER, arrow_map, prepare
+from ledgerlake.llm.common import FILE, LOWER, ROW, UPPER, arrow_map, located, materialise, prepare
 
 # word bytes: digits, a-z and all of a non-ASCII character; other bytes become a blank
 TABLE = bytes(ord(LOWER[UPPER.index(chr(b))]) if chr(b) in UPPER
@@ -41,6 +43,17 @@ def windows(text: str | None, n: int = N) -> list[bytes]:
     return list(dict.fromkeys(b" ".join(words[i:i + n]) for i in range(max(1, len(words) - n + 1)))) if words else []
 
 
+def joined_ranges(spans) -> list[tuple[int, int]]:
+    """Ranges (first, end), in order, joined where they meet or overlap."""
+    merged: list[tuple[int, int]] = []
+    for start, end in spans:
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 class Scanner:
     """The automaton of some patterns: ``patterns`` maps a window to its numbers of items."""
 
@@ -67,12 +80,7 @@ class Scanner:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # of each word in ``joined``
         spans = sorted({(int(np.searchsorted(ends, start)), int(np.searchsorted(ends, end)) + 1)
                         for start, end in {(s, e - 1) for s, e, _ in found}})
-        merged: list[tuple[int, int]] = []
-        for start, end in spans:
-            if merged and start <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
-            else:
-                merged.append((start, end))
+        merged = joined_ranges(spans)
         return len(words), merged, {i for _, _, items in found for i in items}
 
 
@@ -84,49 +92,80 @@ def byte_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]
     return [(int(starts[a]), int(ends[b - 1])) for a, b in ranges]
 
 
-def _patterns(benchmark: DataFrame, id_col: str, text_col: str, n: int, most_bytes: int):
-    """Parts of the benchmark's windows, each of ``most_bytes`` or less (or one item): lists of
-    (item number, window), and the items' names.  One pass over the table sizes the parts."""
-    size = F.octet_length(F.coalesce(F.col(text_col), F.lit("")))
-    total = benchmark.agg(F.sum(size * n)).first()[0] or 0
-    parts = max(1, -(-int(total) // most_bytes))
-    own = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).withColumn(
-        "part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)))
-    for part in range(parts):
-        items: dict[str, int] = {}
-        found: dict[bytes, list[int]] = {}
-        for row in own.where(F.col("part") == part).toLocalIterator():
-            number = items.setdefault(row["item"] or "", len(items))
-            for w in windows(row["text"], n):
-                if number not in found.setdefault(w, []):
-                    found[w].append(number)
-        yield found, list(items)
-
-
-def _scan_part(docs: DataFrame, found: dict, names: list[str], text_col: str, into: str, first: bool) -> DataFrame:
-    """``docs`` with a column ``into`` of (words, hit ranges, item names), added to what it holds."""
-    packed = docs.sparkSession.sparkContext.broadcast((found, names))
-    schema = f"words long, ranges array<struct<a:long,b:long>>, items array<string>"
-    kind = pa.struct([("words", pa.int64()), ("ranges", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
-                      ("items", pa.list_(pa.string()))])
+def _windows(benchmark: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """(window, item): each window of each item once, made in Spark tasks."""
+    def run(batches):
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own = windows(text, n)
+                if own:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own, pa.binary()), pa.array([item or ""] * len(own), pa.string())], names=["window", "item"])
+
+    rows = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    return materialise(rows.mapInArrow(run, "window binary, item string").distinct(), "benchmark-windows")
+
+
+def _scanner(part: pa.Table) -> tuple[Scanner, list[str]]:
+    """The automaton of a part's windows, and the names of its items."""
+    items: dict[str, int] = {}
+    found: dict[bytes, list[int]] = {}
+    for window, item in zip(part.column("window").to_pylist(), part.column("item").to_pylist(), strict=True):
+        found.setdefault(window, []).append(items.setdefault(item, len(items)))
+    return Scanner(found), list(items)
+
 
+RANGES = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+SCAN = pa.struct([("words", pa.int64()), ("ranges", RANGES), ("items", pa.list_(pa.string()))])
+SCAN_DDL = "struct<words:long,ranges:array<struct<a:long,b:long>>,items:array<string>>"
+
+
+def _fields(fields) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+
+
+def _scan_once(docs: DataFrame, part, text_col: str, into: str) -> DataFrame:
+    """``docs`` with ``into`` of (words, hit ranges, item names) by one automaton."""
     def run(batches):
-        patterns, item_names = packed.value
-        scanner = Scanner(patterns)
+        scanner, names = _scanner(part.value)
         for batch in batches:
-            before = [None] * batch.num_rows if first else batch.column(into).to_pylist()
             out = []
-            for text, old in zip(batch.column(text_col).to_pylist(), before, strict=True):
+            for text in batch.column(text_col).to_pylist():
                 n, ranges, items = scanner.scan(text)
-                out.append({"words": n, "ranges": (old["ranges"] if old else []) + [{"a": a, "b": b} for a, b in ranges],
-                            "items": (old["items"] if old else []) + [item_names[i] for i in items]})
-            rest = [c for c in batch.schema.names if c != into]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, kind)], names=[*rest, into])
+                out.append({"words": n, "ranges": [{"a": a, "b": b} for a, b in ranges], "items": [names[i] for i in items]})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, SCAN)], names=[*batch.schema.names, into])
+
+    return docs.mapInArrow(run, f"{_fields(docs.schema.fields)}{into} {SCAN_DDL}")
+
+
+def _scan_parts(docs: DataFrame, parts: list[DataFrame], text_col: str, into: str) -> DataFrame:
+    """The same, part after part: a job for each, over locators and texts, that writes the rows with hits."""
+    sent = docs.sparkSession.sparkContext.broadcast
+    had = docs.columns
+    docs = located(docs)
+    texts = docs.select(FILE, ROW, F.col(f"`{text_col}`").alias("text"))
+    hits = None
+    for part in parts:
+        packed = sent(part.toArrow())
+        found = _scan_once(texts, packed, "text", "found").where(F.size("found.items") > 0)
+        written = materialise(found.select(FILE, ROW, "found.ranges", "found.items"), "benchmark-hits")
+        packed.destroy()
+        hits = written if hits is None else hits.unionAll(written)
+    # a row's own hits, from each part at most once
+    per_row = hits.groupBy(FILE, ROW).agg(F.flatten(F.collect_list("ranges")).alias("_ranges"),
+                                          F.flatten(F.collect_list("items")).alias("_items"))
+    joined = docs.join(per_row, [FILE, ROW], "left").select(*[f"`{c}`" for c in had], "_ranges", "_items")
 
-    rest = [f for f in docs.schema.fields if f.name != into]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    return docs.select(*[f"`{f.name}`" for f in rest], *([] if first else [into])).mapInArrow(
-        run, f"{fields}, {into} struct<{schema.replace(' long', ':long').replace(' array', ':array')}>")
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, ranges, items in zip(*(batch.column(c).to_pylist() for c in (text_col, "_ranges", "_items")), strict=True):
+                spans = joined_ranges(sorted((x["a"], x["b"]) for x in ranges or []))
+                out.append({"words": len(normalised(text).split()), "ranges": [{"a": a, "b": b} for a, b in spans],
+                            "items": list(dict.fromkeys(items or []))})
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in had), pa.array(out, SCAN)], names=[*had, into])
+
+    return joined.mapInArrow(run, f"{_fields(joined.schema.fields[:len(had)])}{into} {SCAN_DDL}")
 
 
 def scan_docs(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -136,12 +175,16 @@ def scan_docs(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
 
     Null has no words.  An item named twice counts once; a null item id is the empty name.
     """
-    prepare(docs.sparkSession)
-    first = True
-    for found, names in _patterns(benchmark, item_id, item_text, n, most_bytes):
-        docs = _scan_part(docs, found, names, text_col, into, first)
-        first = False
-    return docs
+    spark = prepare(docs.sparkSession)
+    docs = docs.drop(into)
+    rows = _windows(benchmark, item_id, item_text, n)
+    total = rows.agg(F.sum(F.octet_length("window") + F.octet_length("item"))).first()[0] or 0
+    parts = max(1, -(-int(total) // most_bytes))
+    if parts == 1:
+        return _scan_once(docs, spark.sparkContext.broadcast(rows.toArrow()), text_col, into)
+    dealt = materialise(rows.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(parts)).cast("int")),
+                        "benchmark-parts", ["part"])
+    return _scan_parts(docs, [dealt.where(F.col("part") == i).drop("part") for i in range(parts)], text_col, into)
 
 
 def n_hit(scan: str = "_scan"):

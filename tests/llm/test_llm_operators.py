@@ -222,6 +222,17 @@ def test_decontamination(spark, docs, texts, most_bytes):
     assert kept.columns == docs.columns
 
 
+def test_parts_of_a_benchmark_are_scanned_one_after_another(docs, texts, spark):
+    items = [(str(i), t) for i, t in enumerate(texts[:40])] + [(None, texts[61]), ("again", texts[61])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    small = decontaminate.scan_docs(docs, bench, most_bytes=30_000)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1, plan      # the parts are jobs of their own
+    rows = lambda df: {r.doc_id: (r._scan.words, r._scan.ranges, sorted(r._scan["items"])) for r in df.collect()}
+    assert rows(small) == rows(decontaminate.scan_docs(docs, bench))
+    assert small.columns == [*docs.columns, "_scan"]
+
+
 def test_hits_map_to_the_original_text():
     text = "«Ünder», the OLD--bridge; runs.  Water! x"
     scanner = decontaminate.Scanner({w: [0] for w in decontaminate.windows("the old bridge runs water")})
