@@ -15,6 +15,8 @@ from ledgerlake.session import shared_dir
 
 FILE, ROW = "_loc_file", "_loc_row"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Logical plans that give at most one row for each row they read.
+ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "View", "ResolvedHint"}
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -55,21 +57,36 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def bare_scan(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is a row of one table, the same whenever it is read: a scan with
+    projections and filters only.  No job."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while (name := plan.getClass().getSimpleName()) in ROW_BY_ROW:
+        plan = plan.children().apply(0)
+    return name == "LogicalRelation"
+
+
 def located(docs: DataFrame) -> DataFrame:
     """``docs`` with the locator of each row: its file and its row there.
 
     The pair is unique and does not change when a task runs again, so it tells
-    repeated rows apart.  Rows that are not read from Parquet files are written
-    to the shared folder first.  Rows that have locators keep them.
+    repeated rows apart.  Rows that are not read from Parquet files, and rows of
+    any plan that is more than a scan with projections and filters (``explode``
+    gives many rows for one, a union may read a file twice), are written to the
+    shared folder first.  Rows that have locators keep them.
     """
     if FILE in docs.columns:
         return docs
     where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)]
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    try:
-        return docs.select(*columns, *where)
-    except AnalysisException:
-        return materialise(docs, "located").select(*columns, *where)
+    if bare_scan(docs):
+        try:
+            return docs.select(*columns, *where)
+        except AnalysisException:
+            pass
+    return materialise(docs, "located").select(*columns, *where)
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -87,6 +87,31 @@ def ids_of(path, text):
     return np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
 
 
+# locators
+
+def test_rows_exploded_from_one_row_have_locators_of_their_own(spark, tmp_path):
+    from ledgerlake.llm.common import FILE, ROW, located
+    r = random.Random(9)
+    words = ["".join(r.choice("aeioustrnl") for _ in range(5)) for _ in range(200)]
+    shared = prose(r, 40, words)
+    paragraphs = [[prose(r, 40, words), shared, f"token = '{hashlib.sha256(bytes([i])).hexdigest()[:40]}'"] for i in range(6)]
+    spark.createDataFrame([(i, "\n\n".join(p), f"s{i}") for i, p in enumerate(paragraphs)],
+                          "doc long, body string, source string").write.parquet(f"{tmp_path}/docs.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/docs.parquet")
+    exploded = docs.select("doc", "source", F.posexplode(F.split("body", "\n\n")).alias("at", "text")).select(
+        (F.col("doc") * 10 + F.col("at")).alias("doc_id"), "text", "source")
+    for rows in (exploded, docs.unionAll(docs)):
+        assert located(rows).select(FILE, ROW).distinct().count() == rows.count()
+    plain = located(docs.where("doc > 2").select("doc", F.upper("body").alias("text")))
+    assert plain.inputFiles() == docs.inputFiles()                # nothing is written for a bare scan
+    own = {i * 10 + k for i in range(6) for k in (0, 2)}
+    assert {x.doc_id for x in exact_dedup.drop_copies(exploded).collect()} == own | {51}
+    assert {x.doc_id for x in simhash.drop_near_copies(exploded.where("doc_id % 10 < 2"), words=3, radius=2).collect()} \
+        == {i * 10 for i in range(6)} | {1}
+    spans = {x.doc_id: (x.base, x.spans) for x in secrets.secret_scan(exploded).collect()}
+    assert all(("live:" in spans[i][1]) == (i % 10 == 2) for i in spans) and len(spans) == 18
+
+
 # exact dedup
 
 def groups(texts):
