@@ -139,6 +139,14 @@ def texts(batch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, or that name with a number, such that no column has it (in any case of letters)."""
+    taken, own, i = {c.lower() for c in columns}, name, 1
+    while own.lower() in taken:
+        own, i = f"{name}{i}", i + 1
+    return own
+
+
 def arrow_map(df: DataFrame, each, schema: str) -> DataFrame:
     """``mapInArrow`` of a function from one batch to any number of batches."""
     def run(batches: Iterator) -> Iterator:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    bpe,
     decontaminate,
     exact_dedup,
     language_id,
@@ -124,7 +125,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         each("n_repos").alias("n_repos"), each("n_owners").alias("n_owners"))   # of each candidate, in base order
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep=["doc_id"], decoded=True)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_packing, op2_exact_dedup, op3_decontamination, op4_repeats, op5_simhash,
-           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets)
+           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets, op13_bpe)
     return {f.__name__: f for f in own}
