@@ -34,37 +34,50 @@ def test_ids_and_text_are_those_of_the_library(path):
         ids = library.encode(text or "", add_special_tokens=False).ids
         assert model.encode(text or "").tolist() == ids, text
         assert model.decode(np.array(ids, np.uint32)) == library.decode(ids, skip_special_tokens=False)
+    own = [x or "" for x in samples(1500)]
+    many = bpe.ForcedBoundaries(path).encode_all(own)
+    assert [x.tolist() for x in many] == [library.encode(x, add_special_tokens=False).ids for x in own]
 
 
 def test_no_token_holds_a_cut():
-    """The cuts are certain: whatever stands around, no token of the vocabulary spans one."""
+    """The cuts are certain: no token of the vocabulary spans one."""
     model = bpe.ForcedBoundaries(WORDS)
-    back = {chr(c): b for b, c in bpe.byte_alphabet().items()}
-    for token in Tokenizer.from_file(WORDS).get_vocab():
-        if token in model.added:
-            continue
-        ends, own = token.endswith("</w>"), bytes(back[c] for c in token.removesuffix("</w>"))
-        if ends:
-            assert model.cuts(own) == [own]
-        else:       # within a longer word no byte of it is the last one
-            assert not any(len(f) < len(own) and own.startswith(f) for f in model.cuts(own + b"!")[:1])
-    assert len(model.cuts("xqzjvkq".encode())) > 1
-
-
-def test_merges_by_a_heap_are_merges_one_by_one():
+    tokens = [t for t in Tokenizer.from_file(WORDS).get_vocab() if t not in model.added]
+    inner = [bytes(model.byte_of[ord(c)] for c in t.removesuffix("</w>")) for t in tokens]
+    whole = [x for t, x in zip(tokens, inner, strict=True) if t.endswith("</w>")]
+    assert set(model.cuts(whole)[2].tolist()) == {1}
+    # inside a word: the token is not cut, whatever follows
+    begun = [x for t, x in zip(tokens, inner, strict=True) if not t.endswith("</w>")]
+    symbols, starts, counts = model.cuts([x + b"!" for x in begun])
+    assert set(counts.tolist()) <= {1, 2} and (np.add.reduceat(np.diff(np.r_[starts, len(symbols)]), np.cumsum(counts) - counts)
+                                               == [len(x) + 1 for x in begun]).all()
+    assert model.cuts([b"xqzjvkq", b"the"])[2][0] > 1
+
+
+def one_by_one(model, ids):
+    """Merged a pair at a time: the least rank, of equal ones the leftmost."""
+    ids = list(ids)
+    while found := [(model.merge[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in model.merge]:
+        _, i = min(found)
+        ids[i:i + 2] = [model.merge[ids[i], ids[i + 1]][1]]
+    return ids
+
+
+def test_fragments_are_merged_as_one_by_one():
     model = bpe.ForcedBoundaries(WORDS)
     r = random.Random(2)
-    for _ in range(300):
-        own = bytes(r.choice(b"thenigaros") for _ in range(r.randint(1, 30)))
-        ids = [int(model.unit[b]) for b in own[:-1]] + [int(model.unit[256 + own[-1]])]
-        while found := [(model.merge[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in model.merge]:
-            _, i = min(found)
-            ids[i:i + 2] = [model.merge[ids[i], ids[i + 1]][1]]
-        assert model.merged(own, True) == ids
+    own = [bytes(r.choice(b"thenigaros") for _ in range(r.randint(1, 50))) for _ in range(400)] + [b"a", b"aaaa", b"a" * 32, b"a" * 33]
+    symbols, starts, counts = model.cuts(own)
+    ids, per_fragment = model.fragment_ids(symbols, starts)
+    ends = np.cumsum(per_fragment)
+    for start, end, a, b in zip(starts, [*starts[1:], len(symbols)], ends - per_fragment, ends, strict=True):
+        plain = one_by_one(model, model.unit[symbols[start:end]].tolist())
+        assert ids[a:b].tolist() == plain == model.merged(model.unit[symbols[start:end]].tolist())
 
 
 def test_stores_start_anew(monkeypatch):
     monkeypatch.setattr(bpe, "MOST_WORDS", 7)
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 50)
     test_ids_and_text_are_those_of_the_library(WORDS)
 
 
