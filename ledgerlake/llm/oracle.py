@@ -111,5 +111,68 @@ FROM numbered JOIN walk USING (row_number) WHERE w > 0 AND p < walk.n
 """
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a text, half a byte at a time."""
+    return f"""(SELECT xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(range(len(x)), lambda i: CAST('0x' || substr(x, i + 2 - 2 * (i % 2), 1) AS BIGINT))),
+      lambda s, d: xor(s >> 4, CAST('0x' || substr('{_nibbles()}', (xor(s, d) & 15) * 8 + 1, 8) AS BIGINT))))
+      FROM (SELECT lower(hex(encode({text}))) AS x))"""
+
+
+def _value(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+
+
+_OTHERS = " || ".join(map(_value, ("doc_id", "source", "lang", "n_chars")))
+OP11 = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, sha256({_OTHERS} || {_value('text')}) AS leaf,
+         CASE WHEN {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} % 5 = 0
+              THEN sha256({_OTHERS} || {_value(f"translate(text, '{UPPER}', '{LOWER}')")}) END AS changed
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree
+  FROM hashed
+), nodes(tree, level, place, n, digest) AS (
+  SELECT tree, 0, place, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, place // 16, n
+), tops(level, place, n, digest) AS (
+  SELECT 0, tree, (SELECT count(DISTINCT tree) FROM leaves), digest FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+  FROM tops WHERE n > 1 GROUP BY level, place // 16, n
+), runs AS (
+  SELECT tree, level, place // 16 AS run, list(digest ORDER BY place) AS ds FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT -1, level, place // 16, list(digest ORDER BY place) FROM tops WHERE n > 1 GROUP BY ALL
+), low(tree, place, level, spot, folded, proof) AS (
+  SELECT tree, place, 0, place, coalesce(changed, leaf), '' FROM leaves
+  UNION ALL
+  SELECT low.tree, low.place, low.level + 1, spot // 16,
+         sha256(array_to_string(ds[:spot % 16], '') || folded || array_to_string(ds[spot % 16 + 2:], '')),
+         proof || array_to_string(ds[:spot % 16], '') || array_to_string(ds[spot % 16 + 2:], '')
+  FROM low JOIN runs ON runs.tree = low.tree AND runs.level = low.level AND runs.run = spot // 16
+), high(tree, place, level, spot, folded, proof) AS (
+  SELECT tree, place, 0, tree, folded, proof
+  FROM (SELECT *, row_number() OVER (PARTITION BY tree, place ORDER BY level DESC) AS r FROM low) WHERE r = 1
+  UNION ALL
+  SELECT high.tree, high.place, high.level + 1, spot // 16,
+         sha256(array_to_string(ds[:spot % 16], '') || folded || array_to_string(ds[spot % 16 + 2:], '')),
+         proof || array_to_string(ds[:spot % 16], '') || array_to_string(ds[spot % 16 + 2:], '')
+  FROM high JOIN runs ON runs.tree = -1 AND runs.level = high.level AND runs.run = spot // 16
+), folds AS (
+  SELECT tree, place, folded, proof
+  FROM (SELECT *, row_number() OVER (PARTITION BY tree, place ORDER BY level DESC) AS r FROM high) WHERE r = 1
+)
+SELECT doc_id, leaf, nodes.digest AS subroot, tops.digest AS root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = tops.digest AS verified
+FROM leaves JOIN folds USING (tree, place) JOIN nodes ON nodes.tree = leaves.tree AND nodes.n = 1 JOIN tops ON tops.n = 1
+"""
+
+
 def queries() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op3_decontamination": OP3, "op6_url_lists": OP6, "op8_sharding": OP8}
+    return {"op2_exact_dedup": OP2, "op3_decontamination": OP3, "op6_url_lists": OP6, "op8_sharding": OP8,
+            "op11_merkle": OP11}

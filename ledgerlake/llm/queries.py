@@ -12,6 +12,7 @@ from ledgerlake.llm import (
     decontaminate,
     exact_dedup,
     language_id,
+    merkle,
     packing,
     repeats,
     secrets,
@@ -20,7 +21,7 @@ from ledgerlake.llm import (
     token_files,
     url_lists,
 )
-from ledgerlake.llm.common import prepare
+from ledgerlake.llm.common import ascii_lower, prepare
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,6 +126,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         each("n_repos").alias("n_repos"), each("n_owners").alias("n_owners"))   # of each candidate, in base order
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    rows = docs.select("doc_id", "source", merkle.leaf_of([*columns, F.col("text")]).alias("leaf"),
+                       F.when(tampered, merkle.leaf_of([*columns, ascii_lower(F.col("text"))])).alias("changed"))
+    found = merkle.versions(merkle.build(rows, "doc_id", "source", keep=("changed",)), "changed")
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep=["doc_id"], decoded=True)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -133,5 +145,5 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_packing, op2_exact_dedup, op3_decontamination, op4_repeats, op5_simhash,
-           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets, op13_bpe)
+           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets, op11_merkle, op13_bpe)
     return {f.__name__: f for f in own}
