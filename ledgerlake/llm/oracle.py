@@ -173,6 +173,42 @@ FROM leaves JOIN folds USING (tree, place) JOIN nodes ON nodes.tree = leaves.tre
 """
 
 
+OP12 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id AS c, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(bytes ORDER BY turn NULLS FIRST, k) AS bs,
+         {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT own.c, list_concat(coalesce(base.ks, [])[:own.h], own.ks[own.h + 1:]) AS ks,
+         list_concat(coalesce(base.bs, [])[:own.h], own.bs[own.h + 1:]) AS bs
+  FROM own LEFT JOIN own AS base ON base.c = own.c - own.c % 5
+), steps AS (
+  SELECT c, d, sha256(array_to_string(ks[:d], '')) AS p, sha256(array_to_string(ks[:d - 1], '')) AS up,
+         coalesce(bs[d], 0) AS bytes, d = len(ks) AS ended
+  FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT p, d, any_value(up) AS up, min(c) AS c, count(*) AS n, any_value(bytes) AS bytes,
+         string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ended) AS ends
+  FROM steps GROUP BY p, d
+), counted AS (
+  SELECT nodes.*, coalesce(kids, 0) AS kids
+  FROM nodes LEFT JOIN (SELECT up AS p, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY up) USING (p)
+), below AS (
+  SELECT DISTINCT a.p AS top, b.p AS p FROM steps AS a JOIN steps AS b ON a.c = b.c AND b.d >= a.d
+), sums AS (
+  SELECT top AS p, count(*) FILTER (kids = 0) AS leaves, sum((n - 1) * bytes) AS saved
+  FROM below JOIN counted USING (p) GROUP BY top
+)
+SELECT t.c AS conv_id, CAST(t.d AS BIGINT) AS depth, parent.c AS parent_conv_id, t.n AS n_convs, t.kids AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(t.ends, '')) AS ends_sha256
+FROM counted AS t JOIN sums USING (p) LEFT JOIN nodes AS parent ON t.d > 0 AND parent.p = t.up
+"""
+
+
 def queries() -> dict[str, str]:
     return {"op2_exact_dedup": OP2, "op3_decontamination": OP3, "op6_url_lists": OP6, "op8_sharding": OP8,
-            "op11_merkle": OP11}
+            "op11_merkle": OP11, "op12_prefix_trie": OP12}

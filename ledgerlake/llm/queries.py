@@ -14,6 +14,7 @@ from ledgerlake.llm import (
     language_id,
     merkle,
     packing,
+    prefix_trie,
     repeats,
     secrets,
     sharding,
@@ -21,7 +22,7 @@ from ledgerlake.llm import (
     token_files,
     url_lists,
 )
-from ledgerlake.llm.common import ascii_lower, prepare
+from ledgerlake.llm.common import ascii_lower, materialise, prepare
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -137,6 +138,23 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def rebuilt(seqs: DataFrame) -> DataFrame:
+    """Each conversation c with its first h turns replaced by those of conversation c - c % 5, for h from
+    the crc32 of c; of a conversation that is not there, none."""
+    width = prefix_trie.WIDTH
+    h = (F.crc32(F.col("c.conv_id").cast("string").cast("binary")) % 9).cast("int")
+    first = seqs.where("conv_id % 5 = 0").select(F.col("conv_id").alias("b"), F.substring("seq", 1, 8 * width).alias("first"))
+    joined = seqs.alias("c").join(first, F.expr("c.conv_id - c.conv_id % 5") == F.col("b"), "left")
+    none = F.lit("").cast("binary")
+    return joined.select(F.col("c.conv_id").alias("conv_id"), F.concat(
+        F.coalesce(F.col("first").substr(F.lit(1), h * width), none), F.col("c.seq").substr(h * width + 1, F.length("c.seq"))).alias("seq"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seqs = materialise(prefix_trie.sequences(table(spark, sf_dir, "conversations")), "trie-conversations")
+    return prefix_trie.prefix_trie(rebuilt(seqs))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), keep=["doc_id"], decoded=True)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -145,5 +163,6 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_packing, op2_exact_dedup, op3_decontamination, op4_repeats, op5_simhash,
-           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets, op11_merkle, op13_bpe)
+           op6_url_lists, op7_language_id, op8_sharding, op9_token_files, op10_secrets, op11_merkle, op12_prefix_trie,
+           op13_bpe)
     return {f.__name__: f for f in own}
