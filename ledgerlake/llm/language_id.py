@@ -11,8 +11,12 @@ worker keeps the score vectors of those it has met, up to a bound.
 
 from __future__ import annotations
 
+import os
 import re
+import sys
 from collections import Counter
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import arrow_map, materialise, prepare, texts, worker_state
+from ledgerlake.llm.prefix_trie import DoubleArray
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -40,7 +45,37 @@ class Pieces:
         plain = [i for i in range(n) if not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i))]
         self.number = {self.model.id_to_piece(i): i for i in plain}
         self.byte = [self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.longest = max(map(len, self.number))
+        self._grow_trie()
+
+    def _grow_trie(self) -> None:
+        """A double-array trie of the pieces, over dense numbers of their characters."""
+        own = sorted(self.number)
+        points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32)
+        chars, codes = np.unique(points, return_inverse=True)
+        self.code = np.full(sys.maxunicode + 1, -1, np.int32)
+        self.code[chars] = np.arange(len(chars))
+        lengths = np.fromiter(map(len, own), np.int64, len(own))
+        shared = [0, *(len(os.path.commonprefix(pair)) for pair in pairwise(own))]
+        self.trie = DoubleArray(codes, lengths, np.array(shared, np.int64))
+        ends = self.trie.walk(codes, lengths)[np.cumsum(lengths) - 1]
+        self.at = np.full(len(self.trie.check), -1, np.int64)     # slot -> number of the piece that ends there
+        self.at[ends] = [self.number[x] for x in own]
+
+    def arcs(self, points: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Pieces at each place of a text of code points: (places, length, numbers), by length.  ``left``:
+        characters from each place to the end of its word.  All places walk the trie at once."""
+        base, check, codes = self.trie.base, self.trie.check, self.code[points].astype(np.int64)
+        place, state, n = np.arange(len(points)), np.zeros(len(points), np.int64), 0
+        while len(place):
+            code = codes[place + n]
+            to = base[state] + code
+            inside = (code >= 0) & (to > 0) & (to < len(check))
+            inside &= check[np.where(inside, to, 0)] == state
+            place, state, n = place[inside], to[inside], n + 1
+            found = self.at[state]
+            yield place[found >= 0], n, found[found >= 0]
+            on = left[place] > n
+            place, state = place[on], state[on]
 
 
 def _pieces(model_file: str) -> Pieces:
@@ -124,26 +159,26 @@ class Scorer:
 
     def forward(self, words: list[str]) -> np.ndarray:
         """Log of the sum over all segmentations, for each word and language."""
-        number, longest = self.pieces.number.get, self.pieces.longest
-        word, start, end, piece = [], [], [], []
-        for w, text in enumerate(words):
-            text = "▁" + text
-            n = len(text)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = number(text[i:j])
-                    if p is None:
-                        if j > i + 1:
-                            continue
-                        p = self._other(text[i])
-                    word.append(w)
-                    start.append(i)
-                    end.append(j)
-                    piece.append(p)
-        word, start, end, piece = (np.array(x, np.int64) for x in (word, start, end, piece))
-        order = np.lexsort((word, end))
+        spelled = ["▁" + w for w in words]
+        lengths = np.fromiter(map(len, spelled), np.int64, len(words))
+        points = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), np.uint32)
+        of = np.repeat(np.arange(len(words)), lengths)
+        inner = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        places, ends, pieces = [], [], []
+        for at, n, found in self.pieces.arcs(points, lengths[of] - inner):
+            places.append(at)
+            ends.append(inner[at] + n)
+            pieces.append(found)
+        plain = np.ones(len(points), bool)        # characters that are no piece are spelled by their bytes
+        plain[places[0]] = False
+        odd = np.flatnonzero(plain)
+        places.append(odd)
+        ends.append(inner[odd] + 1)
+        pieces.append(np.array([self._other(chr(x)) for x in points[odd].tolist()], np.int64))
+        place, end, piece = map(np.concatenate, (places, ends, pieces))
+        word, start = of[place], inner[place]
+        order = np.lexsort((start, word, end))
         word, start, end, piece = word[order], start[order], end[order], piece[order]
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         alpha = np.zeros((len(words), int(lengths.max()) + 1, self.n_langs))
         bounds = np.searchsorted(end, np.arange(1, alpha.shape[1] + 1))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
