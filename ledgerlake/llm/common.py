@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -128,6 +130,16 @@ def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int
     return out, int(total)
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the machine, at the end of a task that held much:
+    workers live on, and other stages need it.  Nothing happens where the C library has no such call."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def worker_state() -> dict:
     """A dictionary that lives as long as the Python worker, for what is costly to load."""
     name = "ledgerlake_worker_state"

@@ -34,7 +34,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+    # state of an ended stream is unloaded by the next round of maintenance
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # else each state partition takes 4 MB of disk before it holds a row
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
@@ -100,8 +103,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and the row's locator (file and row).
 
     ``state_dir``: a checkpoint to go on from in later calls; then rows are
-    classed with those of earlier calls by digest, and bytes are compared within
-    the call.  By default each call has its own, and one micro-batch takes all
+    classed with those of earlier calls by digest alone, and bytes are compared
+    within the call only: a departure from the rule that hits are decided by bytes.  By default each call has its own, and one micro-batch takes all
     files.  The state has ``spark.sql.shuffle.partitions`` partitions, fixed by
     the first call.
     """

@@ -23,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import arrow_map, materialise, prepare, texts, worker_state
+from ledgerlake.llm.common import arrow_map, give_back, materialise, prepare, texts, worker_state
 from ledgerlake.llm.prefix_trie import DoubleArray
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 SMOOTHING = 0.5
 MOST_LANGUAGES = 1000     # the model holds a row for each piece and a column for each language
-MOST_WORDS = 500_000      # of a task's store
+MOST_WORDS = 200_000      # of a task's store
+GROUP_CHARS = 1_000_000   # texts are scored about so much at a time, whole texts
 LONG = 40                 # characters; longer words are scored one by one
 
 
@@ -122,6 +123,7 @@ def learn(labelled: DataFrame, model_file: str, text_col: str = "text",
             if sum(map(len, seen.values())) > MOST_WORDS:
                 yield from flush()
         yield from flush()
+        give_back()
 
     counted = materialise(rows.mapInArrow(run, "lang string, piece int, n long")
                           .groupBy("lang", "piece").agg(F.sum("n").alias("n")), "language-counts")
@@ -201,7 +203,14 @@ class Scorer:
             self.rows.update(zip(group, range(at, at + len(group)), strict=True))
 
     def score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probability of each text in each language, and whether it has a letter."""
+        """Log probability of each text in each language, and whether it has a letter; about
+        ``GROUP_CHARS`` at a time, as lists of words take many times the memory of the text."""
+        group = np.cumsum([0, *map(len, texts)])[:-1] // GROUP_CHARS if len(texts) else np.zeros(0, np.int64)
+        starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        parts = [self._score(texts[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def _score(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.rows) > MOST_WORDS:
             self.clear()
         words = [words_of(x) for x in texts]
@@ -250,6 +259,8 @@ def predict(docs: DataFrame, languages: list[str], log_p: np.ndarray, model_file
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(f) for f in names), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*names, "lang_pred", "score"])
+        state.clear()
+        give_back()
 
     names = [f.name for f in rest]
     return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, f"{fields}, lang_pred string, score double")
@@ -274,5 +285,7 @@ def drop_unknown(docs: DataFrame, model_file: str, least: float = 0.5) -> DataFr
         for batch in batches:
             lang, score = one(texts(batch, "text"), state)
             yield batch.filter(pa.array([x != UNDETERMINED and s >= least for x, s in zip(lang, score, strict=True)], pa.bool_()))
+        state.clear()
+        give_back()
 
     return docs.mapInArrow(run, StructType(docs.schema.fields))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import FILE, ROW, located, materialise, prepare, texts
+from ledgerlake.llm.common import FILE, ROW, give_back, located, materialise, prepare, texts
 from ledgerlake.llm.tokens import Encoder
 
 CAPACITY, END_ID, SEED = 2048, 1, 20240501
@@ -84,6 +84,9 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
                 columns["ids"] = pa.ListArray.from_arrays(
                     pa.array(np.r_[at, len(ids)].astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_pydict(columns)
+        if not keep_words:
+            del encoder
+            give_back()
 
     return rows.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, key long"
                            + ", ids array<int>" * keep_ids)
