@@ -19,6 +19,7 @@ FILE, ROW = "_loc_file", "_loc_row"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Logical plans that give at most one row for each row they read.
 ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "View", "ResolvedHint"}
+PAGE_BITS = 8 * 4096      # bits that bitmap_construct_agg holds
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -92,10 +93,21 @@ def located(docs: DataFrame) -> DataFrame:
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``located`` documents that ``dropped`` does not list, with the
-    columns of the documents.  The list is broadcast only if its files are small."""
-    on = [docs[FILE] == dropped[FILE], docs[ROW] == dropped[ROW]]
-    return docs.join(dropped, on, "left_anti").drop(FILE, ROW)
+    """The rows of ``located`` documents that ``dropped`` does not list, with the columns of the documents.
+
+    The list is sent as bit maps, one of 4 KB for each 32,768 rows of a file with a dropped row: a bit a
+    row.  Spark broadcasts them if their files are below its threshold (10 MB hold 80 million rows), so
+    texts are not shuffled; beyond it the maps meet the rows of their part of the file by a join.
+    """
+    file, page, bits = (fresh(docs.columns, x) for x in ("file", "page", "bits"))
+    maps = materialise(
+        dropped.groupBy(F.col(FILE).alias(file), F.expr(f"{ROW} div {PAGE_BITS}").alias(page))
+        .agg(F.bitmap_construct_agg(F.col(ROW) % PAGE_BITS).alias(bits)), "dropped-bits")
+    on = [docs[FILE] == maps[file], F.expr(f"{ROW} div {PAGE_BITS}") == maps[page]]
+    byte = F.conv(F.hex(F.expr(f"substring({bits}, cast(({ROW} % {PAGE_BITS}) div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    is_set = F.coalesce(byte.bitwiseAND(F.expr(f"1 << cast({ROW} % 8 as int)")) != 0, F.lit(False))
+    names = [c for c in docs.columns if c not in (FILE, ROW)]
+    return docs.join(maps, on, "left").where(~is_set).select(*[docs[f"`{c}`"] for c in names])
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:

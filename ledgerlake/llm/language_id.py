@@ -271,13 +271,13 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def drop_unknown(docs: DataFrame, model_file: str, least: float = 0.5) -> DataFrame:
+def drop_unknown(docs: DataFrame, model_file: str, least: float = 0.5, batch_bytes: int = 8 << 20) -> DataFrame:
     """``docs`` without texts that have no letter or no language with a share of ``least``;
     the model is learned from the rows that are not held out.  The same columns."""
     from pyspark.sql.types import StructType
 
     languages, log_p = learn(docs.where(~held_out()), model_file)
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, batch_bytes)
     one = _predictor(docs.sparkSession, languages, log_p, model_file)
 
     def run(batches):

@@ -55,10 +55,10 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple
 
 def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False,
-           keep_words: bool = True, added_tokens: bool = False) -> DataFrame:
+           keep_words: bool = True, added_tokens: bool = False, batch_bytes: int = 8 << 20) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, ``key`` (a random long of
     the row, the same whenever a task runs again), and the ids if asked for."""
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, batch_bytes)
     rows = located(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                                 F.xxhash64(FILE, ROW, F.lit(SEED)).alias("key"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -94,16 +94,16 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
 
 def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = CAPACITY, end_id: int = END_ID, group: int = GROUP, keep_ids: bool = False,
-         keep_words: bool = True, added_tokens: bool = False) -> DataFrame:
+         keep_words: bool = True, added_tokens: bool = False, batch_bytes: int = 8 << 20) -> DataFrame:
     """The pieces of all documents with ``sequence_id`` and ``offset``.
 
     Null text counts as empty: one piece, the end id.  Each row is a document of
     its own, also if rows repeat.  An empty table gives no piece.  ``keep_words``: workers
     keep encoded words from task to task; without, their memory is free for other stages.
-    ``added_tokens``: see ``Encoder``.
+    ``added_tokens``: see ``Encoder``.  ``batch_bytes``: texts that a task takes at once, about.
     """
     cut = materialise(pieces(docs, tokenizer_file, id_col, text_col, capacity, end_id, keep_ids, keep_words,
-                             added_tokens), "pieces")
+                             added_tokens, batch_bytes), "pieces")
     groups = max(1, -(-cut.count() // group))
     cut = cut.withColumn("group", F.pmod(F.xxhash64("key", "start"), F.lit(groups)))
 

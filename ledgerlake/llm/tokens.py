@@ -98,7 +98,7 @@ class Encoder:
     def of(cls, tokenizer_file: str, keep_words: bool = True, added_tokens: bool = False) -> "Encoder":
         """The worker's encoder of this file, or one for a single task."""
         if not keep_words:
-            return cls(tokenizer_file, 200_000, added_tokens)
+            return cls(tokenizer_file, 100_000, added_tokens)
         key = ("encoder", tokenizer_file, added_tokens)
         state = worker_state()
         if key not in state:
