@@ -10,10 +10,13 @@ from ledgerlake.llm import decontaminate, exact_dedup, language_id, packing, sim
 from ledgerlake.llm.common import materialise
 from ledgerlake.llm.queries import table, tokenizer
 
+# Texts that a Python task takes at once: one after another, the stages share the executors' memory.
+BATCH_BYTES = 2 << 20
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a letter, or without a likely language, go."""
-    return language_id.drop_unknown(docs, tokenizer("piece_bpe_32k.model"))
+    return language_id.drop_unknown(docs, tokenizer("piece_bpe_32k.model"), batch_bytes=BATCH_BYTES)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +36,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences."""
-    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), keep_words=False, added_tokens=True)
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), keep_words=False, added_tokens=True,
+                        batch_bytes=BATCH_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
