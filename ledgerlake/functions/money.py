@@ -1,16 +1,21 @@
 """Money aggregates rounded to cents.
 
-Two modes:
-
-* ``decimal`` (default) -- per group: if every amount is a whole number of
-  cents within ``decimal(18,2)``, the sum is exact and does not depend on row
-  order or partitioning.  A group with any other amount (a part of a cent, a
-  very large one, NaN, an infinity) is summed as doubles, as in the other mode:
-  no row is dropped or rounded by itself, and NaN propagates.
+Three modes:
+
+* ``decimal`` (default) -- whole cents within ``decimal(18,2)`` are summed as
+  decimals, every other amount (a part of a cent, a very large one) by digits
+  (:mod:`ledgerlake.functions.exact_sum`); both are exact, so the result does not
+  depend on row order or partitioning.
+* ``exact`` -- all amounts by digits: ``round(sum(double), 2)`` of the reference
+  with the sum taken exactly, so its last bits do not depend on the order.  An
+  average is that sum divided by the number of amounts, then rounded.
 * ``double`` -- ``round(sum(double), 2)`` exactly as the reference computes it;
-  NaN propagates, and the last bits depend on the order partial sums meet.
+  the last bits depend on the order partial sums meet.
+
+A group with an amount that has no digits (NaN, an infinity, 4.7e21 and more) is
+summed as doubles in every mode: no row is dropped, and NaN propagates.
 
-Both are declarative aggregates with a fixed-width buffer, so Spark runs them
+All are declarative aggregates with a fixed-width buffer, so Spark runs them
 as a partial (map-side) + final HashAggregate.
 """
 
@@ -19,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.exact_sum import exact_sum, fits
+
 CENTS = "decimal(18,2)"
 
 
@@ -26,17 +33,38 @@ def _column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _all_cents(c: Column) -> Column:
-    """Whether every amount of the group (NULLs aside) is exactly its ``CENTS`` value."""
-    return F.count(c) == F.count_if(c.try_cast(CENTS).cast("double") == c.cast("double"))
+def _is_cents(c: Column) -> Column:
+    """Whether an amount is exactly its ``CENTS`` value."""
+    return F.coalesce(c.try_cast(CENTS).cast("double") == c.cast("double"), F.lit(False))
+
+
+def _sum(c: Column, mode: str) -> tuple[Column, Column]:
+    """The sum of the amounts of a group, and whether it is exact."""
+    whole = c.cast("double")
+    if mode == "exact":
+        return exact_sum(whole), F.count_if(~fits(whole)) == 0
+    cents = F.sum(F.when(_is_cents(c), c.try_cast(CENTS))).cast("double")     # of a mixed group
+    other = F.when(~_is_cents(c), whole)
+    rest = exact_sum(other)
+    return F.when(rest.isNull(), cents).otherwise(F.coalesce(cents, F.lit(0.0)) + rest), F.count_if(~fits(other)) == 0
 
 
 def _measure(agg, c: str | Column, mode: str) -> Column:
     c = _column(c)
-    plain = F.round(agg(c.cast("double")), 2)
+    whole = c.cast("double")
+    plain = F.round(agg(whole), 2)
     if mode == "double":
         return plain
-    return F.when(_all_cents(c), F.round(agg(c.try_cast(CENTS)), 2).cast("double")).otherwise(plain)
+    if mode not in ("decimal", "exact"):
+        raise ValueError(f"unknown money mode {mode!r}")
+    own, sure = _sum(c, mode)
+    if agg is F.avg:
+        own = F.try_divide(own, F.count(c))           # (without an amount both are null)
+    own = F.when(sure, F.round(own, 2)).otherwise(plain)
+    if mode == "exact":
+        return own
+    # a group of whole cents: all of it in decimals
+    return F.when(F.count(c) == F.count_if(_is_cents(c)), F.round(agg(c.try_cast(CENTS)), 2).cast("double")).otherwise(own)
 
 
 def total(c: str | Column = "amount", mode: str = "decimal") -> Column:
