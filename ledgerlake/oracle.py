@@ -146,6 +146,16 @@ def average(col: str = "amount") -> str:
             f" AS DECIMAL(38,6)), 2) AS DOUBLE)")
 
 
+def exact(col: str = "amount", scale: int = 60) -> str:
+    """The exact sum of doubles, rounded once: multiples of 2^-60 as whole numbers of 128 bits."""
+    return f"CAST(CAST(sum(CAST({col} * {float(1 << scale)!r} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {float(1 << scale)!r}"
+
+
+def cents(x: str) -> str:
+    """A double rounded to cents by its decimal spelling, halves up."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
+
+
 def _with(profile: str, body: str) -> str:
     return "WITH " + CTE[profile].strip() + "\n" + body
 
@@ -240,8 +250,10 @@ SELECT risk_level, count(*) AS transaction_count, round(sum(amount), 2) AS {tot}
 FROM gold GROUP BY risk_level""")
         for name, keys in (("daily", "transaction_date"), ("country", "country"), ("payment", "payment_method"),
                            ("merchant", "merchant_id, merchant_category" if p == "local" else "merchant_category")):
+            averaged = name == "country" or p == "local" and name in ("daily", "merchant")
+            more = f", {cents(f'({exact()}) / count(amount)')} AS {avg}" if averaged else ""
             q[f"gold_{name}_{p}_parity"] = _with(p, f"""
-SELECT {keys}, count(*) AS transaction_count, round(sum(amount), 2) AS {tot} FROM gold GROUP BY {keys}""")
+SELECT {keys}, count(*) AS transaction_count, round(sum(amount), 2) AS {tot}{more} FROM gold GROUP BY {keys}""")
         q[f"risk_distribution_{p}"] = _with(p, 'SELECT risk_level, count(*) AS "count" FROM gold GROUP BY risk_level')
         q[f"duplicates_removed_{p}"] = _with(p, """
 SELECT (SELECT count(*) FROM valid) AS valid_before_dedup,
@@ -279,9 +291,37 @@ SELECT merchant_category, count(*) AS transaction_count, {total()} AS total_tran
 FROM gold GROUP BY merchant_category""")
     q["money_of_any_amount"] = """
 WITH t AS (SELECT o_orderkey % 3 AS kind, CASE o_orderkey % 3 WHEN 0 THEN floor(o_totalprice * 2) / 100
-    WHEN 1 THEN floor(o_totalprice) / 1024 ELSE floor(o_totalprice) * 1099511627776 END AS amount FROM orders)
-SELECT kind, count(*) AS transaction_count, round(sum(amount), 2) AS total, round(avg(amount), 2) AS average
-FROM t GROUP BY kind"""
+    WHEN 1 THEN floor(o_totalprice) / 1024 ELSE floor(o_totalprice) * 1099511627776 END AS amount,
+    CASE o_orderkey % 3 WHEN 2 THEN 1048576e0 ELSE 1152921504606846976e0 END AS unit FROM orders
+), sums AS (SELECT kind, count(*) AS n,
+    CAST(CAST(sum(CAST(amount * unit AS HUGEINT)) AS VARCHAR) AS DOUBLE) / any_value(unit) AS s FROM t GROUP BY kind)
+SELECT kind, n AS transaction_count, CASE WHEN abs(s) < 1e13 THEN round(s, 2) ELSE s END AS total,
+       CASE WHEN abs(s / n) < 1e13 THEN round(s / n, 2) ELSE s / n END AS average FROM sums"""
+    q["offset_runs"] = "WITH " + EVENTS.strip() + """,
+seen AS (SELECT partition, "offset" AS o, count(*) AS n FROM ev GROUP BY ALL),
+marked AS (SELECT *, o - row_number() OVER (PARTITION BY partition ORDER BY o) AS island FROM seen),
+runs AS (SELECT partition, min(o) AS first_offset, max(o) AS last_offset, CAST(sum(n) AS BIGINT) AS rows,
+                CAST(sum(n) AS BIGINT) - count(*) AS repeats FROM marked GROUP BY partition, island)
+SELECT *, lead(first_offset) OVER (PARTITION BY partition ORDER BY first_offset) - last_offset - 1 AS missing FROM runs"""
+    q["content_differences"] = "WITH " + EVENTS.strip() + """
+SELECT partition, "offset", CASE "offset" % 1000 WHEN 14 THEN 'lost' WHEN 16 THEN 'repeated' ELSE 'altered' END AS kind,
+       CAST(1 AS BIGINT) AS left_rows, CAST(CASE "offset" % 1000 WHEN 14 THEN 0 WHEN 16 THEN 2 ELSE 1 END AS BIGINT) AS right_rows
+FROM ev WHERE "offset" < 20000 AND "offset" % 1000 IN (14, 16, 18)"""
+    steady = EVENT_COLS.replace(" city,", "")
+    q["stream_silver_local"] = _with("local", f"""
+SELECT {steady}, CAST(epoch(ts_parsed) AS BIGINT) AS event_epoch FROM silver""")
+    q["stream_quarantine_local"] = q["quarantine_local"]
+    q["published_silver_local"] = q["silver_local"]
+    q["published_quarantine_local"] = q["quarantine_local"]
+    q["incremental_daily_local"] = _with("local", f"""
+SELECT transaction_date, count(*) AS transaction_count, {total()} AS total_transaction_amount,
+       {cents(f'({exact()}) / count(amount)')} AS average_transaction_amount
+FROM gold GROUP BY transaction_date""")
+    q["exact_sums"] = f"""
+WITH t AS (SELECT l_returnflag, l_linestatus, l_extendedprice * (1 - l_discount)
+    * CASE WHEN l_orderkey % 2 = 0 THEN 1e0 ELSE -1e0 END
+    * CASE WHEN l_orderkey % 5 = 0 THEN 1048576e0 WHEN l_orderkey % 5 = 1 THEN 0.0009765625e0 ELSE 1e0 END AS x FROM lineitem)
+SELECT l_returnflag, l_linestatus, count(*) AS n, {exact('x')} AS total FROM t GROUP BY l_returnflag, l_linestatus"""
     q["approved_count"] = _with("local", """
 SELECT count(*) AS approved_count FROM silver WHERE status = 'APPROVED'""")
     return q

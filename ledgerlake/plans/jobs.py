@@ -130,12 +130,15 @@ def ingest(messages: DataFrame, store: LayerStore, profile: str | Profile = "loc
 
 
 def quality(store: LayerStore, profile: str | Profile = "local",
-            deterministic: bool = True, dedup_method: str = "aggregate") -> dict:
+            deterministic: bool = True, dedup_method: str = "aggregate",
+            into: LayerStore | None = None) -> dict:
     """bronze -> quarantine (every invalid row, with its reasons) and silver
-    (valid rows, one per transaction_id)."""
+    (valid rows, one per transaction_id), written to ``into`` (default: the same store)."""
     p = get_profile(profile)
     # a session of its own: the dedup exchange starts with partitions sized from the bronze bytes
-    store = replace(store, spark=sized_session(store.spark, store.read("bronze", p)))
+    own = sized_session(store.spark, store.read("bronze", p))
+    target = replace(into or store, spark=own)
+    store = replace(store, spark=own)
     bronze = store.read("bronze", p)
     validated = quality_ops.validate(bronze, p)
     seen = Observation("bronze")
@@ -145,15 +148,15 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     order = quality_ops.survivor_order(p) if deterministic else None
     silver = quality_ops.shape_silver(
         quality_ops.dedup(valid, ["transaction_id"], order, dedup_method), p)
-    if store.schema:
-        sinks.create_schema(store.spark, store.schema)
+    if target.schema:
+        sinks.create_schema(target.spark, target.schema)
     # The two outputs are independent jobs over bronze: submit them together
     # (the quarantine write is map-only), with the caller's job group and pool.
     counted = inheritable_thread_target(store.spark)(_write_counted)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        quarantined = pool.submit(counted, store, quality_ops.shape_quarantine(invalid, p),
+        quarantined = pool.submit(counted, target, quality_ops.shape_quarantine(invalid, p),
                                   "quarantine", p)
-        silvered = pool.submit(counted, store, silver, "silver", p)
+        silvered = pool.submit(counted, target, silver, "silver", p)
         out = {"quarantined_records": quarantined.result(), "silver_records": silvered.result()}
     # The split is exhaustive and disjoint, so valid = bronze - quarantined.
     # (An observation placed before the dedup exchange would sit in a shuffle

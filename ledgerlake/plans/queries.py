@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlake import sinks
 from ledgerlake.functions.rules import get_profile
 from ledgerlake.operators import bronze as bronze_ops
-from ledgerlake.operators import monitor
+from ledgerlake.operators import lineage, monitor
 from ledgerlake.operators import quality as quality_ops
 from ledgerlake.plans import jobs
 from ledgerlake.plans.lakehouse import Lakehouse
@@ -231,14 +231,88 @@ def money_of_any_amount(spark, sf_dir):
                    "total", "average")
 
 
+def offset_runs(spark, sf_dir):
+    """Runs of consecutive offsets of each topic partition, and what is missing between them."""
+    return lineage.offset_runs(_lake(spark, sf_dir).topic())
+
+
+def content_differences(spark, sf_dir):
+    """Messages that a second copy of the topic has lost, repeated and altered (planted by offset)."""
+    topic = _lake(spark, sf_dir).topic()
+    planted, at = F.col("offset") < 20_000, F.col("offset") % 1000
+    other = topic.where(~(planted & (at == 14))).withColumn(
+        "value", F.when(planted & (at == 18), F.concat("value", F.lit(" ").cast("binary"))).otherwise(F.col("value")))
+    other = other.withColumn("again", F.explode(F.when(planted & (at == 16), F.array(F.lit(0), F.lit(1)))
+                                                .otherwise(F.array(F.lit(0))))).drop("again")
+    return lineage.content_differences(topic, other, ["key", "value", "timestamp"])
+
+
+def _stream_quality(layer):
+    """A layer of the quality stream, in two runs over half of the topic each."""
+    def build(spark, sf_dir):
+        from ledgerlake.streaming.quality_stream import read_layer, run_quality_stream
+        lake = _lake(spark, sf_dir)
+        run = _fresh(lake, "quality-stream")
+        for half in (0, 1):
+            lake.topic().where(F.col("partition") % 2 == half).write.mode("append").parquet(f"{run}/topic")
+            run_quality_stream(spark, f"{run}/topic", run)
+        out = read_layer(spark, run, layer)
+        if layer == "silver":       # which of two copies comes first is not fixed: without what they differ in
+            return out.select(*[c for c in _NON_TIME if c != "city"], _event_epoch())
+        return out.select(*EVENT_FIELDS, *_lineage("local"), "error_reason")
+    return build
+
+
+def _published(layer):
+    """A layer of the pair that the quality job publishes together."""
+    def build(spark, sf_dir):
+        from ledgerlake.plans import published
+        lake = _lake(spark, sf_dir)
+        lake.bronze("local")
+        out = published.Published(spark, _fresh(lake, "published"), "local")
+        published.quality(lake.store("local"), out, "local")
+        rows = out.current().read(layer, "local")
+        if layer == "silver":
+            return rows.select(*_NON_TIME, *_lineage("local"), _event_epoch())
+        return rows.select(*EVENT_FIELDS, *_lineage("local"), "error_reason")
+    return build
+
+
+def incremental_daily_local(spark, sf_dir):
+    """The daily metric from the partial aggregates of two loads."""
+    from ledgerlake.operators import gold as gold_ops
+    from ledgerlake.operators import partials
+    lake = _lake(spark, sf_dir)
+    rows = lake.risk_rows("local").withColumn("transaction_date", gold_ops.transaction_date("local"))
+    path = _fresh(lake, "partials")
+    for load in (0, 1):
+        partials.add_load(rows.where(F.col("kafka_offset") % 4 >= 2 if load else F.col("kafka_offset") % 4 < 2),
+                          path, load, ["transaction_date"])
+    p = get_profile("local")
+    return partials.merged(spark.read.parquet(path), ["transaction_date"], p.total_name, p.average_name)
+
+
+def exact_sums(spark, sf_dir):
+    """Sums of amounts of very different sizes, with their bits: signs that cancel, parts of a cent,
+    amounts that differ by 2^60."""
+    from ledgerlake.functions.exact_sum import exact_sum
+    k, p = F.col("l_orderkey"), F.col("l_extendedprice")
+    amount = (p * (1 - F.col("l_discount")) * F.when(k % 2 == 0, 1.0).otherwise(-1.0)
+              * F.when(k % 5 == 0, F.lit(float(1 << 20))).when(k % 5 == 1, F.lit(1 / 1024)).otherwise(1.0))
+    return (spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("x", amount)
+            .groupBy("l_returnflag", "l_linestatus").agg(
+                F.count(F.lit(1)).alias("n"), exact_sum(F.col("x")).alias("total")))
+
+
 def _parity(name, profile):
-    """A metric with ``round(sum(double), 2)`` over the parity silver.  Without the average: where
-    it falls on half a cent, the last bit of a double sum decides, and so the order of adding."""
+    """A metric with ``round(sum(double), 2)`` and ``round(avg(double), 2)`` over the parity silver,
+    the sums taken exactly: where an average falls on half a cent, the last bit of the sum decides,
+    and must not depend on the order of adding."""
     def build(spark, sf_dir):
         from ledgerlake.operators import gold as gold_ops
         p = get_profile(profile)
         return gold_ops.gold_metric(gold_ops.add_risk(_parity_silver(spark, sf_dir, p)),
-                                    name, p, money_mode="double").drop(p.average_name)
+                                    name, p, money_mode="exact")
     return build
 
 
@@ -322,5 +396,12 @@ def registry() -> dict[str, Builder]:
             q[f"gold_{name}_{p}_parity"] = _parity(name, p)
         q[f"total_value_{p}_parity"] = _parity_total(p)
     q["money_of_any_amount"] = money_of_any_amount
+    q["exact_sums"] = exact_sums
+    q["offset_runs"] = offset_runs
+    q["content_differences"] = content_differences
+    for layer in ("silver", "quarantine"):
+        q[f"stream_{layer}_local"] = _stream_quality(layer)
+        q[f"published_{layer}_local"] = _published(layer)
+    q["incremental_daily_local"] = incremental_daily_local
     q["approved_count"] = approved_count
     return q
