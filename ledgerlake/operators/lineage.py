@@ -41,19 +41,16 @@ def offset_runs(messages: DataFrame, partition: str = "partition", offset: str =
                    F.min("first").alias("first"), F.max("last").alias("last"), F.sum("rows").alias("rows"),
                    F.sum("offsets").alias("offsets")))
     whole = runs.where(~edge).select("partition", "first", "last", "rows", "offsets").unionByName(chained.drop("run"))
-    # where the next run starts: within the range, or the first offset of the partition's next range with rows
-    whole = whole.withColumn("range", F.floor(F.col("last") / size))
-    heads = whole.groupBy("partition", F.floor(F.col("first") / size).alias("head")).agg(F.min("first").alias("head_first"))
-    ranges = whole.select("partition", F.col("range").alias("head")).distinct()
-    after = Window.partitionBy("partition").orderBy("head").rowsBetween(1, Window.unboundedFollowing)
-    follow = (ranges.join(heads, ["partition", "head"], "full")
-              .withColumn("then", F.first("head_first", ignorenulls=True).over(after))
-              .select(F.col("partition").alias("p"), F.col("head").alias("h"), "then"))
-    in_range = Window.partitionBy("partition", "range").orderBy("last")
-    # a run that began in an earlier range is the first to end in its last one; the next to end there began there
+    # where the next run starts: later in the range that this one starts in, or else with the partition's
+    # next range in which a run starts (what a long run covers in between has no other start)
+    whole = whole.withColumn("range", F.floor(F.col("first") / size))
+    in_range = Window.partitionBy("partition", "range").orderBy("first")
+    heads = whole.groupBy("partition", "range").agg(F.min("first").alias("head"))
+    ranges = Window.partitionBy("partition").orderBy("range")
+    follow = heads.select(F.col("partition").alias("p"), F.col("range").alias("h"), F.lead("head").over(ranges).alias("then"))
     found = whole.withColumn("next", F.lead("first").over(in_range)).join(
-        follow, (F.col("partition") == F.col("p")) & (F.col("range") == F.col("h")), "left")
-    later = F.least(F.col("next"), F.when(F.col("then") > F.col("last"), F.col("then")))
+        follow, (F.col("partition") == F.col("p")) & (F.col("range") == F.col("h")))
+    later = F.coalesce("next", "then")
     return found.select("partition", F.col("first").alias("first_offset"), F.col("last").alias("last_offset"), "rows",
                         (F.col("rows") - F.col("offsets")).alias("repeats"), (later - F.col("last") - 1).alias("missing"))
 
