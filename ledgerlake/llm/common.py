@@ -122,23 +122,22 @@ def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int
     from pyspark.sql import Window
 
     n = pieces_for(df)
-    tie = "_tie"
-    at = F.monotonically_increasing_id()
-    ranged = (df.withColumn(tie, at)
+    tie, at, part = (fresh(df.columns, x) for x in ("tie", "at", "part"))
+    ranged = (df.withColumn(tie, F.monotonically_increasing_id())
               .repartitionByRange(n, *order, tie)
               .sortWithinPartitions(*order, tie)
-              .drop(tie).withColumn("_at", F.monotonically_increasing_id()))
+              .drop(tie).withColumn(at, F.monotonically_increasing_id()))
     rows = materialise(ranged, name).withColumns({
-        "_part": F.shiftrightunsigned("_at", 33),
-        "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
-    counts = materialise(rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")), name + "-parts")
-    total = counts.agg(F.sum("_rows")).first()[0] or 0
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        part: F.shiftrightunsigned(at, 33),
+        at: F.col(at).bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = rows.select(F.col(part).alias("of")).groupBy("of").agg(F.count(F.lit(1)).alias("rows"))
+    counts = materialise(counts, name + "-parts")
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("of", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
     # one row per part: pieces_for bounds it
-    out = (rows.join(F.broadcast(starts), "_part")
-           .withColumn("row_number", F.col("_start") + F.col("_at"))
-           .select(*[F.col(f"`{c}`") for c in df.columns], "row_number"))
+    out = (rows.alias("r").join(F.broadcast(starts.alias("s")), F.col(f"r.`{part}`") == F.col("s.of"))
+           .select(*[F.col(f"r.`{c}`") for c in df.columns], (F.col("s.start") + F.col(f"r.`{at}`")).alias("row_number")))
     return out, int(total)
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import FILE, LOWER, ROW, UPPER, arrow_map, located, materialise, prepare
+from ledgerlake.llm.common import FILE, LOWER, ROW, UPPER, arrow_map, fresh, located, materialise, prepare
 
 # word bytes: digits, a-z and all of a non-ASCII character; other bytes become a blank
 TABLE = bytes(ord(LOWER[UPPER.index(chr(b))]) if chr(b) in UPPER
@@ -152,14 +152,15 @@ def _scan_parts(docs: DataFrame, parts: list[DataFrame], text_col: str, into: st
         packed.destroy()
         hits = written if hits is None else hits.unionAll(written)
     # a row's own hits, from each part at most once
-    per_row = hits.groupBy(FILE, ROW).agg(F.flatten(F.collect_list("ranges")).alias("_ranges"),
-                                          F.flatten(F.collect_list("items")).alias("_items"))
-    joined = docs.join(per_row, [FILE, ROW], "left").select(*[f"`{c}`" for c in had], "_ranges", "_items")
+    own = [fresh(had, "ranges"), fresh(had, "items")]
+    per_row = hits.groupBy(FILE, ROW).agg(F.flatten(F.collect_list("ranges")).alias(own[0]),
+                                          F.flatten(F.collect_list("items")).alias(own[1]))
+    joined = docs.join(per_row, [FILE, ROW], "left").select(*[f"`{c}`" for c in [*had, *own]])
 
     def run(batches):
         for batch in batches:
             out = []
-            for text, ranges, items in zip(*(batch.column(c).to_pylist() for c in (text_col, "_ranges", "_items")), strict=True):
+            for text, ranges, items in zip(*(batch.column(c).to_pylist() for c in (text_col, *own)), strict=True):
                 spans = joined_ranges(sorted((x["a"], x["b"]) for x in ranges or []))
                 out.append({"words": len(normalised(text).split()), "ranges": [{"a": a, "b": b} for a, b in spans],
                             "items": list(dict.fromkeys(items or []))})
@@ -169,11 +170,12 @@ def _scan_parts(docs: DataFrame, parts: list[DataFrame], text_col: str, into: st
 
 
 def scan_docs(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-              item_text: str = "text", n: int = N, most_bytes: int = 64 << 20, into: str = "_scan") -> DataFrame:
+              item_text: str = "text", n: int = N, most_bytes: int = 4 << 20, into: str = "_scan") -> DataFrame:
     """``docs`` with ``into``: the text's number of words, the ranges of words inside any
     occurrence of a window, and the distinct items whose windows occur.
 
-    Null has no words.  An item named twice counts once; a null item id is the empty name.
+    ``most_bytes`` of windows make one automaton: 4 MB of them take some 200 MB in a Python
+    worker; a larger benchmark is scanned part after part.  Null has no words.  An item named twice counts once; a null item id is the empty name.
     """
     spark = prepare(docs.sparkSession)
     docs = docs.drop(into)

@@ -49,7 +49,7 @@ WITH hosts AS (SELECT page_id, url, page_id * 37 % 730 AS day, {HOST} AS host FR
   FROM (SELECT *, unnest(range(1, greatest(len(l), 2))) AS i FROM (SELECT *, string_split(host, '.') AS l FROM hosts))
 ), named AS (
   SELECT DISTINCT pattern, CAST('0x' || substr(md5(pattern), 1, 8) AS BIGINT) AS h
-  FROM asked WHERE pattern <> '' AND pattern NOT LIKE 'example.%'
+  FROM asked WHERE pattern <> ''
 ), listed AS (
   SELECT *, (['ads', 'malware', 'spam'])[h % 7 % 3 + 1] AS list, h % 500 AS first FROM named WHERE h % 3 <> 0
 ), entries AS (

@@ -77,7 +77,7 @@ def list_entries(pages: DataFrame) -> DataFrame:
     hash of the pattern: some are removed again, some added once more."""
     host = url_lists.host_of(F.col("url"))
     names = pages.select(F.explode(url_lists.suffixes(host)).alias("pattern")).where(
-        "pattern <> '' and pattern not like 'example.%'").distinct()
+        "pattern <> ''").distinct()
     h = F.conv(F.substring(F.md5("pattern"), 1, 8), 16, 10).cast("long")
     listed = names.select("pattern", h.alias("h")).where("h % 3 <> 0").select(
         "pattern", "h", F.expr("element_at(array('ads', 'malware', 'spam'), cast(h % 7 % 3 as int) + 1)").alias("list"),

@@ -6,8 +6,8 @@ So each text is cut into segments, the stretches of windows that share one
 minimizer, and what has to be compared meets where the minimizer's hash sends
 it.
 
-1. Segments that are equal (a 128-bit digest) to an earlier one are repeats as
-   a whole; most repeated text ends here.  Each task first keeps the earliest of
+1. Segments that are equal (64 bits of the minimizer's hash and 64 of the segment's)
+   to an earlier one are repeats as a whole; most repeated text ends here.  Each task first keeps the earliest of
    its own copies, so a passage in a third of all rows is sent once per task.
 2. Different segments of one minimizer (the rims of passages, edits) are
    compared by text: a run-length index of the earlier ones is built, and the
@@ -106,13 +106,13 @@ def _pack(gram, digest, doc, start, count) -> bytes:
     names, number = np.unique(doc, return_inverse=True)
     return b"".join([np.array([len(names), len(gram)], "<i8").tobytes(), names.astype("<i8").tobytes(),
                      gram.astype("<u8").tobytes(), digest.astype("<u8").tobytes(), number.astype("<u4").tobytes(),
-                     start.astype("<u4").tobytes(), count.astype("u1").tobytes()])
+                     start.astype("<u4").tobytes(), count.astype("<u4").tobytes()])
 
 
 def _unpack(data: bytes):
     names, n = np.frombuffer(data, "<i8", 2)
     at, out = 16, []
-    for kind, size in (("<i8", names), ("<u8", n), ("<u8", n), ("<u4", n), ("<u4", n), ("u1", n)):
+    for kind, size in (("<i8", names), ("<u8", n), ("<u8", n), ("<u4", n), ("<u4", n), ("<u4", n)):
         out.append(np.frombuffer(data, kind, size, at))
         at += out[-1].nbytes
     table, gram, digest, number, start, count = out

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import numbered
+from ledgerlake.llm.common import fresh, numbered
 
 ROUNDS, SEED = 6, 20240501
 MOST_WALK = 64
@@ -60,10 +60,10 @@ def shard(df: DataFrame, order: list[str], shards: int, seed: int = SEED) -> Dat
     """``df`` with ``row_number``, ``shard`` and ``slot``.  Nulls come first in the order; rows
     with equal keys keep the order of the input's partitions.  Columns of these names are replaced."""
     rows, n = numbered(df.drop("row_number", "shard", "slot"), order, "sharded")
-    place = permuted("row_number", max(n, 1), seed)
-    return rows.withColumn("_place", place).withColumns({
-        "shard": (F.col("_place") % shards).cast("int"),
-        "slot": F.expr(f"_place div {shards}")}).drop("_place")
+    at = fresh(rows.columns, "place")
+    return rows.withColumn(at, permuted("row_number", max(n, 1), seed)).withColumns({
+        "shard": (F.col(at) % shards).cast("int"),
+        "slot": F.expr(f"{at} div {shards}")}).drop(at)
 
 
 def number_at(shard_col: str, slot_col: str, n: int, shards: int, seed: int = SEED) -> Column:
