@@ -20,6 +20,7 @@ from ledgerlake.functions.rules import (
     is_valid,
     parse_event_time,
 )
+from ledgerlake.operators.bronze import PAYLOAD_ERROR, PAYLOAD_TEXT
 
 
 def standardise(df: DataFrame, profile: str | Profile = "local") -> DataFrame:
@@ -113,8 +114,9 @@ def _orderable(dt: DataType) -> bool:
 def shape_silver(valid: DataFrame, profile: str | Profile = "local") -> DataFrame:
     """local: drop the error column and the text time, the parsed time takes
     the name ``event_timestamp`` (last column).  cloud: unchanged (the error
-    column stays, always NULL)."""
+    column stays, always NULL).  Texts of malformed payloads stay with the quarantine."""
     p = get_profile(profile)
+    valid = valid.drop(PAYLOAD_TEXT, PAYLOAD_ERROR)
     if p.parse_timestamp:
         return (valid.drop(p.error_column, "event_timestamp")
                      .withColumnRenamed(PARSED_TS, "event_timestamp"))

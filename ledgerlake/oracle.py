@@ -317,6 +317,39 @@ SELECT {steady}, CAST(epoch(ts_parsed) AS BIGINT) AS event_epoch FROM silver""")
 SELECT transaction_date, count(*) AS transaction_count, {total()} AS total_transaction_amount,
        {cents(f'({exact()}) / count(amount)')} AS average_transaction_amount
 FROM gold GROUP BY transaction_date""")
+    q["stream_daily_local"] = _with("local", f""",
+arrived AS (
+  SELECT *, CAST(timezone('UTC', ts_parsed) AS TIMESTAMP) AS seen,
+         NOT (timezone('UTC', ts_parsed) < TIMESTAMP '1995-07-01' AND "offset" % 100 <> 14) AS later FROM gold),
+judged AS (
+  SELECT *, later AND transaction_date + INTERVAL 1 DAY <= (SELECT max(seen) FROM arrived WHERE NOT later) - INTERVAL 2 DAY AS late
+  FROM arrived),
+timely AS (
+  SELECT transaction_date, count(*) AS n, {total()} AS s, {cents(f'({exact()}) / count(amount)')} AS a
+  FROM judged WHERE NOT late GROUP BY transaction_date),
+missed AS (SELECT transaction_date, count(*) AS n FROM judged WHERE late GROUP BY transaction_date)
+SELECT transaction_date, coalesce(t.n, 0) AS transaction_count, t.s AS total_transaction_amount,
+       t.a AS average_transaction_amount, coalesce(m.n, 0) AS late_rows
+FROM timely t FULL JOIN missed m USING (transaction_date)
+WHERE transaction_date + INTERVAL 1 DAY <= (SELECT max(seen) FROM arrived) - INTERVAL 2 DAY""")
+    value = """json_object('transaction_id', transaction_id, 'customer_id', customer_id,
+         'account_id', account_id, 'merchant_id', merchant_id,
+         'merchant_category', merchant_category, 'transaction_type', transaction_type,
+         'amount', {}, 'currency', currency, 'payment_method', payment_method,
+         'country', country, 'city', city, 'device_type', device_type, 'status', status,
+         'event_timestamp', event_timestamp)::VARCHAR"""
+    q["malformed_payloads"] = "WITH " + EVENTS.strip() + f""",
+planted AS (
+  SELECT *, "offset" % 1000 AS fault, {value.format('amount')} AS v, {value.format("'n/a'")} AS w FROM ev
+  WHERE "offset" % 1000 IN (22, 24, 26, 28, 30))
+SELECT {_lineage('local')},
+       CASE fault WHEN 22 THEN v[:-2] WHEN 24 THEN concat('[', v, ',', v, ']') WHEN 26 THEN w WHEN 28 THEN '  ' END AS payload_text,
+       CASE fault WHEN 22 THEN 'NOT_JSON' WHEN 24 THEN 'JSON_ARRAY' WHEN 26 THEN 'WRONG_TYPE'
+               WHEN 28 THEN 'EMPTY_PAYLOAD' ELSE 'NO_PAYLOAD' END AS payload_error
+FROM planted"""
+    q["replayed_payloads"] = "WITH " + EVENTS.strip() + f"""
+SELECT {EVENT_COLS}, event_timestamp, {_lineage('local')}
+FROM ev JOIN (VALUES (22), (24), (24)) AS planted(fault) ON "offset" % 1000 = fault"""
     q["exact_sums"] = f"""
 WITH t AS (SELECT l_returnflag, l_linestatus, l_extendedprice * (1 - l_discount)
     * CASE WHEN l_orderkey % 2 = 0 THEN 1e0 ELSE -1e0 END

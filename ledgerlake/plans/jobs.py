@@ -121,10 +121,11 @@ def _write_counted(store: LayerStore, df: DataFrame, layer: str, profile: Profil
     return int(obs.get["rows"])
 
 
-def ingest(messages: DataFrame, store: LayerStore, profile: str | Profile = "local") -> dict:
-    """Bounded ingest: Kafka-shaped messages -> bronze."""
+def ingest(messages: DataFrame, store: LayerStore, profile: str | Profile = "local",
+           keep_raw: bool = False) -> dict:
+    """Bounded ingest: Kafka-shaped messages -> bronze (with the texts of malformed payloads: ``keep_raw``)."""
     p = get_profile(profile)
-    rows = _write_counted(store, bronze_ops.bronze(messages, prefix=p.lineage_prefix),
+    rows = _write_counted(store, bronze_ops.bronze(messages, prefix=p.lineage_prefix, keep_raw=keep_raw),
                           "bronze", p)
     return {"bronze_records": rows}
 

@@ -292,6 +292,53 @@ def incremental_daily_local(spark, sf_dir):
     return partials.merged(spark.read.parquet(path), ["transaction_date"], p.total_name, p.average_name)
 
 
+def stream_daily_local(spark, sf_dir):
+    """The daily metric of closed days from two runs of a stream: the second run brings later days,
+    and rows of earlier days that are late by then."""
+    from ledgerlake.streaming import daily_stream
+    lake = _lake(spark, sf_dir)
+    rows, run = lake.silver("local"), _fresh(lake, "daily-stream")
+    first = (F.col("event_timestamp") < F.lit("1995-07-01").cast("timestamp")) & (F.col("kafka_offset") % 100 != 14)
+    for load in (first, ~first):
+        rows.where(load).write.mode("append").parquet(f"{run}/rows")
+        daily_stream.run_daily_stream(spark.readStream.schema(rows.schema).parquet(f"{run}/rows"), run)
+    p = get_profile("local")
+    return daily_stream.closed_days(spark, run, p.total_name, p.average_name)
+
+
+def _planted_payloads(topic: DataFrame) -> DataFrame:
+    """The topic with payloads cut off, doubled into an array, of a wrong type, blank and missing (by offset)."""
+    at, text = F.col("offset") % 1000, F.col("value").cast("string")
+    bad = (F.when(at == 22, F.expr("substring(CAST(value AS STRING), 1, length(CAST(value AS STRING)) - 1)"))
+           .when(at == 24, F.concat(F.lit("["), text, F.lit(","), text, F.lit("]")))
+           .when(at == 26, F.regexp_replace(text, '"amount":[^,]*', '"amount":"n/a"'))
+           .when(at == 28, F.lit("  ")).when(at == 30, F.lit(None).cast("string")).otherwise(text))
+    return topic.withColumn("value", bad.cast("binary"))
+
+
+def _quarantine_with_payloads(spark, sf_dir) -> DataFrame:
+    lake = _lake(spark, sf_dir)
+    store = jobs.LayerStore(spark, root=_fresh(lake, "payloads"))
+    jobs.ingest(_planted_payloads(lake.topic()), store, "local", keep_raw=True)
+    jobs.quality(store, "local")
+    return store.read("quarantine", "local").where(F.col(bronze_ops.PAYLOAD_ERROR).isNotNull())
+
+
+def malformed_payloads(spark, sf_dir):
+    """Quarantined rows whose payload did not decode: their texts and what is wrong with them."""
+    return _quarantine_with_payloads(spark, sf_dir).select(
+        *_lineage("local"), bronze_ops.PAYLOAD_TEXT, bronze_ops.PAYLOAD_ERROR)
+
+
+def replayed_payloads(spark, sf_dir):
+    """Arrays, and cut-off payloads with their bracket closed, decoded again."""
+    error = F.col(bronze_ops.PAYLOAD_ERROR)
+    again = bronze_ops.replay_messages(
+        _quarantine_with_payloads(spark, sf_dir), "order-events",
+        repair=lambda text: F.when(error == "NOT_JSON", F.concat(text, F.lit("}"))).when(error == "JSON_ARRAY", text))
+    return bronze_ops.bronze(again, keep_raw=True).where(error.isNull()).select(*EVENT_FIELDS, *_lineage("local"))
+
+
 def exact_sums(spark, sf_dir):
     """Sums of amounts of very different sizes, with their bits: signs that cancel, parts of a cent,
     amounts that differ by 2^60."""
@@ -403,5 +450,8 @@ def registry() -> dict[str, Builder]:
         q[f"stream_{layer}_local"] = _stream_quality(layer)
         q[f"published_{layer}_local"] = _published(layer)
     q["incremental_daily_local"] = incremental_daily_local
+    q["stream_daily_local"] = stream_daily_local
+    q["malformed_payloads"] = malformed_payloads
+    q["replayed_payloads"] = replayed_payloads
     q["approved_count"] = approved_count
     return q

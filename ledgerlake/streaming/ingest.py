@@ -43,9 +43,9 @@ def start_stream(df: DataFrame, checkpoint: str, path: str | None = None,
 
 def bronze_stream_from_files(spark: SparkSession, source_path: str, prefix: str = "kafka",
                              max_files_per_trigger: int | None = None,
-                             max_bytes_per_trigger: int | None = None) -> DataFrame:
+                             max_bytes_per_trigger: int | None = None, keep_raw: bool = False) -> DataFrame:
     return bronze(read_message_files_stream(spark, source_path, max_files_per_trigger, max_bytes_per_trigger),
-                  EVENT_SCHEMA, prefix)
+                  EVENT_SCHEMA, prefix, keep_raw=keep_raw)
 
 
 def bronze_stream_from_kafka(spark: SparkSession, options: dict[str, str],
