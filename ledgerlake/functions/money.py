@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.exact_sum import exact_sum, fits
+from ledgerlake.functions.exact_sum import DIGITS, digit_sums, exact_sum, fits, fold
 
 CENTS = "decimal(18,2)"
 
@@ -73,3 +73,67 @@ def total(c: str | Column = "amount", mode: str = "decimal") -> Column:
 
 def average(c: str | Column = "amount", mode: str = "decimal") -> Column:
     return _measure(F.avg, c, mode)
+
+
+# -- mergeable parts: the measures of a coarser grouping from those of a finer one ------------------
+PLAIN, AMOUNTS, OTHERS, WHOLE_CENTS, CENT_SUM = "plain", "amounts", "others", "whole_cents", "cent_sum"
+DIGIT_SUMS = tuple(f"digit{k}" for k in range(DIGITS))
+
+
+def parts(c: str | Column = "amount", mode: str = "decimal") -> list[Column]:
+    """Aggregates of the amounts that add up over groups (:func:`merged_parts`)."""
+    c = _column(c)
+    whole = c.cast("double")
+    out = [F.sum(whole).alias(PLAIN), F.count(c).alias(AMOUNTS)]
+    if mode == "double":
+        return out
+    if mode not in ("decimal", "exact"):
+        raise ValueError(f"unknown money mode {mode!r}")
+    by_digits = whole if mode == "exact" else F.when(~_is_cents(c), whole)
+    if mode == "decimal":
+        out += [F.count_if(_is_cents(c)).alias(WHOLE_CENTS), F.sum(F.when(_is_cents(c), c.try_cast(CENTS))).alias(CENT_SUM)]
+    return [*out, F.count_if(~fits(by_digits)).alias(OTHERS),
+            *[s.alias(n) for s, n in zip(digit_sums(by_digits), DIGIT_SUMS, strict=True)]]
+
+
+def part_names(mode: str = "decimal") -> list[str]:
+    return [PLAIN, AMOUNTS, *([WHOLE_CENTS, CENT_SUM] if mode == "decimal" else []),
+            *([] if mode == "double" else [OTHERS, *DIGIT_SUMS])]
+
+
+def merged_parts(mode: str = "decimal") -> list[Column]:
+    """The parts of a coarser grouping."""
+    return [F.sum(n).alias(n) for n in part_names(mode)]
+
+
+def sum_of_parts(mode: str = "decimal") -> Column:
+    """The sum of a group's parts, not rounded, for :func:`total_of_parts` and :func:`average_of_parts`."""
+    if mode == "double":
+        return F.col(PLAIN)
+    own = fold([F.col(n) for n in DIGIT_SUMS])
+    if mode == "exact":
+        return own
+    cents = F.col(CENT_SUM).cast("double")
+    return F.when(own.isNull(), cents).otherwise(F.coalesce(cents, F.lit(0.0)) + own)
+
+
+def total_of_parts(own: str, mode: str = "decimal") -> Column:
+    """:func:`total` from a group's parts and their sum, the column ``own``."""
+    return _from_parts(own, mode, lambda s: s)
+
+
+def average_of_parts(own: str, mode: str = "decimal") -> Column:
+    """:func:`average` from a group's parts and their sum, the column ``own``."""
+    return _from_parts(own, mode, lambda s: F.try_divide(s, F.col(AMOUNTS)))
+
+
+def _from_parts(own: str, mode: str, measure) -> Column:
+    plain = F.round(measure(F.col(PLAIN)), 2)
+    if mode == "double":
+        return plain
+    out = F.when(F.col(OTHERS) == 0, F.round(measure(F.col(own)), 2)).otherwise(plain)
+    if mode == "exact":
+        return out
+    # a group of whole cents: all of it in decimals (an average has six places before it is rounded)
+    exact = F.round(measure(F.col(CENT_SUM)).cast("decimal(38,6)"), 2).cast("double")
+    return F.when(F.col(AMOUNTS) == F.col(WHOLE_CENTS), exact).otherwise(out)

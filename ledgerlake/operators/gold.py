@@ -2,8 +2,9 @@
 
 Every metric is a grouped aggregate with algebraic measures (count, decimal
 sum, decimal avg), so Spark plans ``partial HashAggregate -> Exchange(hash
-on the keys) -> final HashAggregate``; :func:`all_metrics` computes all five
-tables with one scan and one exchange (grouping sets).  Map-side combining makes a skewed
+on the keys) -> final HashAggregate``; :func:`rolled_up_metrics` computes all five
+tables with three of these, :func:`all_metrics` with one scan and one exchange
+(grouping sets, every row five times).  Map-side combining makes a skewed
 key (one country holding most rows) harmless: each map task ships at most
 one partial row per key.  An output has a row per group (a merchant table as
 many as there are merchants); its optional sort is a range exchange of those.
@@ -12,9 +13,11 @@ many as there are merchants); its optional sort is a range exchange of those.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ledgerlake.functions import money
 from ledgerlake.functions.risk import risk_level, risk_score
@@ -131,6 +134,49 @@ def all_metrics(risk_rows: DataFrame, profile: str | Profile = "local",
                     money.average("amount", money_mode).alias(p.average_name)))
 
 
+# the tables with few groups each: their common grain is small too
+SMALL = ("country", "payment", "risk_summary")
+
+
+def rolled_up_metrics(risk_rows: DataFrame, profile: str | Profile = "local",
+                      money_mode: str = "decimal") -> DataFrame:
+    """:func:`all_metrics` without multiplying the rows.
+
+    Three aggregates, each over its own columns: by day, by merchant, and by
+    (country, payment method, risk level), whose few groups hold mergeable
+    parts (:func:`ledgerlake.functions.money.parts`) from which the three small
+    tables are added up.  The exchange of that grain is planned once and reused.
+
+    The day is not part of the grain: days x countries x methods x levels is
+    more groups than a task has rows to combine, and each would be shuffled.
+    """
+    p = get_profile(profile)
+    specs = metric_specs(p)
+    cols = _key_columns(specs)
+    types = {c: risk_rows.schema[c].dataType for c in cols if c in risk_rows.columns} | {"transaction_date": DateType()}
+
+    n = "transaction_count"
+
+    def groups(name: str) -> DataFrame:
+        keys = specs[name].keys
+        if name in SMALL:
+            return small.groupBy(*keys).agg(F.sum(n).alias(n), *money.merged_parts(money_mode))
+        src = risk_rows.withColumn("transaction_date", transaction_date(p)) if name == "daily" else risk_rows
+        return src.groupBy(*keys).agg(*measures)
+
+    def shaped(name: str) -> DataFrame:
+        keys = [F.col(c) if c in specs[name].keys else F.lit(None).cast(types[c]).alias(c) for c in cols]
+        return groups(name).select(*keys, F.lit(name).alias("metric"), n, *money.part_names(money_mode))
+
+    measures = [F.count(F.lit(1)).alias(n), *money.parts("amount", money_mode)]
+    small = risk_rows.groupBy(*[k for name in SMALL for k in specs[name].keys]).agg(*measures)
+    # the parts of all tables are folded by one projection
+    return reduce(DataFrame.unionByName, [shaped(name) for name in specs]).withColumn(
+        "own", money.sum_of_parts(money_mode)).select(
+        *cols, "metric", n, money.total_of_parts("own", money_mode).alias(p.total_name),
+        money.average_of_parts("own", money_mode).alias(p.average_name))
+
+
 def metric_from_all(combined: DataFrame, name: str, profile: str | Profile = "local",
                     sort: bool | None = None) -> DataFrame:
     """One metric table out of :func:`all_metrics` (same columns and order as

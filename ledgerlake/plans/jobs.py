@@ -174,9 +174,8 @@ def gold(store: LayerStore, profile: str | Profile = "local",
     p = get_profile(profile)
     out = {"gold_risk_records": _write_counted(
         store, gold_ops.add_risk(store.read("silver", p)), "risk_rows", p)}
-    # one scan + one exchange for all five tables, then five splits: each reads
-    # the folder of its own metric only
-    metrics = gold_ops.all_metrics(store.read("risk_rows", p), p, money_mode)
+    # one job for all five tables, then five splits: each reads the folder of its own metric only
+    metrics = gold_ops.rolled_up_metrics(store.read("risk_rows", p), p, money_mode)
     out["gold_metric_groups"] = _write_counted(store, metrics, "metrics_all", p, ["metric"])
     combined = store.read_as(metrics.schema, "metrics_all", p)
     if store.schema:

@@ -43,7 +43,7 @@ def main() -> None:
         ("quality: silver = dedup (one exchange, partial + final aggregate)",
          Q.shape_silver(Q.dedup(valid, ["transaction_id"], Q.survivor_order(p)), p)),
         ("gold: all five metric tables (grouping sets, one exchange)",
-         G.all_metrics(lake.risk_rows(p), p)),
+         G.rolled_up_metrics(lake.risk_rows(p), p)),
         ("gold: one sorted table split out of the combined result",
          G.metric_from_all(lake.gold_all(p), "country", p)),
         ("monitor: the reconciliation record (footer counts, no payload read)",
