@@ -42,7 +42,7 @@ def main() -> None:
         ("quality: quarantine (no exchange)", Q.shape_quarantine(invalid, p)),
         ("quality: silver = dedup (one exchange, partial + final aggregate)",
          Q.shape_silver(Q.dedup(valid, ["transaction_id"], Q.survivor_order(p)), p)),
-        ("gold: all five metric tables (grouping sets, one exchange)",
+        ("gold: all five metric tables (by day, by merchant, and the small grain that three tables are added up from)",
          G.rolled_up_metrics(lake.risk_rows(p), p)),
         ("gold: one sorted table split out of the combined result",
          G.metric_from_all(lake.gold_all(p), "country", p)),
