@@ -5,7 +5,8 @@ transaction id within a watermark on the message time: the state keeps an id
 until the watermark has passed it, so its size is that of the ids of the
 watermark's span.  A copy within it is dropped also if it comes in another
 micro-batch or run; one that comes later is kept, and a row older than the
-watermark is left out as late.  Invalid rows are kept one by one.
+watermark is late: neither sink gets it, and :func:`left_out` finds it.  Invalid
+rows are kept one by one.
 
 Each micro-batch writes its quarantine and its silver rows to folders of its
 own number.  A micro-batch that failed between the two writes runs again with
@@ -22,6 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.functions.rules import Profile, get_profile, is_valid
 from ledgerlake.operators import quality
+from ledgerlake.operators.bronze import bronze
+from ledgerlake.schema import EVENT_SCHEMA, KAFKA_SCHEMA
 from ledgerlake.streaming.ingest import bronze_stream_from_files
 
 KEY = "_dedup_key"
@@ -65,6 +68,25 @@ def run_quality_stream(spark: SparkSession, source_path: str, run_dir: str, prof
     return query
 
 
+def left_out(spark: SparkSession, source_path: str, run_dir: str, profile: str | Profile = "local") -> DataFrame:
+    """The validated rows of the source that neither layer stands for: valid ones whose transaction id
+    silver does not hold, invalid ones that quarantine does not hold (by log position).  After a run
+    these are the rows that came behind the watermark.  Both checks are joins by key, so a row of the source
+    is in silver, a copy of one there, in quarantine, or here."""
+    p = get_profile(profile)
+    pre = p.lineage_prefix
+    rows = quality.validate(bronze(spark.read.schema(KAFKA_SCHEMA).parquet(source_path), EVENT_SCHEMA, pre), p)
+    valid, invalid = quality.split(rows, p)
+
+    def unseen(mine: DataFrame, layer: str, keys: list[str]) -> DataFrame:
+        seen = read_layer(spark, run_dir, layer).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+        on = [mine[k].eqNullSafe(seen[f"_{k}"]) for k in keys]
+        return mine.join(seen, on, "left_anti")
+
+    return unseen(valid, "silver", ["transaction_id"]).unionByName(
+        unseen(invalid, "quarantine", [f"{pre}_partition", f"{pre}_offset"]))
+
+
 def read_layer(spark: SparkSession, run_dir: str, layer: str) -> DataFrame:
     """All micro-batches of ``silver`` or ``quarantine``."""
     return spark.read.parquet(f"{run_dir}/{layer}").drop("batch")

@@ -11,7 +11,7 @@ from ledgerlake.operators import lineage, partials
 from ledgerlake.operators.bronze import encode_messages
 from ledgerlake.plans import jobs, published
 from ledgerlake.plans.jobs import LayerStore
-from ledgerlake.streaming.quality_stream import read_layer, run_quality_stream
+from ledgerlake.streaming.quality_stream import left_out, read_layer, run_quality_stream
 from tests.helpers import event, events_df
 
 
@@ -147,3 +147,18 @@ def test_silver_and_quarantine_appear_together(spark, tmp_path, monkeypatch):
     now = out.current()
     assert (now.read("silver").count(), now.read("quarantine").count()) == (6, 3)
     assert first.read("silver").count() == 4          # who has resolved the earlier run goes on with it
+
+
+def test_every_row_is_in_a_layer_or_a_copy_or_left_out(spark, tmp_path):
+    src, run = str(tmp_path / "topic"), str(tmp_path / "run")
+    start = 1_700_000_000
+    messages(spark, src, [("a", start, "USD"), ("a", start + 1, "USD"), ("x", start, "???")], 0)
+    run_quality_stream(spark, src, run)
+    assert left_out(spark, src, run).count() == 0
+    messages(spark, src, [("d", start + 7200, "USD")], 100)        # moves the watermark on
+    run_quality_stream(spark, src, run)
+    messages(spark, src, [("late", start, "USD"), ("a", start, "USD"), ("x", start, "???"), ("e", start + 7300, "USD")], 200)
+    run_quality_stream(spark, src, run)
+    got = left_out(spark, src, run).select("transaction_id", "kafka_offset").collect()
+    assert sorted(map(tuple, got)) == [("late", 200), ("x", 202)]   # the late copy of a has a in silver
+    assert sorted(x[0] for x in read_layer(spark, run, "silver").select("transaction_id").collect()) == ["a", "d", "e"]
