@@ -6,8 +6,8 @@ So each text is cut into segments, the stretches of windows that share one
 minimizer, and what has to be compared meets where the minimizer's hash sends
 it.
 
-1. Segments that are equal (64 bits of the minimizer's hash and 64 of the segment's)
-   to an earlier one are repeats as a whole; most repeated text ends here.  Each task first keeps the earliest of
+1. Segments that are equal to an earlier one (by a digest of 128 bits, beside the 64 of the
+   minimizer's hash) are repeats as a whole; most repeated text ends here.  Each task first keeps the earliest of
    its own copies, so a passage in a third of all rows is sent once per task.
 2. Different segments of one minimizer (the rims of passages, edits) are
    compared by text: a run-length index of the earlier ones is built, and the
@@ -64,6 +64,11 @@ def gram_hashes(buffer: bytes, k: int = K) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _halves(digest: np.ndarray) -> np.ndarray:
+    """Digests of 16 bytes as two columns of 64 bits."""
+    return np.ascontiguousarray(digest).view("<u8").reshape(-1, 2)
+
+
 def segments(texts: list[bytes], n: int = N, k: int = K):
     """The segments of some texts: (minimizer hash, digest, text number, start, windows) arrays."""
     import xxhash
@@ -94,10 +99,10 @@ def segments(texts: list[bytes], n: int = N, k: int = K):
         count = np.diff(np.r_[turn, len(place)])
         turn, count = turn[whole[turn]], count[whole[turn]]
         view = memoryview(part)
-        digest = np.fromiter((xxhash.xxh3_64_intdigest(view[a:a + c + n - 1]) for a, c in
-                              zip(turn.tolist(), count.tolist(), strict=True)), np.uint64, len(turn))
+        digest = np.fromiter((xxhash.xxh3_128_digest(view[a:a + c + n - 1]) for a, c in
+                              zip(turn.tolist(), count.tolist(), strict=True)), "S16", len(turn))
         out.append((h[place[turn]], digest, doc[turn], base + turn - begins[doc[turn]], count))
-    empty = [np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]
+    empty = [np.zeros(0, t) for t in (np.uint64, "S16", np.int64, np.int64, np.int64)]
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else tuple(empty)
 
 
@@ -105,14 +110,14 @@ def _pack(gram, digest, doc, start, count) -> bytes:
     """Segments in columns, documents by number in a table before them: the shuffle compresses it well."""
     names, number = np.unique(doc, return_inverse=True)
     return b"".join([np.array([len(names), len(gram)], "<i8").tobytes(), names.astype("<i8").tobytes(),
-                     gram.astype("<u8").tobytes(), digest.astype("<u8").tobytes(), number.astype("<u4").tobytes(),
+                     gram.astype("<u8").tobytes(), digest.tobytes(), number.astype("<u4").tobytes(),
                      start.astype("<u4").tobytes(), count.astype("<u4").tobytes()])
 
 
 def _unpack(data: bytes):
     names, n = np.frombuffer(data, "<i8", 2)
     at, out = 16, []
-    for kind, size in (("<i8", names), ("<u8", n), ("<u8", n), ("<u4", n), ("<u4", n), ("<u4", n)):
+    for kind, size in (("<i8", names), ("<u8", n), ("S16", n), ("<u4", n), ("<u4", n), ("<u4", n)):
         out.append(np.frombuffer(data, kind, size, at))
         at += out[-1].nbytes
     table, gram, digest, number, start, count = out
@@ -121,7 +126,8 @@ def _unpack(data: bytes):
 
 def _earliest(gram, digest, doc, start, count):
     """The segments in order (minimizer, digest, document, start); which is the first of its equals."""
-    order = np.lexsort((start, doc, digest, gram))
+    low, high = _halves(digest).T
+    order = np.lexsort((start, doc, high, low, gram))
     sorted_ = tuple(x[order] for x in (gram, digest, doc, start, count))
     g, d = sorted_[:2]
     return sorted_, np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])] if len(g) else np.zeros(0, bool)
@@ -162,6 +168,7 @@ def _hot(docs: DataFrame, n: int, k: int, most_segments: int) -> np.ndarray:
     def run(batches):
         for batch in batches:
             gram, digest, *_ = segments([x or b"" for x in batch.column("text").to_pylist()], n, k)
+            digest = _halves(digest)[:, 0]
             some = digest % np.uint64(share) == 0
             yield pa.RecordBatch.from_arrays([pa.array(x[some].view(np.int64)) for x in (gram, digest)],
                                              names=["gram", "digest"])
@@ -188,7 +195,7 @@ def _cut(docs: DataFrame, buckets: int, n: int, k: int, hot) -> DataFrame:
         def flush():
             (gram, digest, doc, start, count), first = _earliest(*(np.concatenate(x) for x in zip(*held, strict=True)))
             held.clear()
-            dealt = np.where(_is_hot(gram, hot.value), gram ^ (digest * MIX[0]), gram)
+            dealt = np.where(_is_hot(gram, hot.value), gram ^ (_halves(digest)[:, 0] * MIX[0]), gram)
             bucket = (dealt % np.uint64(buckets)).astype(np.int64)
             own = np.flatnonzero(first)
             own = own[np.lexsort((start[own], doc[own], bucket[own]))]
