@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from ledgerlake.session import shared_dir
 
 FILE, ROW = "_loc_file", "_loc_row"
+# In the metadata of columns: a locator is told by it, not by its name; the name that a column had.
+IS_LOCATOR, OWN_NAME = "ledgerlake.locator", "ledgerlake.own_name"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Logical plans that give at most one row for each row they read.
 ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "View", "ResolvedHint"}
@@ -78,12 +80,15 @@ def located(docs: DataFrame) -> DataFrame:
     repeated rows apart.  Rows that are not read from Parquet files, and rows of
     any plan that is more than a scan with projections and filters (``explode``
     gives many rows for one, a union may read a file twice), are written to the
-    shared folder first.  Rows that have locators keep them.
+    shared folder first.  Rows that have locators keep them.  A column of the documents with a
+    locator's name has another one meanwhile: ``carried`` gives it back.
     """
-    if FILE in docs.columns:
+    if any(f.name == FILE and f.metadata.get(IS_LOCATOR) for f in docs.schema.fields):
         return docs
-    where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(ROW)]
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    where = [F.col(f"_metadata.{c}").alias(name, metadata={IS_LOCATOR: True})
+             for c, name in (("file_path", FILE), ("row_index", ROW))]
+    columns = [F.col(f"`{c}`") if c.lower() not in (FILE, ROW) else
+               F.col(f"`{c}`").alias(fresh([*docs.columns, FILE, ROW], c), metadata={OWN_NAME: c}) for c in docs.columns]
     if bare_scan(docs):
         try:
             return docs.select(*columns, *where)
@@ -92,6 +97,13 @@ def located(docs: DataFrame) -> DataFrame:
     return materialise(docs, "located").select(*columns, *where)
 
 
+def carried(docs: DataFrame) -> list[Column]:
+    """The columns of ``located`` documents but the locators, by their own names."""
+    rest = [f for f in docs.schema.fields if not f.metadata.get(IS_LOCATOR)]
+    return [F.col(f"`{f.name}`").alias(f.metadata[OWN_NAME], metadata={}) if OWN_NAME in f.metadata
+            else F.col(f"`{f.name}`") for f in rest]
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of ``located`` documents that ``dropped`` does not list, with the columns of the documents.
 
@@ -106,8 +118,7 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     on = [docs[FILE] == maps[file], F.expr(f"{ROW} div {PAGE_BITS}") == maps[page]]
     byte = F.conv(F.hex(F.expr(f"substring({bits}, cast(({ROW} % {PAGE_BITS}) div 8 + 1 as int), 1)")), 16, 10).cast("int")
     is_set = F.coalesce(byte.bitwiseAND(F.expr(f"1 << cast({ROW} % 8 as int)")) != 0, F.lit(False))
-    names = [c for c in docs.columns if c not in (FILE, ROW)]
-    return docs.join(maps, on, "left").where(~is_set).select(*[docs[f"`{c}`"] for c in names])
+    return docs.join(maps, on, "left").where(~is_set).select(*carried(docs))
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:

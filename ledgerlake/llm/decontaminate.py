@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import FILE, LOWER, ROW, UPPER, arrow_map, fresh, located, materialise, prepare
+from ledgerlake.llm.common import FILE, LOWER, ROW, UPPER, arrow_map, carried, fresh, located, materialise, prepare
 
 # word bytes: digits, a-z and all of a non-ASCII character; other bytes become a blank
 TABLE = bytes(ord(LOWER[UPPER.index(chr(b))]) if chr(b) in UPPER
@@ -155,7 +155,7 @@ def _scan_parts(docs: DataFrame, parts: list[DataFrame], text_col: str, into: st
     own = [fresh(had, "ranges"), fresh(had, "items")]
     per_row = hits.groupBy(FILE, ROW).agg(F.flatten(F.collect_list("ranges")).alias(own[0]),
                                           F.flatten(F.collect_list("items")).alias(own[1]))
-    joined = docs.join(per_row, [FILE, ROW], "left").select(*[f"`{c}`" for c in [*had, *own]])
+    joined = docs.join(per_row, [FILE, ROW], "left").select(*carried(docs), *own)
 
     def run(batches):
         for batch in batches:

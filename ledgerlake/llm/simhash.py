@@ -105,7 +105,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ["id", FILE, ROW], "text", words), "simhash-prints")
     nodes = materialise(prints.groupBy("fp").agg(
         F.min("id").alias("least"),
-        F.min(F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), FILE, ROW)).alias("first")),
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", FILE, ROW)).alias("first")),      # null ids last
         "simhash-nodes")
     edges = materialise(links(nodes.select("fp"), radius), "simhash-links")
     roots = components(edges, "a", "b")

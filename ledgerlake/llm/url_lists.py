@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import FILE, ROW, located
+from ledgerlake.llm.common import FILE, ROW, carried, located
 
 PERIOD = 32      # days
 
@@ -59,7 +59,8 @@ def judge(captures: DataFrame, intervals: DataFrame, id_col: str, url_col: str,
     the added ones are replaced.
     """
     captures = captures.drop("host", "lists", "pattern", "blocked")
-    host = located(captures).withColumn("host", host_of(F.col(url_col)))
+    captures = located(captures)
+    host = captures.withColumn("host", host_of(F.col(url_col)))
     asked = host.select(FILE, ROW, F.col(day_col).alias("day"), F.explode(suffixes(F.col("host"))).alias("pattern"))
     asked = asked.withColumn("period", F.floor(F.col("day") / period))
     upto = F.coalesce(F.col("valid_to"), F.lit(last_day + 1))
@@ -69,6 +70,6 @@ def judge(captures: DataFrame, intervals: DataFrame, id_col: str, url_col: str,
            .groupBy(FILE, ROW).agg(F.sort_array(F.collect_set("list")).alias("lists"),
                                 F.max(F.struct(F.length("pattern").alias("n"), "pattern")).alias("top")))
     return host.join(met, [FILE, ROW], "left").select(
-        *[f"`{c}`" for c in captures.columns], "host",
+        *carried(captures), "host",
         F.coalesce(F.array_join("lists", ","), F.lit("")).alias("lists"),
         F.col("top.pattern").alias("pattern"), F.col("lists").isNotNull().alias("blocked"))

@@ -58,3 +58,51 @@ def test_repeats_of_long_windows(spark, n):
         want += sum(hit)
     found = repeats.repeats(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string"), n=n)
     assert found.select(F.explode("removed").alias("x")).agg(F.sum(F.expr("x.b - x.a"))).first()[0] == want
+
+
+LOCATORS = "doc_id long, text string, source string, _loc_file string, _LOC_ROW string, _loc_file1 int"
+
+
+def test_columns_with_the_names_of_locators_come_back(spark, tmp_path):
+    from ledgerlake.llm import secrets, simhash, url_lists
+
+    rows = [(i, f"text {i % 4} of some more words", "s", f"f{i}", f"r{i}", i) for i in range(8)]
+    spark.createDataFrame(rows, LOCATORS).write.parquet(str(tmp_path / "d"))
+    for docs in (spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(rows, LOCATORS)):
+        got = exact_dedup.drop_copies(docs)
+        assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == rows[4:]
+        again = exact_dedup.drop_copies(got.withColumnRenamed("_loc_file", "other"))
+        assert again.columns[3] == "other" and sorted(map(tuple, again.collect())) == rows[4:]
+        near = simhash.drop_near_copies(docs)
+        assert near.columns == docs.columns and set(map(tuple, near.collect())) <= set(rows[:4])
+        assert simhash.simhash_groups(docs).count() == secrets.secret_scan(docs).count() == 8
+        bench = spark.createDataFrame([("a", "text 1 of some more words"), ("b", "text 2 of some more words")], "item_id string, text string")
+        scanned = decontaminate.scan_docs(docs, bench, most_bytes=20)
+        assert scanned.columns == [*docs.columns, "_scan"] and sorted(tuple(x)[:6] for x in scanned.collect()) == rows
+        captures = docs.selectExpr("doc_id as page_id", "'http://x.a.b' as url", "1 as day", "_loc_file", "_LOC_ROW")
+        entries = spark.createDataFrame([("L", "a.b", 0, "add")], "list string, pattern string, day int, action string")
+        judged = url_lists.judge(captures, url_lists.validity(entries), "page_id", "url", "day", 5)
+        assert judged.columns[:5] == captures.columns
+        assert sorted((x[0], x[3], x[4], x["blocked"]) for x in judged.collect()) == [(i, f"f{i}", f"r{i}", True) for i in range(8)]
+
+
+def test_simhash_of_string_ids(spark):
+    from ledgerlake.llm import simhash
+
+    rows = [("b", "one two three four"), ("a", "one two three four"), (None, "one two three four"), ("c", "other words are here now")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: (r["component_id"], r["stays"]) for r in simhash.simhash_groups(docs).collect()}
+    assert got == {"b": ("a", False), "a": ("a", True), None: ("a", False), "c": ("c", True)}
+
+
+def test_equal_segments_are_told_by_all_bytes_of_their_digest(monkeypatch):
+    import numpy as np
+
+    digest = np.array([b"a" * 15 + b"x", b"a" * 15 + b"y", b"a" * 15 + b"x", b"\0" * 16], "S16")
+    zero = np.zeros(4, np.int64)
+    _, first = repeats._earliest(zero.astype(np.uint64), digest, np.arange(4), zero, zero + 1)
+    assert first.sum() == 3
+    packed = repeats._unpack(repeats._pack(zero.astype(np.uint64), digest, np.arange(4), zero, zero + 1))
+    assert (packed[1] == digest).all() and packed[2].tolist() == [0, 1, 2, 3]
+    text = bytes(range(32, 127)) * 20
+    assert repeats.segments([text, text])[1].dtype.itemsize == 16
