@@ -168,6 +168,13 @@ def worker_state() -> dict:
     return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
 
 
+def forget() -> None:
+    """Drop what operators have kept in this worker: one that is short of memory takes its place."""
+    own = worker_state()
+    for key in [k for k in own if not isinstance(k, str)]:
+        del own[key]
+
+
 def texts(batch, column: str) -> list[str]:
     """A string column of an Arrow batch, null as the empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import FILE, ROW, give_back, located, materialise, prepare, texts
+from ledgerlake.llm.common import FILE, ROW, forget, give_back, located, materialise, prepare, texts
 from ledgerlake.llm.tokens import Encoder
 
 CAPACITY, END_ID, SEED = 2048, 1, 20240501
@@ -64,6 +64,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
+        if not keep_words:
+            forget()
         encoder = Encoder.of(tokenizer_file, keep_words, added_tokens)
         for batch in batches:
             ids, counts = encoder.encode(texts(batch, "text"))

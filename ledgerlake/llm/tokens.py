@@ -65,9 +65,11 @@ class Encoder:
     ``most_words``: the bound of the store of encoded cuts.
     ``added_tokens``: the file's added tokens are found in texts, as the library does by itself;
     without, their strings are ordinary text.
+    ``group_chars``: how much text is cut into words at a time, about.
     """
 
-    def __init__(self, tokenizer_file: str, most_words: int = 1_000_000, added_tokens: bool = False):
+    def __init__(self, tokenizer_file: str, most_words: int = 1_000_000, added_tokens: bool = False,
+                 group_chars: int = GROUP_CHARS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -80,7 +82,7 @@ class Encoder:
         else:
             self.tokenizer.encode_special_tokens = True
             self.added = None
-        self.most_words = most_words
+        self.most_words, self.group_chars = most_words, group_chars
         self.alphabet = byte_alphabet()
         parts = str(self.tokenizer.pre_tokenizer)
         self.lower = str(self.tokenizer.normalizer) == \
@@ -98,7 +100,7 @@ class Encoder:
     def of(cls, tokenizer_file: str, keep_words: bool = True, added_tokens: bool = False) -> "Encoder":
         """The worker's encoder of this file, or one for a single task."""
         if not keep_words:
-            return cls(tokenizer_file, 100_000, added_tokens)
+            return cls(tokenizer_file, 100_000, added_tokens, GROUP_CHARS // 4)
         key = ("encoder", tokenizer_file, added_tokens)
         state = worker_state()
         if key not in state:
@@ -148,9 +150,9 @@ class Encoder:
         self.ids[begin:end] = np.fromiter(chain.from_iterable(found), np.uint32, end - begin)
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and each text's number of them; about ``GROUP_CHARS`` at a time,
+        """Ids of all texts, and each text's number of them; about ``group_chars`` at a time,
         whole texts, as the cuts take many times the memory of the text."""
-        group = np.cumsum([0, *map(len, texts)])[:-1] // GROUP_CHARS if len(texts) else np.zeros(0, np.int64)
+        group = np.cumsum([0, *map(len, texts)])[:-1] // self.group_chars if len(texts) else np.zeros(0, np.int64)
         starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
         parts = [self._encode(texts[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))

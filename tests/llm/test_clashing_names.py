@@ -106,3 +106,10 @@ def test_equal_segments_are_told_by_all_bytes_of_their_digest(monkeypatch):
     assert (packed[1] == digest).all() and packed[2].tolist() == [0, 1, 2, 3]
     text = bytes(range(32, 127)) * 20
     assert repeats.segments([text, text])[1].dtype.itemsize == 16
+
+
+def test_packing_without_a_store_forgets_what_other_operators_kept():
+    state = common.worker_state()
+    state[("pieces", "some file")] = 1
+    common.forget()
+    assert ("pieces", "some file") not in state and "__name__" in state
