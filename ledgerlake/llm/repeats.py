@@ -15,8 +15,10 @@ it.
    be exact, the segments of a minimizer, in order, are halved again and again:
    every right half is streamed over an index of its left half.  All halves of
    one size share an index; each pair of halves has symbols of its own.
-3. Minimizers with very many different segments (``most_segments``) are compared
-   window by window instead, by digests that are combined in each task first.  They
+3. Minimizers with very many different segments (``most_segments``) are compared by
+   pieces of these: equal pieces meet by digests that are combined in each task first, and
+   different ones only where the bytes that all their windows would share are equal; where
+   very many meet even so, they are cut into smaller pieces, down to single windows.  They
    are known before step 1 from a count of the different segments whose digest is one
    of ``share``; theirs are dealt by minimizer and digest, so equal ones still meet and
    no task gathers all of a minimizer.  The count only chooses the way: the result is
@@ -337,11 +339,12 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(per_doc, "doc").mapInArrow(run, "gram long, doc long, a long, text binary")
 
 
-def _by_index(stretches: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
-    """Spans of stretches that occur in an earlier stretch of the same minimizer."""
+def _by_index(stretches: DataFrame, buckets: int, n: int, label_of) -> DataFrame:
+    """Spans of stretches that occur in an earlier stretch of the same ``gram``; ``label_of`` (gram, texts)
+    groups them further: those with different labels have no window in common."""
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["gram", "doc", "a"], ignore_index=True)
-        label = related(pdf["gram"].to_numpy(), pdf["text"].tolist(), n, k)
+        label = label_of(pdf["gram"].to_numpy(), pdf["text"].tolist())
         some = np.bincount(label, minlength=len(pdf))[label] > 1      # others share no window
         pdf, label = pdf[some], label[some]
         hits = earlier_windows(label, pdf["text"].tolist(), n)
@@ -354,28 +357,93 @@ def _by_index(stretches: DataFrame, buckets: int, n: int, k: int) -> DataFrame:
         d, s, e = _merged(np.repeat(doc, many), at, at + n)
         return pd.DataFrame({"doc": d, "a": s, "b": e})
 
-    return (stretches.withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
+    return (stretches.select("gram", "doc", "a", "text").withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
             .groupBy("bucket").applyInPandas(compare, "doc long, a long, b long"))
 
 
-def _by_window(stretches: DataFrame, n: int) -> DataFrame:
-    """The same, window by window: the earliest start of each window, and all others."""
+def places(gram: np.ndarray, texts: list[bytes], n: int = N, k: int = K) -> np.ndarray:
+    """Where the minimizer of all windows of each segment starts in it: the first in the last window."""
+    m = len(texts)
+    sizes = np.fromiter(map(len, texts), np.int64, m)
+    begins = np.cumsum(sizes) - sizes
+    h = gram_hashes(b"".join(texts), k)
+    owner = np.repeat(np.arange(m), sizes)[:len(h)]
+    at = np.flatnonzero((h == gram.view(np.uint64)[owner]) & (np.arange(len(h)) >= (begins + sizes - n)[owner]))[::-1]
+    place = np.zeros(m, np.int64)
+    place[owner[at]] = at - begins[owner[at]]
+    return place
+
+
+PIECES = "piece binary, gram long, doc long, a long, place long, text binary"
+
+
+def _pieces(stretches: DataFrame, windows: int, n: int, k: int) -> DataFrame:
+    """Stretches cut into pieces of at most ``windows`` windows, by the minimizer's place in the window.
+
+    ``gram``: a hash of the bytes that all windows of such a piece have, wherever it is; equal windows
+    lie in pieces with equal ones.  ``piece``: a digest of the text; ``place``: the minimizer's.
+    """
     def run(batches):
         import xxhash
 
         for batch in batches:
-            rows = [(xxhash.xxh3_128_digest(t[i:i + n]), d, a + i) for d, a, t in zip(
-                *(batch.column(c).to_pylist() for c in ("doc", "a", "text")), strict=True) for i in range(len(t) - n + 1)]
-            for i in range(0, len(rows), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(
-                    zip(*rows[i:i + 50_000], strict=True), (pa.binary(), pa.int64(), pa.int64()), strict=True)],
-                    names=["window", "doc", "a"])
+            if not batch.num_rows:
+                continue
+            own = batch.column("text").to_pylist()
+            place = (batch.column("place").to_numpy() if "place" in batch.schema.names else
+                     places(batch.column("gram").to_numpy(), own, n, k))
+            rows = []
+            for d, a, p, t in zip(batch.column("doc").to_pylist(), batch.column("a").to_pylist(), place.tolist(), own, strict=True):
+                least = p - len(t) + n                  # the minimizer's place in the last window; p: in the first
+                for q in range(least // windows, p // windows + 1):
+                    low, high = q * windows, min(q * windows + windows - 1, n - k)
+                    first, last = min(high, p), max(low, least)
+                    text = t[p - first:p - last + n]
+                    rows.append((xxhash.xxh3_128_digest(text), xxhash.xxh3_64_intdigest(t[p - low:p - high + n], low),
+                                 d, a + p - first, first, text))
+            for i in range(0, len(rows), 20_000):
+                piece, gram, d, a, p, text = zip(*rows[i:i + 20_000], strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(piece, pa.binary()), pa.array(np.array(gram, np.uint64).view(np.int64)),
+                     *(pa.array(c, pa.int64()) for c in (d, a, p)), pa.array(text, pa.binary())],
+                    names=["piece", "gram", "doc", "a", "place", "text"])
 
-    windows = materialise(stretches.mapInArrow(run, "window binary, doc long, a long"), "repeat-windows")
-    earliest = materialise(windows.groupBy("window").agg(F.min(F.struct("doc", "a")).alias("first"), F.count(F.lit(1)).alias("n"))
-                           .where("n > 1").drop("n"), "repeat-earliest")
-    return (windows.join(earliest, "window").where(F.struct("doc", "a") != F.col("first"))
-            .select("doc", "a", (F.col("a") + n).alias("b")))
+    return stretches.mapInArrow(run, PIECES)
+
+
+def _by_piece(stretches: DataFrame, n: int, k: int, most_segments: int) -> list[DataFrame]:
+    """The same for minimizers that no task gathers: by ever smaller pieces of their stretches.
+
+    Equal pieces but the earliest are repeats as a whole.  Of the others, those that are alone with their
+    common bytes share no window, few ones are compared by index, and only where very many different ones
+    meet they are cut again, down to single windows.
+    """
+    spans, windows, open_ = [], n - k + 1, stretches
+    where = F.struct("doc", "a")
+    while open_ is not None:
+        windows = -(-windows // (2 if open_ is stretches else 4))
+        pieces = materialise(_pieces(open_, windows, n, k), "repeat-pieces")
+        firsts = materialise(pieces.groupBy("gram", "piece").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")),
+                             "repeat-firsts")
+        copied = firsts.where("n > 1").select("piece", "gram", "first")
+        spans.append(pieces.join(copied, ["gram", "piece"]).where(where != F.col("first"))
+                     .select("doc", "a", (F.col("a") + F.octet_length("text")).alias("b")))
+        open_ = None
+        if windows == 1:
+            break
+        sizes = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        few, largest = sizes.agg(F.sum(F.when(F.col("size") <= most_segments, F.col("size"))), F.max("size")).first()
+        if not largest:
+            break
+        meeting = firsts.join(sizes, "gram").select("gram", "piece", "first", "size")
+        meeting = pieces.join(meeting, ["gram", "piece"]).where(where == F.col("first"))
+        if few:
+            buckets = max(int(stretches.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-few // INDEX_SEGMENTS))
+            spans.append(_by_index(meeting.where(F.col("size") <= most_segments), buckets, n,
+                                   lambda gram, texts: np.unique(gram, return_inverse=True)[1]))
+        if largest > most_segments:
+            open_ = meeting.where(F.col("size") > most_segments).select("doc", "a", "place", "text")
+    return spans
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -405,10 +473,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     if counts[0]:
         index_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-counts[0] // INDEX_SEGMENTS))
         stretches = _texts_of(open_.where(F.col("kind") <= most_segments).select("doc", "gram", "a", "b"), rows)
-        spans = spans.unionAll(_by_index(stretches, index_buckets, n, k))
+        spans = spans.unionAll(_by_index(stretches, index_buckets, n, lambda gram, texts: related(gram, texts, n, k)))
         if counts[1] > most_segments:
             large = _texts_of(open_.where(F.col("kind") > most_segments).select("doc", "gram", "a", "b"), rows)
-            spans = spans.unionAll(_by_window(large, n))
+            for own in _by_piece(large, n, k, most_segments):
+                spans = spans.unionAll(own)
     per_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))   # as many as the text's own
 
     def run(batches):

@@ -572,6 +572,50 @@ def test_no_task_gathers_a_hot_minimizer(spark, monkeypatch, most_segments):
     assert max(map(len, met.values())) <= 120                    # of 400; 8 buckets
 
 
+def hot_texts(passage, shared):
+    """Texts with a passage of fewer than 100 bytes, beside which some have bytes in common."""
+    r = random.Random(6)
+    own = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    left, right = own(40), own(40)
+    return [own(90) + (left[-i % shared:] if shared else "") + passage + (right[:i % shared] if shared else "") + own(90)
+            for i in range(400)]
+
+
+def made_by_repeats(spark, monkeypatch, texts, most_segments):
+    """The spans, and the most rows that were written for comparisons of hot minimizers."""
+    seen, write = [], repeats.materialise
+    monkeypatch.setattr(repeats, "materialise", lambda df, name: seen.append((name, write(df, name))) or seen[-1][1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x.doc_id: ([tuple(s) for s in x.removed], bytes(x.kept))
+           for x in repeats.repeats(docs, most_segments=most_segments).collect()}
+    assert got == plain_repeats(texts)
+    return [(name, df.count()) for name, df in seen if name != "repeat-segments"]
+
+
+def test_a_hot_minimizer_without_common_windows_is_not_expanded(spark, monkeypatch):
+    made = made_by_repeats(spark, monkeypatch, hot_texts("the same sixty bytes in all of the texts, and no more of them", 0), 16)
+    assert made and max(n for _, n in made) <= 4 * 400          # pieces; single windows are over ten times as many
+
+
+@pytest.mark.parametrize("most_segments", [1, 8, 64])
+def test_hot_minimizers_are_cut_down_to_windows(spark, monkeypatch, most_segments):
+    made = made_by_repeats(spark, monkeypatch, hot_texts("a line that all texts have, it is of seventy or so bytes in length....", 30),
+                           most_segments)
+    if most_segments == 1:
+        assert [name for name, _ in made].count("repeat-pieces") == 4      # of 39, 10, 3 windows and 1
+
+
+def test_the_place_of_a_minimizer(texts):
+    data = [(t or "").encode() for t in texts]
+    gram, _, doc, start, count = repeats.segments(data)
+    own = [data[d][a:a + c + 99] for d, a, c in zip(doc, start, count, strict=True)]
+    h = np.uint64((1 << 64) - 1) ^ repeats.POSITION
+    for g, text, c, p in zip(gram, own, count.tolist(), repeats.places(gram.view(np.int64), own).tolist(), strict=True):
+        keys = (repeats.gram_hashes(text) & h).tolist()
+        assert all(i + int(np.argmin(keys[i:i + 77])) == p for i in range(c))
+        assert repeats.gram_hashes(text[p:p + 24])[0] == g
+
+
 def symbols(strings):
     return np.frombuffer("".join(strings).encode(), np.uint8).astype(np.int64), np.array([len(x) for x in strings])
 
