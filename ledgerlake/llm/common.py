@@ -9,6 +9,7 @@ import types
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,6 +157,7 @@ def give_back() -> None:
     """Return a Python worker's freed memory to the machine, at the end of a task that held much:
     workers live on, and other stages need it.  Nothing happens where the C library has no such call."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):

@@ -3,9 +3,12 @@
 A tokenizer of the ``tokenizers`` library splits a text into words and encodes
 each by itself.  Most words of a corpus repeat, so the ids of a word are kept
 for the life of the Python worker (up to a bound, then the store starts anew)
-and a text costs one look-up per word.  Texts are cut before white space: no
+and a text costs one look-up per different word of a group of texts, whose words
+Arrow cuts and numbers as columns.  Texts are cut before white space: no
 word of either pattern goes on from another character into white space, so the
-ids of the cuts, in order, are those of the text.  A text with an added token
+ids of the cuts, in order, are those of the text.  A sign such as a comma between
+a letter and white space is a cut of its own: there are fewer different ones.
+A text with an added token
 of the tokenizer's file (such as ``<|endoftext|>``) goes to the library whole.
 """
 
@@ -19,6 +22,8 @@ from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerlake.llm.common import worker_state
 
@@ -28,7 +33,7 @@ LATIN_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 LATIN_NUMBERS = "0-9²³¹¼-¾"
 LATIN_SPACE = "\t-\r \x85\xa0"
 LAST_LATIN = "ſ"
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 4_000_000
 BYTE_WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN_LETTERS}]+| ?[{LATIN_NUMBERS}]+"
               rf"| ?[^{LATIN_SPACE}{LATIN_LETTERS}{LATIN_NUMBERS}]+|[{LATIN_SPACE}]+(?![^{LATIN_SPACE}])|[{LATIN_SPACE}]+")
 PLAIN_WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
@@ -36,6 +41,10 @@ PLAIN_WORDS = (rf"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN_LETTERS}]+|[{LATIN_NUMBERS}]"
 # Cuts that the patterns above split as the library does.
 KNOWN = re.compile(rf"[\t\n\r -{LAST_LATIN}]*\Z")
 CUTS = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+# Texts (of Arrow, patterns of RE2) with more than one blank or line feed between words, or a mark.
+ODD = (r"^[ \n]|[ \n]$|[ \n][ \n]|[\t\x01\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+       r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+SIGN = r"([A-Za-z])([,.;:?!])( |$)"
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -100,7 +109,7 @@ class Encoder:
     def of(cls, tokenizer_file: str, keep_words: bool = True, added_tokens: bool = False) -> "Encoder":
         """The worker's encoder of this file, or one for a single task."""
         if not keep_words:
-            return cls(tokenizer_file, 100_000, added_tokens, GROUP_CHARS // 4)
+            return cls(tokenizer_file, 100_000, added_tokens, GROUP_CHARS // 16)
         key = ("encoder", tokenizer_file, added_tokens)
         state = worker_state()
         if key not in state:
@@ -113,18 +122,34 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)    # ids of all cuts, one after another
         self.starts = np.zeros(1 << 14, np.int64)  # where the ids of each cut start
 
-    def _cuts(self, text: str) -> list[str]:
-        """The text cut before white space.  A cut that follows one blank is written
-        without it; others get a mark, so that equal keys have equal ids."""
-        if not text:
-            return []
-        if text.replace("\n", " ") != " ".join(text.split()) or "\x01" in text:
-            return ["\x01" + x for x in CUTS.findall(text)]
-        cuts = text.replace("\n", " \n").split(" ")   # one blank or line feed between words
-        cuts[0] = "\x01" + cuts[0]
-        return cuts
+    def _cuts(self, texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+        """The cuts of all texts, and each text's number of them.  A cut that follows one blank is
+        written without it; others get a mark, so that equal keys have equal ids."""
+        kind = pa.large_string()
+        whole = pa.array(texts, kind)
+        odd = pc.match_substring_regex(whole, ODD)
+        odd = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        even = pc.replace_substring(whole, "\n", " \n")       # one blank or line feed between words
+        even = pc.binary_join_element_wise(pa.scalar("\x01", kind), even, pa.scalar("", kind))
+        if self.words is not None:
+            even = pc.replace_substring_regex(even, SIGN, "\\1 \x01\\2\\3")
+        cuts = pc.split_pattern(even, " ")
+        none = [i for i, text in enumerate(texts) if not text]
+        if len(odd) or none:
+            other = {i: ["\x01" + x for x in CUTS.findall(texts[i])] for i in odd.tolist()} | dict.fromkeys(none, [])
+            place = np.arange(len(texts))
+            place[list(other)] = len(texts) + np.arange(len(other))
+            cuts = pa.concat_arrays([cuts, pa.array(list(other.values()), cuts.type)]).take(pa.array(place))
+        return cuts.flatten(), cuts.value_lengths().to_numpy()
 
     def _cut_ids(self, key: str) -> list[int]:
+        if key.isascii() and key.isalpha() and self.words is not None:      # most: one word, its letters spell it
+            word = key.lower() if self.lower else " " + key
+            ids = self.word_ids.get(word)
+            if ids is None:
+                spelled = word if self.lower else chr(self.alphabet[32]) + key
+                ids = self.word_ids[word] = [x.id for x in self.tokenizer.model.tokenize(spelled)]
+            return ids
         cut = key[1:] if key[0] == "\x01" else key if key[0] == "\n" else " " + key
         spelled = unicodedata.normalize("NFC", cut).lower() if self.lower else cut
         if self.words is None or not KNOWN.match(cut) or not KNOWN.match(spelled):
@@ -166,26 +191,24 @@ class Encoder:
             texts = list(texts)
             for i in whole:
                 texts[i] = ""
+        flat, counts = self._cuts(texts)
+        flat = flat.dictionary_encode()
         gc.disable()          # the store holds millions of strings and no cycles
         try:
-            cuts: list[str] = []
-            counts = []
-            for text in texts:
-                own = self._cuts(text)
-                counts.append(len(own))
-                cuts += own
+            cuts = flat.dictionary.to_numpy(zero_copy_only=False)
             at = np.fromiter(map(self.numbers.__getitem__, cuts), np.int64, len(cuts))
             if self.numbers.fresh:
                 self._learn(self.numbers.fresh)
                 self.numbers.fresh = []
         finally:
             gc.enable()
+        at = at[flat.indices.to_numpy()]
         begin = self.starts[at]
         lengths = self.starts[at + 1] - begin
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(begin - (ends - lengths), lengths) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        upto = np.concatenate([[0], ends])[np.cumsum(np.r_[0, counts])]
         counts = np.diff(upto)
         if whole:
             counts[whole] = [len(x) for x in own_ids]

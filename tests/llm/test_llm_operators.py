@@ -442,6 +442,41 @@ def test_ids_are_those_of_the_library_with_default_settings(texts, path, monkeyp
     assert ids.tolist() == [i for x in want for i in x]
 
 
+@pytest.mark.parametrize("path", [BYTES, PLAIN], ids=["bytes", "plain"])
+@pytest.mark.parametrize("added", [True, False])
+def test_ids_of_texts_with_odd_signs_and_white_space(path, added):
+    from ledgerlake.llm import tokens
+    r = random.Random(11)
+    bits = ["word", "Word", "it's", "'S", "don't", "É", "H\u0331", "\u0130", "\u03a3", "漢字", "1", "23", "²", ",", ".", ",,", "?!", "'",
+            "(", "\n", " ", "  ", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\x00", "\x01", "\x7f",
+            "<|endoftext|>", "\u200b", "\u0307", ", ", ". ", " ", " "]
+    every = ["".join(r.choices(bits, k=r.randint(0, 14))) for _ in range(1500)] + ["", "\n", " ", "a,", "a, b", "a,\nb.", "a,b"]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = not added
+    want = [library.encode(t, add_special_tokens=False).ids for t in every]
+    ids, counts = tokens.Encoder(path, most_words=300, added_tokens=added, group_chars=400).encode(every)
+    assert counts.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+@pytest.mark.parametrize("path", [BYTES, PLAIN], ids=["bytes", "plain"])
+def test_a_word_is_looked_up_once_with_whatever_sign_and_however_often(path):
+    from ledgerlake.llm import tokens
+    encoder, asked = tokens.Encoder(path), []
+
+    class Counted(tokens.Numbers):
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    encoder.numbers = Counted()
+    text = "start " + "word word, word. word; word\n" * 50 + "end"
+    ids, _ = encoder.encode([text, text])
+    assert ids.tolist() == 2 * Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert len(encoder.numbers) <= 8                 # start, word, three signs, the word or the end after a line feed
+    assert len(asked) == len(encoder.numbers)
+
+
 def test_the_queries_find_added_tokens(spark, tmp_path):
     texts = ["plain words", "a <|endoftext|> b", "<|startoftext|>x", None, "then plain"]
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(
