@@ -25,7 +25,7 @@ from ledgerlake.operators import bronze as bronze_ops
 from ledgerlake.operators import gold as gold_ops
 from ledgerlake.operators import monitor
 from ledgerlake.operators import quality as quality_ops
-from ledgerlake.session import sized_session
+from ledgerlake.session import sorting_session
 
 # ---------------------------------------------------------------------------
 # Where each profile keeps its layers (paths / table names)
@@ -59,6 +59,8 @@ LAYOUTS = {
 # ---------------------------------------------------------------------------
 # ours: all five metric tables in one frame (see operators.gold.all_metrics)
 METRICS_ALL = {"local": "gold/metrics_all", "cloud": "gold_metrics_all"}
+# of bronze: a row group is read by one task, which sorts its rows to deduplicate them
+SMALL_ROW_GROUPS = {"parquet.block.size": str(8 << 20)}
 METRIC_LAYERS = ["daily", "merchant", "country", "payment", "risk_summary"]
 
 
@@ -100,7 +102,8 @@ class LayerStore:
             sinks.create_schema(self.spark, self.schema)
             sinks.write_table(df, self.location(layer, profile), self.fmt, partition_by=partition_by)
         else:
-            sinks.write_layer(df, self.location(layer, profile), self.fmt, partition_by=partition_by)
+            sinks.write_layer(df, self.location(layer, profile), self.fmt, partition_by=partition_by,
+                              options=SMALL_ROW_GROUPS if layer == "bronze" and self.fmt == "parquet" else None)
 
     def read(self, layer: str, profile: str | Profile | None = None) -> DataFrame:
         if self.schema:
@@ -136,8 +139,8 @@ def quality(store: LayerStore, profile: str | Profile = "local",
     """bronze -> quarantine (every invalid row, with its reasons) and silver
     (valid rows, one per transaction_id), written to ``into`` (default: the same store)."""
     p = get_profile(profile)
-    # a session of its own: the dedup exchange starts with partitions sized from the bronze bytes
-    own = sized_session(store.spark, store.read("bronze", p))
+    # a session of its own: the dedup sorts whole rows on both sides of its exchange, in tasks sized from the bronze bytes
+    own = sorting_session(store.spark, store.read("bronze", p))
     target = replace(into or store, spark=own)
     store = replace(store, spark=own)
     bronze = store.read("bronze", p)

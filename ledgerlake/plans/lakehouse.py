@@ -36,6 +36,8 @@ from ledgerlake.schema import KAFKA_SCHEMA
 from ledgerlake.session import partitions_for, shared_dir
 from ledgerlake.sources.orders_feed import (
     TOPIC,
+    read_orders,
+    transactions,
     transactions_from,
 )
 
@@ -62,9 +64,9 @@ class Lakehouse:
         self.money_mode = money_mode
         # How many files the stand-in topic is spread over (a topic's
         # partition count); the bronze decode runs one task per file.  By
-        # default sized from the source (JSON text is ~10x the columnar bytes).
+        # default sized from the source (JSON text is ~30x the columnar bytes).
         self.topic_partitions = topic_partitions or partitions_for(
-            spark, [f"{self.sf_dir}/orders.parquet"], expansion=10.0)
+            spark, [f"{self.sf_dir}/orders.parquet"], expansion=30.0)
         self.counts: dict[str, dict] = {}      # per profile: the jobs' write-time counts
         self._written: set = set()
 
@@ -116,15 +118,14 @@ class Lakehouse:
     def encoded_messages(self, partitions: int | None = None) -> DataFrame:
         """Events as Kafka-shaped messages (lazy): the producer's output.
 
-        With ``partitions`` the events are first spread over that many tasks
-        by a hash of their log offset (unique per message: even however hot a
-        transaction_id is, and deterministic on retry without the sort a
-        round-robin repartition needs), so the JSON encoding runs in parallel
-        whatever the source's file layout.
+        With ``partitions`` the orders are first spread over that many tasks
+        by a hash of their key (even however hot a transaction_id is, and
+        deterministic on retry without the sort a round-robin repartition needs),
+        so the JSON encoding runs in parallel whatever the source's file layout.
+        An order's four columns take about a tenth of its event in that shuffle.
         """
-        ev = self.events()
-        if partitions:
-            ev = ev.repartition(partitions, "offset")
+        orders = read_orders(self.spark, self.sf_dir)
+        ev = transactions(orders.repartition(partitions, "o_orderkey") if partitions else orders)
         ev = ev.withColumn("_ts", F.timestamp_seconds("sent_epoch"))
         return bronze_ops.encode_messages(ev, TOPIC, timestamp="_ts")
 

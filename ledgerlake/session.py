@@ -110,6 +110,11 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 # Beyond this many reducers each takes more bytes instead (a sort spills, no row is affected):
 # the blocks of a shuffle are mappers x reducers, and the driver keeps a map of them.
 MOST_PARTITIONS = 40_000
+# What whole rows take in a sort, by what they take in the compressed files of a layer, and by what
+# they take in a shuffle, about.
+IN_A_SORT, IN_A_SORT_BY_SHUFFLE = 32.0, 8.0
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def reducers_for(n_bytes: int, parallelism: int, expansion: float = 4.0,
@@ -139,6 +144,19 @@ def sized_session(spark: SparkSession, df: DataFrame, **kw) -> SparkSession:
     return own
 
 
+def sorting_session(spark: SparkSession, df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> SparkSession:
+    """:func:`sized_session` for jobs that sort whole rows of ``df``, where they are read and after a shuffle:
+    a task, also one that AQE has merged, gets rows that take a small multiple of ``target_bytes`` in memory, so
+    it spills nothing.  Beyond ``MOST_PARTITIONS`` tasks get more; settings of the user are kept."""
+    own = sized_session(spark, df, expansion=IN_A_SORT, target_bytes=target_bytes)
+    least = plan_bytes(df) / MOST_PARTITIONS
+    given = spark.conf.getAll
+    for key, factor in ((SPLIT_BYTES, 2 / IN_A_SORT), (ADVISORY_BYTES, 1 / IN_A_SORT_BY_SHUFFLE)):
+        if key not in given:
+            own.conf.set(key, str(math.ceil(max(target_bytes * factor, least * factor * IN_A_SORT))))
+    return own
+
+
 def partitions_for(spark: SparkSession, paths: list[str], expansion: float = 4.0,
                    target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Partitions for data read from ``paths``: ``expansion`` converts

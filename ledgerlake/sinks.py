@@ -19,7 +19,7 @@ def holds_stream(spark: SparkSession, path: str) -> bool:
 
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> None:
+                partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> None:
     """Overwrite a layer at ``path`` (one file per task; no driver collect).
 
     Refuses a folder that a stream writes to, before anything is deleted: the
@@ -27,7 +27,7 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if mode == "overwrite" and holds_stream(df.sparkSession, path):
         raise ValueError(f"{path} is the sink of a stream: choose another folder or layout, or remove it "
                          "together with the stream's checkpoint")
-    writer = df.write.format(fmt).mode(mode)
+    writer = df.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.bronze import encode_messages
 from ledgerlake.plans.jobs import LayerStore, ingest, quality
-from ledgerlake.session import INITIAL_PARTITIONS, MOST_PARTITIONS, plan_bytes, reducers_for, sized_session
+from ledgerlake.session import (
+    ADVISORY_BYTES,
+    INITIAL_PARTITIONS,
+    MOST_PARTITIONS,
+    SPLIT_BYTES,
+    plan_bytes,
+    reducers_for,
+    sized_session,
+    sorting_session,
+)
 from ledgerlake.sources.kafka import read_message_files
 from ledgerlake.streaming.ingest import bronze_stream_from_files, run_with_totals, start_stream
 from tests.helpers import VALID, event, events_df
@@ -50,6 +59,43 @@ def test_overlapping_jobs_keep_their_own_number(spark, lake):
         spark.conf.unset(INITIAL_PARTITIONS)
 
 
+def test_tasks_that_sort_whole_rows_are_bounded_on_both_sides_of_the_shuffle(spark, lake):
+    df = lake.bronze("local")
+    own = sorting_session(spark, df, target_bytes=64 << 10)
+    assert int(own.conf.get(INITIAL_PARTITIONS)) == max(spark.sparkContext.defaultParallelism, -(-plan_bytes(df) // 2048))
+    assert (own.conf.get(SPLIT_BYTES), own.conf.get(ADVISORY_BYTES)) == ("4096", "8192")
+    spark.conf.set(SPLIT_BYTES, "1234567")
+    try:
+        own = sorting_session(spark, df)
+        assert (own.conf.get(SPLIT_BYTES), own.conf.get(ADVISORY_BYTES)) == ("1234567", str(16 << 20))
+    finally:
+        spark.conf.unset(SPLIT_BYTES)
+    assert spark.conf.get(ADVISORY_BYTES) != "8192"
+
+
+def test_bronze_is_read_by_row_groups_of_a_bounded_size(spark, lake, tmp_path, monkeypatch):
+    import pyarrow.dataset as ds
+
+    from ledgerlake.plans import jobs
+    monkeypatch.setattr(jobs, "SMALL_ROW_GROUPS", {"parquet.block.size": "20000"})
+    store = LayerStore(spark, root=str(tmp_path))
+    ingest(lake.topic().coalesce(1), store)
+    pieces = [f.metadata.num_row_groups for f in ds.dataset(store.location("bronze")).get_fragments()]
+    assert max(pieces) > 1
+    counts = quality(store)
+    assert counts["silver_records"] == lake.silver("local").count()
+
+
+def test_orders_are_spread_before_they_become_events(lake):
+    spread = lake.encoded_messages(5)
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "o_orderkey" in below.split("\n")[0] and "to_json" not in below and "MER-" not in below
+    assert "o_orderpriority" not in below.split("Relation")[0]
+    assert spread.rdd.getNumPartitions() == 5
+    assert spread.exceptAll(lake.encoded_messages()).isEmpty() and lake.encoded_messages().exceptAll(spread).isEmpty()
+
+
 def test_unknown_layout_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown layout"):
         LayerStore(spark, root=str(tmp_path), layout="typo").location("bronze")
