@@ -161,6 +161,12 @@ def _found(doc, a, b, bucket=-1, data=None) -> pa.RecordBatch:
         names=["bucket", "data", "doc", "a", "b"])
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``materialise`` into files sized by what they hold: tasks that are sized by the texts they
+    read leave little each, and a file of its own for each costs more than to deal the rows once more."""
+    return materialise(df.hint("rebalance"), name)
+
+
 def _hot(docs: DataFrame, n: int, k: int, most_segments: int) -> np.ndarray:
     """A map of ``HOT_BITS``: where the minimizers with over ``most_segments`` different segments
     are (with fewer, down to half of that, when not all are counted)."""
@@ -422,7 +428,7 @@ def _by_piece(stretches: DataFrame, n: int, k: int, most_segments: int) -> list[
     where = F.struct("doc", "a")
     while open_ is not None:
         windows = -(-windows // (2 if open_ is stretches else 4))
-        pieces = materialise(_pieces(open_, windows, n, k), "repeat-pieces")
+        pieces = _written(_pieces(open_, windows, n, k), "repeat-pieces")
         firsts = materialise(pieces.groupBy("gram", "piece").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")),
                              "repeat-firsts")
         copied = firsts.where("n > 1").select("piece", "gram", "first")
@@ -466,7 +472,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                   min(MOST_BUCKETS, -(-plan_bytes(docs) // BUCKET_BYTES)))
     hot = spark.sparkContext.broadcast(_hot(rows, n, k, most_segments))
-    settled = materialise(_settle(_cut(rows, buckets, n, k, hot), n, hot, most_segments), "repeat-segments")
+    settled = _written(_settle(_cut(rows, buckets, n, k, hot), n, hot, most_segments), "repeat-segments")
     spans = settled.where("kind = 0").select("doc", "a", "b")
     open_ = settled.where("kind > 1")
     counts = open_.agg(F.count(F.lit(1)), F.max("kind")).first()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgerlake.llm import (
+    common,
     decontaminate,
     exact_dedup,
     language_id,
@@ -616,6 +617,35 @@ def hot_texts(passage, shared):
             for i in range(400)]
 
 
+def test_repeats_writes_few_small_files(spark, monkeypatch):
+    """What tasks leave of the texts they read is dealt anew before it is written: not a file for each task."""
+    r, files = random.Random(11), {}
+    line = "a line that all texts have, it is of seventy or so bytes in length...."
+    texts = [f"{r.getrandbits(8000):x}{line}{r.getrandbits(8000):x}" for _ in range(400)]
+
+    def write(df, name):
+        out = common.materialise(df, name)
+        files.setdefault(name, len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(repeats, "materialise", write)
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {x.doc_id: ([(a.a, a.b) for a in x.removed], bytes(x.kept))
+               for x in repeats.repeats(docs, most_segments=16).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == plain_repeats(texts)
+    assert files["repeat-segments"] <= 2 and files["repeat-pieces"] <= 2, files
+
+
 def made_by_repeats(spark, monkeypatch, texts, most_segments):
     """The spans, and the most rows that were written for comparisons of hot minimizers."""
     seen, write = [], repeats.materialise
